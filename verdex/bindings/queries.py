@@ -19,6 +19,7 @@ FIRST_YEAR, LAST_YEAR = 1996, 2003
 PAGE_HITS = 100
 WANTED = ("c_name", "c_phone", "c_nationkey", "c_mktsegment", "c_comment")
 FOLDS, REPEATS = 5, 2
+FLAGS = dict(zip(pages.FLAG_FIELDS, ("click", "error", "purchase", "signup", "view")))
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -57,7 +58,7 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("julgamento_data"),
         F.date_format("ts", "dd/MM/yyyy").alias("publicacao_data"),
         F.col("event_type").alias("dg_atualizado_em"),
-        (F.col("event_type") == "error").alias("is_colac"),
+        *[(F.col("event_type") == kind).alias(flag) for flag, kind in FLAGS.items()],
         F.parse_json(F.coalesce(faces, F.concat(F.lit('"'), "event_type", F.lit('"')))).alias("ministro_facet"),
         F.concat(F.lit("\r\n "), F.repeat(F.concat("props", F.lit("\n")), F.least(F.lit(120), "user_id").cast("int"))).alias("ementa_texto"),
     )
@@ -470,7 +471,7 @@ def event_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One score per model and fold: mean event value per type and tenth of the users."""
     return table(spark, sf_dir, "events").groupBy(
         F.col("event_type").alias("model"), F.pmod("user_id", F.lit(10)).alias("fold")
-    ).agg(F.round(F.avg("value"), 6).alias("score"))
+    ).agg(F.round(F.avg("value"), 5).alias("score"))
 
 
 @query
@@ -485,9 +486,9 @@ def cv_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy(
         F.col("event_type").alias("model"), F.pmod("user_id", F.lit(10)).cast("string").alias("block")
     ).agg(
-        F.round(F.avg("value"), 6).alias("precision_sim"),
-        F.round(F.max("value"), 6).alias("accuracy"),
-        F.round(F.min("value"), 6).alias("f1_macro"),
+        F.round(F.avg("value"), 5).alias("precision_sim"),
+        F.max("value").alias("accuracy"),
+        F.min("value").alias("f1_macro"),
     ).unpivot(["model", "block"], list(metrics.METRICS), "metric", "score")
 
 

@@ -1,4 +1,4 @@
-"""Suffix stemming as column expressions over token arrays: no shuffle, no Python per token."""
+"""Suffix stemming as one SQL expression over a token array: no shuffle, no Python per token."""
 
 from __future__ import annotations
 
@@ -10,53 +10,46 @@ from pyspark.sql import functions as F
 from verdex.functions.stem_rules import STEPS, Rule
 
 
-def apply_step(word: Column, rules: Sequence[Rule]) -> Column:
+def quoted(word: str) -> str:
+    return "'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def step_sql(word: str, rules: Sequence[Rule]) -> str:
     """The word after the first rule of the step that applies, or the word itself.
 
     Rules are grouped by the last letter of their suffix, so a word is tried only against rules
     it can match; rules of different groups exclude each other, so the order is kept.
     """
-    by_letter: dict[str, list[Rule]] = {}
+    by_letter: dict[str, list[str]] = {}
     for rule in rules:
-        by_letter.setdefault(rule.suffix[-1], []).append(rule)
-    out = None
-    for letter, group in by_letter.items():
-        tried = None
-        for rule in group:
-            size = len(rule.suffix)
-            fits = F.endswith(word, F.lit(rule.suffix)) & (F.char_length(word) >= size + rule.min_stem)
-            if rule.exceptions:
-                fits = fits & ~word.isin(*rule.exceptions)
-            cut = F.substring(word, F.lit(1), F.char_length(word) - size)
-            value = F.concat(cut, F.lit(rule.replacement)) if rule.replacement else cut
-            tried = F.when(fits, value) if tried is None else tried.when(fits, value)
-        branch = (F.endswith(word, F.lit(letter)), tried.otherwise(word))
-        out = F.when(*branch) if out is None else out.when(*branch)
-    return out.otherwise(word)
-
-
-def stem_words(words: Column, steps: Mapping[str, Sequence[Rule]] = STEPS) -> Column:
-    """Stem every word of an array, in place.
+        size = len(rule.suffix)
+        fits = f"endswith({word}, {quoted(rule.suffix)}) AND length({word}) >= {size + rule.min_stem}"
+        if rule.exceptions:
+            fits += f" AND {word} NOT IN ({', '.join(map(quoted, rule.exceptions))})"
+        cut = f"left({word}, length({word}) - {size})"
+        value = f"concat({cut}, {quoted(rule.replacement)})" if rule.replacement else cut
+        by_letter.setdefault(rule.suffix[-1], []).append(f"WHEN {fits} THEN {value}")
+    groups = (
+        f"WHEN {quoted(letter)} THEN CASE {' '.join(tried)} ELSE {word} END"
+        for letter, tried in by_letter.items()
+    )
+    return f"CASE right({word}, 1) {' '.join(groups)} ELSE {word} END"
+
+
+def stem_words(words: str, steps: Mapping[str, Sequence[Rule]] = STEPS) -> Column:
+    """Stem every word of the array column `words` (a column name or SQL expression).
 
     Each step is a `transform` of its own, so a word's intermediate form is computed once however
     many rules look at it.
     """
-    words = F.transform(
-        words, lambda w: F.when(F.endswith(w, F.lit("s")), apply_step(w, steps["plural"])).otherwise(w)
-    )
-    words = F.transform(
-        words, lambda w: F.when(F.endswith(w, F.lit("a")), apply_step(w, steps["feminine"])).otherwise(w)
-    )
-    words = F.transform(words, lambda w: apply_step(w, steps["augmentative"]))
-    words = F.transform(words, lambda w: apply_step(w, steps["adverb"]))
-    tried = F.transform(words, lambda w: F.struct(w.alias("w"), apply_step(w, steps["noun"]).alias("v")))
-    tried = F.transform(
-        tried,
-        lambda t: F.struct(
-            t["w"].alias("w"),
-            F.when(t["v"] != t["w"], t["v"]).otherwise(apply_step(t["w"], steps["verb"])).alias("v"),
-        ),
-    )
-    return F.transform(
-        tried, lambda t: F.when(t["v"] != t["w"], t["v"]).otherwise(apply_step(t["w"], steps["vowel"]))
-    )
+    sql = words
+    for name, ending in (("plural", "s"), ("feminine", "a"), ("augmentative", ""), ("adverb", "")):
+        step = step_sql("w", steps[name])
+        if ending:
+            step = f"CASE WHEN right(w, 1) = {quoted(ending)} THEN {step} ELSE w END"
+        sql = f"transform({sql}, w -> {step})"
+    sql = f"transform({sql}, w -> struct(w AS w, {step_sql('w', steps['noun'])} AS v))"
+    verb = f"CASE WHEN t.v <> t.w THEN t.v ELSE {step_sql('t.w', steps['verb'])} END"
+    sql = f"transform({sql}, t -> struct(t.w AS w, {verb} AS v))"
+    sql = f"transform({sql}, t -> CASE WHEN t.v <> t.w THEN t.v ELSE {step_sql('t.w', steps['vowel'])} END)"
+    return F.expr(sql)

@@ -23,8 +23,12 @@ def missing_ids(have: DataFrame, against: DataFrame, key: str) -> DataFrame:
 
 
 def text_key(col: str) -> F.Column:
-    """256-bit digest that stands for the text, so that texts do not travel in shuffles."""
-    return F.unhex(F.sha2(F.col(col), 256))
+    """256-bit digest that stands for the text, so that texts do not travel in shuffles.
+
+    Null has the empty digest: a key that cannot be null spares a null test in joins, for which
+    Spark would compute the digest twice.
+    """
+    return F.coalesce(F.unhex(F.sha2(F.col(col), 256)), F.lit(bytearray()))
 
 
 def duplicate_stats(df: DataFrame, col: str) -> DataFrame:
@@ -41,13 +45,14 @@ def duplicate_rows(df: DataFrame, key: str, col: str, preview: int = 100) -> Dat
     Copies are neighbours: rows are ordered by preview, digest and key. Rows of hot texts are
     spread over as many salts as the text needs to stay under 1/HOT_SHARE of all rows per salt.
     """
-    rows = df.select(
+    valued = df.where(F.col(col).isNotNull())
+    rows = valued.select(
         key, truncate_text(F.col(col), preview).alias("preview"), text_key(col).alias("_key")
     )
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = valued.agg(F.count(F.lit(1))).scalar()
     copied = (
-        df.groupBy(text_key(col).alias("_key")).agg(F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1 and _key is not null")
+        valued.groupBy(text_key(col).alias("_key")).agg(F.count(F.lit(1)).alias("copies"))
+        .where("copies > 1")
         .withColumn("_salts", F.ceil(F.col("copies") * HOT_SHARE / total).cast("int"))
     )
     hot = copied.where("_salts > 1").select("_key", "_salts")

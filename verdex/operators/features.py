@@ -27,15 +27,19 @@ def with_grams(df: DataFrame, text: str, out: str = "grams", stem: bool = True)
     """Adds the 1- and 2-grams of the (stemmed) text. Each stage is a projection; no shuffle."""
     staged = df.withColumn("_words", tokens(F.col(text)))
     if stem:
-        staged = staged.withColumn("_words", stem_words(F.col("_words")))
+        staged = staged.withColumn("_words", stem_words("_words"))
     staged = staged.withColumn("_words", vectoriser_tokens(F.col("_words")))
     return staged.withColumn(out, ngrams(F.col("_words"))).drop("_words")
 
 
 def stem_vocab(df: DataFrame, words: str, steps=STEPS) -> DataFrame:
-    """(token, stem) for every distinct token; each is stemmed once."""
-    distinct = df.select(F.explode(words).alias("token")).distinct()
-    return distinct.select("token", stem_words(F.array("token"), steps)[0].alias("stem"))
+    """(token, stem) for every distinct token; each is stemmed once.
+
+    The outer generator keeps Spark from inferring a size filter, for which it would compute the
+    token array a second time.
+    """
+    each = df.select(F.explode_outer(words).alias("token")).where(F.col("token").isNotNull())
+    return each.distinct().select("token", stem_words("array(token)", steps)[0].alias("stem"))
 
 
 def gram_counts(df: DataFrame, grams: str) -> DataFrame:
@@ -44,10 +48,11 @@ def gram_counts(df: DataFrame, grams: str) -> DataFrame:
     The grams of a row are sorted, so a gram that differs from the one before it marks the row as
     one more document with that gram.
     """
-    ordered = df.select(F.array_sort(grams).alias("g")).where(F.size("g") > 0)
-    before = F.concat(F.array(F.lit(None).cast("string")), F.slice("g", F.lit(1), F.size("g") - 1))
+    ordered = df.select(F.array_sort(grams).alias("g"))
+    head = F.slice("g", F.lit(1), F.greatest(F.size("g") - 1, F.lit(0)))
+    before = F.concat(F.array(F.lit(None).cast("string")), head)
     pairs = ordered.select(F.inline(F.arrays_zip(F.col("g").alias("term"), before.alias("before"))))
-    return pairs.groupBy("term").agg(
+    return pairs.where(F.col("term").isNotNull()).groupBy("term").agg(
         F.count(F.lit(1)).alias("n_total"),
         F.count_if(~F.col("term").eqNullSafe(F.col("before"))).alias("n_docs"),
     )

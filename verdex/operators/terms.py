@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdex.functions import text as T
@@ -33,19 +33,27 @@ def paragraphs(df: DataFrame, id: str, text: str, min_len: int = 300) -> DataFra
     )
 
 
+def keep_rows(df: DataFrame, condition: Column) -> DataFrame:
+    """Rows where the condition holds, through a generator instead of a filter.
+
+    Spark pushes a filter on a computed column below the projection that computes it, and then
+    computes it again for every mention. Costly text columns are therefore tested this way.
+    """
+    kept = df.select("*", F.explode(F.when(condition, F.array(F.lit(True)))).alias("_kept"))
+    return kept.drop("_kept")
+
+
 def match_terms(df: DataFrame, text: str, terms: Sequence[str] = SEARCH_TERMS) -> DataFrame:
     """Adds `terms`, the terms the text contains in any case; rows without any are dropped."""
     lowered = df.withColumn("_lower", F.lower(text))
-    return (
-        lowered.where(T.contains_any(F.col("_lower"), terms))
-        .withColumn("terms", T.matched_terms(F.col("_lower"), terms))
-        .drop("_lower")
-    )
+    found = lowered.withColumn("terms", T.matched_terms(F.col("_lower"), terms)).drop("_lower")
+    return keep_rows(found, F.size("terms") > 0)
 
 
 def search_any(df: DataFrame, text: str, terms: Sequence[str] = SEARCH_TERMS) -> DataFrame:
     """Rows whose text contains at least one term, in any case."""
-    return df.where(T.contains_any(F.lower(text), terms))
+    lowered = df.withColumn("_lower", F.lower(text))
+    return keep_rows(lowered, T.contains_any(F.col("_lower"), terms)).drop("_lower")
 
 
 def dedup_prefix(df: DataFrame, id: str, text: str, pos: str, n: int = 100) -> DataFrame:
@@ -67,9 +75,10 @@ def term_paragraphs(
     sentence line, so a document whose line has no term has no such paragraph.
     """
     lines = df.select(id, T.sentence_line(F.col(text)).alias("_line"))
-    lines = lines.where(T.contains_any(F.lower("_line"), terms))
-    cut = lines.select(
-        id, F.posexplode(T.paragraphs_of_line(F.col("_line"), min_len)).alias("pos", "paragraph")
+    lines = lines.withColumn("_lower", F.lower("_line"))
+    pieces = F.when(
+        T.contains_any(F.col("_lower"), terms), T.paragraphs_of_line(F.col("_line"), min_len)
     )
+    cut = lines.select(id, F.posexplode(pieces).alias("pos", "paragraph"))
     first = dedup_prefix(match_terms(cut, "paragraph", terms), id, "paragraph", "pos")
     return first.select(id, "pos", "terms", "paragraph")
