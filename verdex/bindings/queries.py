@@ -90,7 +90,7 @@ def ingest_hits(spark, sf_dir):
 def merge_pages(spark, sf_dir):
     return hit_rows(spark, sf_dir).select(
         "page", "pos", F.col("hit._source.id").alias("id"), F.col("hit._score").alias("score")
-    ).orderBy("page", "pos")
+    )
 
 
 @query
@@ -539,10 +539,8 @@ def select_model(spark, sf_dir):
 def training_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(train, test) of all labelled documents."""
     rows = table(spark, sf_dir, "labels").join(documents(spark, sf_dir), "doc_id")
-    rows = rows.withColumn("label", F.col("quality").cast("double"))
-    split = folds.stratified_split(rows, "doc_id", "label").select(F.col("doc_id").alias("row_id"), "is_test")
-    ready = classify.train_table(rows, "doc_id", "text", "label").join(split, "row_id")
-    return ready.where(~F.col("is_test")).drop("is_test"), ready.where("is_test").drop("is_test")
+    rows = rows.select("doc_id", "text", F.col("quality").cast("double").alias("label"))
+    return classify.train_and_test(classify.train_table(rows, "doc_id", "text", "label"))
 
 
 def classified(spark: SparkSession, sf_dir: str, name: str, **params) -> DataFrame:

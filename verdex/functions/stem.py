@@ -30,10 +30,10 @@ def step_sql(word: str, rules: Sequence[Rule]) -> str:
         value = f"concat({cut}, {quoted(rule.replacement)})" if rule.replacement else cut
         by_letter.setdefault(rule.suffix[-1], []).append(f"WHEN {fits} THEN {value}")
     groups = (
-        f"WHEN {quoted(letter)} THEN CASE {' '.join(tried)} ELSE {word} END"
+        f"WHEN endswith({word}, {quoted(letter)}) THEN CASE {' '.join(tried)} ELSE {word} END"
         for letter, tried in by_letter.items()
     )
-    return f"CASE right({word}, 1) {' '.join(groups)} ELSE {word} END"
+    return f"CASE {' '.join(groups)} ELSE {word} END"
 
 
 def stem_words(words: str, steps: Mapping[str, Sequence[Rule]] = STEPS) -> Column:
@@ -46,7 +46,7 @@ def stem_words(words: str, steps: Mapping[str, Sequence[Rule]] = STEPS) -> Colum
     for name, ending in (("plural", "s"), ("feminine", "a"), ("augmentative", ""), ("adverb", "")):
         step = step_sql("w", steps[name])
         if ending:
-            step = f"CASE WHEN right(w, 1) = {quoted(ending)} THEN {step} ELSE w END"
+            step = f"CASE WHEN endswith(w, {quoted(ending)}) THEN {step} ELSE w END"
         sql = f"transform({sql}, w -> {step})"
     sql = f"transform({sql}, w -> struct(w AS w, {step_sql('w', steps['noun'])} AS v))"
     verb = f"CASE WHEN t.v <> t.w THEN t.v ELSE {step_sql('t.w', steps['verb'])} END"

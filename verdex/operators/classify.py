@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from itertools import product
 from multiprocessing.pool import ThreadPool
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdex.operators.features import fit_tfidf, with_grams
-from verdex.operators.folds import digest, fold_table, rank_in_class
+from verdex.operators.folds import digest, fold_table, rank_in_class, stratified_split
 from verdex.operators.knn import knn_vote
 from verdex.operators.metrics import METRICS, binary_metrics
 from verdex.runtime import cut
@@ -50,6 +51,10 @@ WEIGHTED = ("LogisticRegression", "RandomForest", "BoostedTreesWeighted", "SVC")
 MAX_TREE_DEPTH = 30  # MLlib's limit; stands for "no limit"
 FOURIER_FEATURES = 512
 MLP_ITERATIONS = 200
+# Rows a training partition should hold: a tree pass does more work per row than a gradient pass.
+PARTITION_ROWS = 5000
+TREE_PARTITION_ROWS = 400
+TREES = ("RandomForest", "BoostedTreesWeighted", "BoostedTrees")
 
 
 @dataclass
@@ -78,16 +83,24 @@ def decode_labels(c: F.Column, labels: Sequence[str] = LABELS) -> F.Column:
     return F.element_at(F.array(*[F.lit(v) for v in labels]), c.cast("int") + 1)
 
 
-def _with_weights(df: DataFrame, weighted: bool) -> tuple[DataFrame, int]:
-    """Adds `weight` (balanced, or 1) and gives the row count. Two classes: two collected rows."""
-    counts = {r["label"]: r["n"] for r in df.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+@contextmanager
+def _training(rows: DataFrame, weighted: bool, per_partition: int = PARTITION_ROWS):
+    """(rows with `weight`, row count), held in memory while an iterative solver reads them.
+
+    `weight` is balanced, or 1. A partition should hold enough rows to be worth a task in each of
+    the solver's many passes, so small tables are brought together; large ones stay as they are.
+    """
+    counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
-    if not weighted:
-        return df.withColumn("weight", F.lit(1.0)), total
     weight = F.lit(1.0)
-    for label, n in counts.items():
-        weight = F.when(F.col("label") == label, F.lit(total / (len(counts) * n))).otherwise(weight)
-    return df.withColumn("weight", weight), total
+    if weighted:
+        for label, n in counts.items():
+            weight = F.when(F.col("label") == label, F.lit(total / (len(counts) * n))).otherwise(weight)
+    held = rows.withColumn("weight", weight).coalesce(total // per_partition + 1).persist()
+    try:
+        yield held, total
+    finally:
+        held.unpersist()
 
 
 def _from_probability(model) -> Callable[[DataFrame], DataFrame]:
@@ -101,9 +114,14 @@ def _fit_svc(rows: DataFrame, n: int, C: float) -> tuple[Callable[[DataFrame], D
     """Linear SVC with Platt's sigmoid, fitted on margins of rows the SVC did not see."""
 
     def svc(df: DataFrame, size: float):
-        return LinearSVC(
+        solver = LinearSVC(
             regParam=1.0 / (C * size), weightCol="weight", standardization=False, tol=1e-3
-        ).fit(df)
+        )
+        df = df.persist()
+        try:
+            return solver.fit(df)
+        finally:
+            df.unpersist()
 
     def margins(model, df: DataFrame) -> DataFrame:
         out = model.transform(df).withColumn("_margin", vector_to_array("rawPrediction")[1])
@@ -111,13 +129,14 @@ def _fit_svc(rows: DataFrame, n: int, C: float) -> tuple[Callable[[DataFrame], D
 
     hashed = rows.withColumn("_h", digest(F.lit(SEED), "row_id"))
     thirds = rank_in_class(hashed, ["label"], "_h").withColumn("_part", F.pmod("nth", F.lit(3)))
-    thirds = cut(thirds.select("row_id", "features", "label", "weight", "_part"))
+    thirds = thirds.select("features", "label", "weight", "_part").coalesce(n // PARTITION_ROWS + 1).persist()
     unseen = None
     for part in range(3):
         held = thirds.where(F.col("_part") == part)
         out = margins(svc(thirds.where(F.col("_part") != part), n * 2 / 3), held).select("_m", "label")
         unseen = out if unseen is None else unseen.unionByName(out)
     sigmoid = LogisticRegression(featuresCol="_m", rawPredictionCol="_raw", predictionCol="_p").fit(unseen)
+    thirds.unpersist()
     model = svc(rows, n)
 
     def predict(df: DataFrame) -> DataFrame:
@@ -158,21 +177,40 @@ def fit_model(name: str, train: DataFrame, featurised=None, **params) -> TextMod
     """Fit one classifier. `featurised` may hand in (rows, featurise, terms) shared by a grid."""
     max_features = params.get("max_features", GRIDS[name]["max_features"][0])
     rows, featurise, terms = featurised or featurise_rows(train, max_features, name in SCALED)
-    rows, n = _with_weights(rows, name in WEIGHTED)
-    importances = None
+    if name == "KNeighbors":
+        k = params.get("n_neighbors", 3)
+
+        def vote(df: DataFrame) -> DataFrame:
+            return df.join(knn_vote(rows, df, k), "row_id")
+
+        return TextModel(name, params, terms, featurise, vote)
+    if name == "SVC" and params.get("kernel", "linear") == "rbf":
+        stage = _fourier_stage(rows)
+        rows, plain = stage(rows), featurise
+        featurise = lambda df: stage(plain(df))
+    size = TREE_PARTITION_ROWS if name in TREES else PARTITION_ROWS
+    with _training(rows, name in WEIGHTED, size) as (rows, n):
+        predict, importances = _fit_solver(name, rows, n, len(terms), params)
+    if params.get("kernel") == "rbf":
+        importances = None
+    return TextModel(name, params, terms, featurise, predict, importances)
+
+
+def _fit_solver(name: str, rows: DataFrame, n: int, n_terms: int, params: dict):
+    """(predict, importances or None) of the named solver on weighted feature rows."""
     if name == "LogisticRegression":
         model = LogisticRegression(
             regParam=1.0 / (params.get("C", 1) * n), elasticNetParam=0.0, standardization=False,
             weightCol="weight", maxIter=1000, tol=1e-4,
         ).fit(rows)
-        predict, importances = _from_probability(model), [abs(x) for x in model.coefficients]
-    elif name == "RandomForest":
+        return _from_probability(model), [abs(x) for x in model.coefficients]
+    if name == "RandomForest":
         model = RandomForestClassifier(
             numTrees=params.get("n_estimators", 200), maxDepth=params.get("max_depth", 20) or MAX_TREE_DEPTH,
             weightCol="weight", seed=SEED,
         ).fit(rows)
-        predict, importances = _from_probability(model), model.featureImportances.toArray().tolist()
-    elif name in ("BoostedTreesWeighted", "BoostedTrees"):
+        return _from_probability(model), model.featureImportances.toArray().tolist()
+    if name in ("BoostedTreesWeighted", "BoostedTrees"):
         preset = (
             {"stepSize": params.get("learning_rate", 0.05), "maxDepth": 5, "minInstancesPerNode": 20}
             if name == "BoostedTreesWeighted"
@@ -181,28 +219,15 @@ def fit_model(name: str, train: DataFrame, featurised=None, **params) -> TextMod
         model = GBTClassifier(
             maxIter=params.get("n_estimators", 100), weightCol="weight", seed=SEED, **preset
         ).fit(rows)
-        predict, importances = _from_probability(model), model.featureImportances.toArray().tolist()
-    elif name == "SVC":
-        if params.get("kernel", "linear") == "rbf":
-            stage, plain = _fourier_stage(rows), featurise
-            predict, _ = _fit_svc(stage(rows), n, params.get("C", 1))
-            featurise = lambda df: stage(plain(df))
-        else:
-            predict, importances = _fit_svc(rows, n, params.get("C", 1))
-    elif name == "KNeighbors":
-        k, known = params.get("n_neighbors", 3), rows
-
-        def predict(df: DataFrame) -> DataFrame:
-            return df.join(knn_vote(known, df, k), "row_id")
-
-    elif name == "MLPClassifier":
+        return _from_probability(model), model.featureImportances.toArray().tolist()
+    if name == "SVC":
+        return _fit_svc(rows, n, params.get("C", 1))
+    if name == "MLPClassifier":
         model = MultilayerPerceptronClassifier(
-            layers=[len(terms), params.get("hidden", 50), 2], maxIter=MLP_ITERATIONS, seed=SEED
+            layers=[n_terms, params.get("hidden", 50), 2], maxIter=MLP_ITERATIONS, seed=SEED
         ).fit(rows)
-        predict = _from_probability(model)
-    else:
-        raise ValueError(f"unknown model {name}")
-    return TextModel(name, params, terms, featurise, predict, importances)
+        return _from_probability(model), None
+    raise ValueError(f"unknown model {name}")
 
 
 def featurise_rows(train: DataFrame, max_features: int, scale: bool):
@@ -276,9 +301,18 @@ def grid_search(
 
 
 def train_table(df: DataFrame, id: str, text: str, label: str) -> DataFrame:
-    """(row_id, label, grams), written once: the text stage is free of labels and folds."""
-    grams = with_grams(df.select(F.col(id).alias("row_id"), F.col(label).alias("label"), text), text)
-    return cut(grams.select("row_id", "label", "grams"))
+    """(row_id, label, is_test, grams), written once: the text stage is free of folds.
+
+    The text is cut up where it is read, with all cores; the split joins the finished rows.
+    """
+    split = stratified_split(df, id, label).select(F.col(id).alias("row_id"), "is_test")
+    rows = df.select(F.col(id).alias("row_id"), F.col(label).alias("label"), F.col(text).alias("_text"))
+    grams = with_grams(rows, "_text").drop("_text")
+    return cut(grams.join(split, "row_id").select("row_id", "label", "is_test", "grams"))
+
+
+def train_and_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return df.where("not is_test").drop("is_test"), df.where("is_test").drop("is_test")
 
 
 def feature_importance(model: TextModel, spark, k: int = 20) -> DataFrame:

@@ -8,8 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdex.operators.classify import GRIDS, TextModel, grid_points, grid_search, train_table
-from verdex.operators.folds import stratified_split
+from verdex.operators.classify import GRIDS, TextModel, grid_points, grid_search, train_and_test, train_table
 from verdex.operators.metrics import METRICS, binary_metrics
 from verdex.operators.selection import select_model
 
@@ -29,10 +28,7 @@ def train_and_select(
     `label` is 0.0 / 1.0. Each model is tuned by cross-validated precision on the training three
     quarters; the winner is chosen by the test cascade on its fold scores.
     """
-    table = train_table(labelled, id, text, label)
-    split = stratified_split(table, "row_id", "label").select("row_id", "is_test")
-    rows = table.join(split, "row_id")
-    train, test = rows.where(~F.col("is_test")).drop("is_test"), rows.where("is_test").drop("is_test")
+    train, test = train_and_test(train_table(labelled, id, text, label))
     models, scores, predictions = {}, [], []
     for name, grid in grids.items():
         model, best, table_of_scores = grid_search(train, name, grid, k, repeats, parallelism)

@@ -69,8 +69,13 @@ def parse_pages(raw: DataFrame) -> DataFrame:
 
 
 def split_hits(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """One row per hit (page, pos, hit) and the quarantine (page, reason)."""
-    hits = pages.select("page", F.posexplode("hits").alias("pos", "hit"))
+    """One row per hit (page, pos, hit) and the quarantine (page, reason).
+
+    The outer generator keeps Spark from inferring a size filter, for which it would parse every
+    page a second time.
+    """
+    hits = pages.select("page", F.posexplode_outer("hits").alias("pos", "hit"))
+    hits = hits.where(F.col("pos").isNotNull())
     reason = F.when(F.col("malformed"), "invalid JSON").otherwise("no result.hits.hits")
     quarantine = pages.where(F.col("hits").isNull()).select("page", reason.alias("reason"))
     return hits, quarantine
