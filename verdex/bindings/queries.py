@@ -579,16 +579,17 @@ def feature_importance(spark, sf_dir):
 
 
 def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its prediction, and whether the model saw it in training."""
     train, _ = training_rows(spark, sf_dir)
     model = classify.fit_model("LogisticRegression", train)
     known = train.select(F.col("row_id").alias("doc_id"), F.lit(True).alias("in_training"))
-    base = documents(spark, sf_dir).join(known, "doc_id", "left").fillna(False, ["in_training"])
-    return classify.score_base(model, base, "doc_id", "text")
+    scored = classify.score_base(model, documents(spark, sf_dir), "doc_id", "text").drop("text")
+    return scored.join(known, "doc_id", "left").fillna(False, ["in_training"])
 
 
 @query
 def score_base(spark, sf_dir):
-    return rounded(scored_documents(spark, sf_dir).drop("text"), "prediction_confidence")
+    return rounded(scored_documents(spark, sf_dir), "prediction_confidence")
 
 
 @query

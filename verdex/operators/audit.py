@@ -49,11 +49,10 @@ def duplicate_rows(df: DataFrame, key: str, col: str, preview: int = 100) -> Dat
     rows = valued.select(
         key, truncate_text(F.col(col), preview).alias("preview"), text_key(col).alias("_key")
     )
-    total = valued.agg(F.count(F.lit(1))).scalar()
-    copied = (
-        valued.groupBy(text_key(col).alias("_key")).agg(F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1")
-        .withColumn("_salts", F.ceil(F.col("copies") * HOT_SHARE / total).cast("int"))
+    groups = valued.groupBy(text_key(col).alias("_key")).agg(F.count(F.lit(1)).alias("copies"))
+    total = groups.agg(F.sum("copies")).scalar()
+    copied = groups.where("copies > 1").withColumn(
+        "_salts", F.ceil(F.col("copies") * HOT_SHARE / total).cast("int")
     )
     hot = copied.where("_salts > 1").select("_key", "_salts")
     salted = rows.join(F.broadcast(hot), "_key", "left").withColumn(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from verdex.runtime import cut
+
 
 def value_counts(df: DataFrame, col: str) -> DataFrame:
     """(value, n): nulls dropped, most frequent first, ties by value."""
@@ -18,9 +20,9 @@ def top_k(df: DataFrame, col: str, k: int) -> DataFrame:
 
 def label_share(df: DataFrame, col: str) -> DataFrame:
     """Value counts with their share in percent."""
-    valued = df.where(F.col(col).isNotNull())
-    total = valued.agg(F.count(F.lit(1))).scalar()
-    return value_counts(df, col).withColumn("pct", 100.0 * F.col("n") / total)
+    counts = value_counts(df, col)
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("pct", 100.0 * F.col("n") / total)
 
 
 def spine(df: DataFrame, lo: int, hi: int, col: str = "ano") -> DataFrame:
@@ -40,15 +42,15 @@ def compare_years(a: DataFrame, b: DataFrame, lo: int, hi: int, col: str = "ano"
     return year_spine(both, lo, hi, col)
 
 
-def top_values(df: DataFrame, col: str, k: int) -> list:
-    """The k most frequent values, on the driver: k values at most."""
-    return [row[0] for row in top_k(df, col, k).select(col).collect()]
+def cells(df: DataFrame, row: str, col: str) -> DataFrame:
+    """Long counts (row, col, n), written once: the top values and the table both come from them."""
+    return cut(df.where(F.col(col).isNotNull()).groupBy(row, col).agg(F.count(F.lit(1)).alias("n")))
 
 
-def top_cells(df: DataFrame, row: str, col: str, values: list) -> DataFrame:
-    """Long counts (row, col, n) of the given column values."""
-    wanted = df.where(F.col(col).isin(values) & F.col(row).isNotNull())
-    return wanted.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
+def top_values(counted: DataFrame, col: str, k: int) -> list:
+    """The k most frequent values of `col` in long counts, on the driver: k values at most."""
+    totals = counted.groupBy(col).agg(F.sum("n").alias("n"))
+    return [r[0] for r in totals.orderBy(F.desc("n"), F.asc(col)).limit(k).select(col).collect()]
 
 
 def crosstab_top(df: DataFrame, row: str, col: str, k: int) -> DataFrame:
@@ -56,20 +58,23 @@ def crosstab_top(df: DataFrame, row: str, col: str, k: int) -> DataFrame:
 
     A row value that occurs only with other column values stays as a row of zeros.
     """
-    values = top_values(df, col, k)
-    valued = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
-    return valued.groupBy(row).pivot(col, values).agg(F.count(F.lit(1))).fillna(0).orderBy(row)
+    counted = cells(df, row, col)
+    values = top_values(counted, col, k)
+    table = counted.where(F.col(row).isNotNull()).groupBy(row).pivot(col, values).agg(F.sum("n"))
+    return table.fillna(0).orderBy(row)
 
 
 def crosstab_pct(df: DataFrame, row: str, col: str, k: int) -> DataFrame:
     """Long form (row, col, n, pct): share within the row, over the k column values only."""
-    cells = top_cells(df, row, col, top_values(df, col, k))
+    counted = cells(df, row, col)
+    wanted = counted.where(F.col(col).isin(top_values(counted, col, k)) & F.col(row).isNotNull())
+    # At most k rows per row value.
     total = F.sum("n").over(Window.partitionBy(row))
-    return cells.withColumn("pct", F.coalesce(F.try_divide(100.0 * F.col("n"), total), F.lit(0.0)))
+    return wanted.withColumn("pct", F.coalesce(F.try_divide(100.0 * F.col("n"), total), F.lit(0.0)))
 
 
 def crosstab_t(df: DataFrame, row: str, col: str, k: int, rows: list) -> DataFrame:
     """The k column values as rows, the given row values as columns."""
-    values = top_values(df, col, k)
-    wanted = df.where(F.col(col).isin(values))
-    return wanted.groupBy(col).pivot(row, rows).agg(F.count(F.lit(1))).fillna(0).orderBy(col)
+    counted = cells(df, row, col)
+    wanted = counted.where(F.col(col).isin(top_values(counted, col, k)))
+    return wanted.groupBy(col).pivot(row, rows).agg(F.sum("n")).fillna(0).orderBy(col)

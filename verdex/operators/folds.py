@@ -17,18 +17,21 @@ def digest(seed: Column, id: str) -> Column:
     return F.md5(F.concat_ws(":", seed.cast("string"), F.col(id).cast("string")))
 
 
-def rank_in_class(df: DataFrame, groups: list[str], order: str, out: str = "nth") -> DataFrame:
-    """Adds the rank (from 1) of each row within its group by the hex digest `order`."""
+def rank_in_class(df: DataFrame, groups: list[str], order: str) -> DataFrame:
+    """Adds `nth`, the rank (from 1) of each row within its group by the hex digest `order`, and
+    `group_size`."""
     bucketed = df.withColumn("_bucket", F.substring(order, 1, PREFIX_DIGITS))
     sizes = bucketed.groupBy(*groups, "_bucket").agg(F.count(F.lit(1)).alias("_size"))
     # Per group at most 16 ** PREFIX_DIGITS rows: one row per bucket.
-    below = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    group = Window.partitionBy(*groups)
+    below = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        *groups, "_bucket", F.coalesce(F.sum("_size").over(below), F.lit(0)).alias("_offset")
+        *groups, "_bucket", F.coalesce(F.sum("_size").over(below), F.lit(0)).alias("_offset"),
+        F.sum("_size").over(group).alias("group_size"),
     )
     within = Window.partitionBy(*groups, "_bucket").orderBy(order)
     ranked = bucketed.withColumn("_rank", F.row_number().over(within))
-    return ranked.join(offsets, [*groups, "_bucket"]).withColumn(out, F.col("_rank") + F.col("_offset")).drop(
+    return ranked.join(offsets, [*groups, "_bucket"]).withColumn("nth", F.col("_rank") + F.col("_offset")).drop(
         "_bucket", "_rank", "_offset"
     )
 
@@ -36,14 +39,12 @@ def rank_in_class(df: DataFrame, groups: list[str], order: str, out: str = "nth"
 def stratified_split(
     df: DataFrame, id: str, label: str, test_share: float = 0.25, seed: int = 42
 ) -> DataFrame:
-    """(id, label, is_test): the first ceil(share * n) rows of every class by digest are the test set."""
-    hashed = df.select(id, label, digest(F.lit(seed), id).alias("_h"))
-    sizes = df.groupBy(label).agg(F.ceil(F.count(F.lit(1)) * test_share).alias("_n_test"))
-    ranked = rank_in_class(hashed, [label], "_h")
-    # One row per class.
-    return ranked.join(F.broadcast(sizes), label).select(
-        id, label, (F.col("nth") <= F.col("_n_test")).alias("is_test")
-    )
+    """(id, label, is_test): the first ceil(share * n) rows of every class by digest are the test set.
+
+    `id` names a row; rows that share an id share a digest and have no order of their own.
+    """
+    ranked = rank_in_class(df.select(id, label, digest(F.lit(seed), id).alias("_h")), [label], "_h")
+    return ranked.select(id, label, (F.col("nth") <= F.ceil(F.col("group_size") * test_share)).alias("is_test"))
 
 
 def fold_table(

@@ -13,7 +13,7 @@ from math import ceil
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 2048
 
 
 def _blocked(df: DataFrame, key: str, name: str, features: str, label: list, own: str, n: int, other: str, m: int):

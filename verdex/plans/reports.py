@@ -47,11 +47,10 @@ def report_class_pct(
 ) -> DataFrame:
     """Year by the k most frequent classes, percent within the year; an empty year is all 0."""
     _need(df, "ano", "classe")
-    values = C.top_values(df, "classe", k)
-    table = df.where(F.col("classe").isin(values)).groupBy("ano").pivot("classe", values).agg(F.count(F.lit(1)))
-    on_spine = C.year_spine(table, lo, hi)
+    table = C.crosstab_top(df, "ano", "classe", k)
+    values = table.columns[1:]
     total = sum((F.col(f"`{v}`") for v in values), F.lit(0))
-    return on_spine.select(
+    return C.year_spine(table, lo, hi).select(
         "ano",
         *[F.coalesce(F.try_divide(100.0 * F.col(f"`{v}`"), total), F.lit(0.0)).alias(v) for v in values],
     )
