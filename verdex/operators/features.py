@@ -48,7 +48,7 @@ def gram_counts(df: DataFrame, grams: str) -> DataFrame:
     The grams of a row are sorted, so a gram that differs from the one before it marks the row as
     one more document with that gram.
     """
-    ordered = df.select(F.array_sort(grams).alias("g"))
+    ordered = df.select(F.sort_array(grams).alias("g"))
     head = F.slice("g", F.lit(1), F.greatest(F.size("g") - 1, F.lit(0)))
     before = F.concat(F.array(F.lit(None).cast("string")), head)
     pairs = ordered.select(F.inline(F.arrays_zip(F.col("g").alias("term"), before.alias("before"))))
@@ -127,6 +127,6 @@ def tfidf_terms(
 ) -> DataFrame:
     """TF-IDF in long form: (key, term, value)."""
     model, terms = fit_tfidf(df, grams, "_tfidf", max_df, max_features, scale)
-    names = F.array(*[F.lit(t) for t in terms])
+    names = F.split(F.lit("\n".join(terms)), "\n")  # folded to one constant array
     cells = vector_cells(model.transform(df.select(key, grams)), key, "_tfidf")
     return cells.select(key, F.element_at(names, F.col("idx") + 1).alias("term"), "value")

@@ -81,11 +81,11 @@ def fold_pages(df: DataFrame, doc: str, page_no: str, text: str, chunk: int = 25
     pieces = (
         df.where(F.col(text).isNotNull())
         .groupBy(doc, F.floor(F.col(page_no) / chunk).alias("_chunk"))
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(page_no).alias("n"), F.col(text).alias("t")))).alias("_p"))
+        .agg(F.sort_array(F.collect_list(F.struct(F.col(page_no).alias("n"), F.col(text).alias("t")))).alias("_p"))
         .select(doc, "_chunk", F.array_join(F.col("_p.t"), "\n").alias("_text"))
     )
     return (
         pieces.groupBy(doc)
-        .agg(F.array_sort(F.collect_list(F.struct("_chunk", "_text"))).alias("_p"))
+        .agg(F.sort_array(F.collect_list(F.struct("_chunk", "_text"))).alias("_p"))
         .select(doc, strip(F.array_join(F.col("_p._text"), "\n")).alias("text"))
     )
