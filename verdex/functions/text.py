@@ -66,9 +66,14 @@ def html_to_text(c: Column) -> Column:
 
 
 def sentence_line(c: Column) -> Column:
-    """The text as one line of non-empty sentences glued with `'. '`, without the last dot."""
-    dotted = F.regexp_replace(collapse_space(c), r" ?\.[. ]*", ". ")
-    return F.btrim(dotted, F.lit(". "))
+    """The text as one line of non-empty sentences glued with `'. '`, without the last dot.
+
+    One pass: a run of white space and dots becomes its first dot, if any, and a blank. The
+    look-ahead passes over printable ASCII other than dots, and over a blank before it.
+    """
+    skip = r"(?![!-\-/-~]| [!-\-/-~])"
+    run = rf"{skip}(?=[{SPACE_CLASS}.])[{SPACE_CLASS}]*(\.?)[{SPACE_CLASS}.]*"
+    return F.btrim(F.regexp_replace(c, run, "$1 "), F.lit(". "))
 
 
 def paragraphs_of_line(line: Column, min_len: int = 300) -> Column:
