@@ -49,7 +49,7 @@ def test_catalogue(spark, folder):
     table = catalogue.coerce_dates(catalogue.catalogue(hits))
     assert len(table.columns) == 36
     kinds = dict(table.dtypes)
-    assert [kinds[c] for c in catalogue.DATE_COLUMNS] == ["timestamp"] * 4
+    assert [kinds[c] for c in catalogue.DATE_COLUMNS] == ["timestamp_ntz"] * 4
     one, two = table.orderBy("id").collect()
     assert one.ministro_facet == "A; B" and two.ministro_facet == "C" and one.ods_onu == "7"
     assert one.ementa_texto == "é" * 1000 + "..." and one.acordao_ata == "curta ata"
@@ -59,10 +59,10 @@ def test_catalogue(spark, folder):
 
 
 def test_coerce_dates(spark):
-    values = ["2021-05-06", "06/05/2021", "x", "2021", None, "2021-05-06T07:08:09"]
+    values = ["2021-05-06", "06/05/2021", "x", "2021", None, "2021-05-06T07:08:09", "31/02/2021", "6/5/2021 07:08:09"]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, julgamento_data string")
     got = [r[1] and str(r[1]) for r in catalogue.coerce_dates(df).orderBy("i").collect()]
-    assert got == ["2021-05-06 00:00:00"] * 2 + [None, "2021-01-01 00:00:00", None, "2021-05-06 07:08:09"]
+    assert got == ["2021-05-06 00:00:00"] * 2 + [None, "2021-01-01 00:00:00", None, "2021-05-06 07:08:09", None, "2021-05-06 07:08:09"]
 
 
 def test_files_and_ids(spark, tmp_path):

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verdex.functions.dates import parse_date
 from verdex.functions.text import clean_text, truncate_text, variant_to_string
 from verdex.sources.pages import LIST_FIELDS
 
@@ -59,9 +60,8 @@ CLEANED = {
     "documental_tese_texto": None,
     "documental_tese_tema": None,
 }
-# Date columns, and the formats tried after ISO.
+# Date columns.
 DATE_COLUMNS = ("julgamento_data", "publicacao_data", "republicacao_data", "dg_atualizado_em")
-DATE_FORMATS = ("dd/MM/yyyy", "dd/MM/yyyy HH:mm:ss")
 # The columns shown first.
 MAIN_COLUMNS = (
     "titulo", "processo_classe_sigla", "procedencia_uf", "orgao_julgador", "julgamento_data",
@@ -87,13 +87,6 @@ def catalogue(hits: DataFrame, fields: Mapping[str, str] = CATALOGUE_FIELDS) ->
     return hits.select(*[column(name, field) for name, field in fields.items()])
 
 
-def coerce_dates(
-    df: DataFrame, cols: Sequence[str] = DATE_COLUMNS, formats: Sequence[str] = DATE_FORMATS
-) -> DataFrame:
-    """Text dates to timestamps: ISO first, then each format; what fits none becomes null."""
-
-    def parsed(c: str):
-        tries = [F.try_to_timestamp(F.col(c))] + [F.try_to_timestamp(F.col(c), F.lit(f)) for f in formats]
-        return F.coalesce(*tries)
-
-    return df.withColumns({c: parsed(c) for c in cols if c in df.columns})
+def coerce_dates(df: DataFrame, cols: Sequence[str] = DATE_COLUMNS) -> DataFrame:
+    """Text dates (ISO or day first) to timestamps; what is neither becomes null."""
+    return df.withColumns({c: parse_date(F.col(c)) for c in cols if c in df.columns})

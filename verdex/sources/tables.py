@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verdex.functions.dates import parse_date
+
 # Accepted column names per report field, in order of preference.
 RESULT_ALIASES = {
     "data": ("data", "data_julgamento", "julgamento_data", "date", "Data"),
@@ -40,7 +42,7 @@ def year_of(df: DataFrame, col: str) -> F.Column:
     if kind in ("int", "bigint", "smallint"):
         return F.col(f"`{col}`").cast("int")
     if kind == "string":
-        return F.year(F.try_to_timestamp(F.col(f"`{col}`")))
+        return F.year(parse_date(F.col(f"`{col}`")))
     return F.year(F.col(f"`{col}`"))
 
 
@@ -56,7 +58,7 @@ def resolve_columns(df: DataFrame, aliases: Mapping[str, Sequence[str]] = RESULT
     out = df.select(*[F.col(f"`{name}`").alias(field) for field, name in picked.items()])
     if "data" in picked:
         if dict(out.dtypes)["data"] == "string":
-            out = out.withColumn("data", F.try_to_timestamp("data"))
+            out = out.withColumn("data", parse_date(F.col("data")))
         out = out.dropna(subset=["data"]).withColumn("ano", F.year("data"))
     return out
 
