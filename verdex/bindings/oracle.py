@@ -261,6 +261,58 @@ SELECT row_id, label, CAST(p > 0.5 AS DOUBLE) AS prediction, round(greatest(p, 1
 FROM split JOIN votes ON q = row_id WHERE is_test"""
 
 
+def cascade_sql() -> str:
+    """The selection cascade, one group of table expressions per metric.
+
+    Rivals are told by the published 5 % critical values of the Nemenyi test for 2 to 5 models;
+    chi-square tails are closed forms for 2, 3 and 4 degrees of freedom.
+    """
+    metrics = {
+        "precision_sim": "round(avg(value + 6.0 * least(length(event_type), 6)), 5)",
+        "accuracy": "max(value)",
+        "f1_macro": "min(value)",
+    }
+    parts = [
+        f"""cv AS (SELECT event_type AS model, user_id % 10 AS block, {', '.join(f'{sql} AS {m}' for m, sql in metrics.items())}
+        FROM events GROUP BY ALL)""",
+        "c0 AS (SELECT DISTINCT event_type AS model FROM events)",
+        "critical(k, q) AS (VALUES (2, 1.960), (3, 2.343), (4, 2.569), (5, 2.728))",
+        TEST_SCORES,
+    ]
+    traces = []
+    for i, metric in enumerate(metrics, start=1):
+        parts.append(f"""
+n{i} AS (SELECT count(*) AS k FROM c{i - 1}),
+t{i} AS (
+  SELECT block, model, {metric} AS score, count(*) OVER (PARTITION BY block, {metric}) AS tied,
+    rank() OVER (PARTITION BY block ORDER BY {metric}) + (count(*) OVER (PARTITION BY block, {metric}) - 1) / 2 AS r
+  FROM cv JOIN c{i - 1} USING (model)),
+m{i} AS (SELECT model, avg(r) AS mr, sum(r) AS sr, avg(score) AS mean, count(*) AS n FROM t{i} GROUP BY model),
+f{i} AS (
+  SELECT k, max(n) AS n, sum(sr * sr) AS ss, (SELECT sum(tied * tied - 1) FROM t{i}) AS ties FROM m{i}, n{i} GROUP BY k),
+x{i} AS (
+  SELECT k, CASE WHEN k > 2 AND ties < n * k * (k * k - 1)
+    THEN (12 / (n * k * (k + 1)) * ss - 3 * n * (k + 1)) / (1 - ties / (n * k * (k * k - 1))) END AS x FROM f{i}),
+p{i} AS (
+  SELECT CASE k WHEN 3 THEN exp(-x / 2) WHEN 5 THEN exp(-x / 2) * (1 + x / 2)
+    WHEN 4 THEN sqrt(2 * x / pi()) * exp(-x / 2) + 1 - sqrt(2 / pi()) * (
+      SELECT sum(exp((2 * i + 1) * ln(sqrt(greatest(x, 1e-300))) - l - x / 2))
+      FROM (SELECT i, sum(ln(2 * i + 1)) OVER (ORDER BY i) AS l FROM (SELECT unnest(range(0, 300)) AS i))) END AS p
+  FROM x{i}),
+b{i} AS (SELECT model AS best, mr AS best_rank FROM m{i} ORDER BY round(mean, 12) DESC, model LIMIT 1),
+c{i} AS (
+  SELECT model FROM m{i}, b{i}, n{i}, p{i} JOIN critical ON true
+  WHERE critical.k = n{i}.k AND (p IS NULL OR p >= 0.05 OR model = best
+    OR abs(mr - best_rank) / sqrt(n{i}.k * (n{i}.k + 1) / (6.0 * n)) < q)
+  UNION SELECT model FROM c{i - 1} WHERE (SELECT k FROM n{i}) = 1)""")
+        traces.append(f"""SELECT CAST({i} AS INTEGER) AS step, '{metric}' AS metric, round((SELECT p FROM p{i}), 6) AS p_value, model
+        FROM c{i} WHERE (SELECT k FROM n{i}) > 1""")
+    last = len(metrics)
+    traces.append(f"""SELECT * FROM (SELECT CAST({last + 1} AS INTEGER), 'test accuracy', CAST(NULL AS DOUBLE), model
+        FROM tested JOIN c{last} USING (model) WHERE (SELECT count(*) FROM c{last}) > 1 ORDER BY accuracy DESC, model LIMIT 1)""")
+    return f"WITH {', '.join(parts)} {' UNION ALL '.join(traces)}"
+
+
 ORACLE: dict[str, str] = {
     "ingest_hits": f"""WITH {PAGED}
         SELECT unnest(['invalid JSON', 'no result.hits.hits']) AS reason, count(DISTINCT page) AS n FROM paged""",
@@ -394,7 +446,7 @@ ORACLE: dict[str, str] = {
         SELECT model, round(a, 6) AS mean_score, round(s, 6) AS std_score,
           CAST(rank() OVER (ORDER BY round(a, 12) DESC) AS INTEGER) AS rank FROM m""",
     "model_summary": f"""WITH {TEST_SCORES}, f AS (
-          SELECT event_type AS model, user_id % 10 AS fold, round(avg(value), 5) AS p, max(value) AS a FROM events GROUP BY ALL),
+          SELECT event_type AS model, user_id % 10 AS fold, round(avg(value + 6.0 * least(length(event_type), 6)), 5) AS p, max(value) AS a FROM events GROUP BY ALL),
         cv AS (SELECT model, avg(a) AS a, avg(p) AS p FROM f GROUP BY model)
         SELECT model, round(a, 6) AS cv_accuracy, round(p, 6) AS cv_precision_sim, accuracy AS test_accuracy,
           precision_sim AS test_precision_sim, f1_macro AS test_f1_macro FROM cv LEFT JOIN tested USING (model)""",
@@ -427,6 +479,7 @@ ORACLE: dict[str, str] = {
           FROM shifts s CROSS JOIN grid LEFT JOIN cdf a ON a.x = z LEFT JOIN cdf b ON b.x = z - s.s GROUP BY s.q)
         SELECT item_a, item_b, round(pairs.q, 6) AS q, round(CASE WHEN pairs.q = 0 THEN 1.0 ELSE p END, 6) AS p_value
         FROM pairs JOIN p ON p.q = pairs.q""",
+    "select_model": cascade_sql(),
     "clf_knn": knn_sql(),
     "positives_with_metadata": """SELECT doc_id, lang, source, n_chars FROM documents
         WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""",

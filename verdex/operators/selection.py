@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from verdex.functions.tails import chi2_sf, range_sf
 from verdex.operators.metrics import METRICS
+from verdex.runtime import cut
 
 
 def fold_ranks(scores: DataFrame, block: str, item: str, score: str) -> DataFrame:
@@ -77,6 +78,7 @@ def select_model(
     with the best mean and those the Nemenyi test does not tell from it. With two candidates left
     there is no Friedman test, so both go on.
     """
+    cv = cut(cv)  # every round reads it
     candidates, trace = list(order), []
     for step, metric in enumerate(metrics, start=1):
         if len(candidates) == 1:
