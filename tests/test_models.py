@@ -197,6 +197,40 @@ def test_classifiers(split, name, params):
         assert len(top) == 5 and [r.importance for r in top] == sorted((r.importance for r in top), reverse=True)
 
 
+def test_logistic_regression_is_the_optimum_it_should_be(split):
+    """Zero gradient of C * sum(balanced weight * log loss) + |w|^2 / 2, the intercept not penalised."""
+    train, _ = split
+    model = classify.fit_model("LogisticRegression", train, C=10)
+    rows = model.featurise(train).select("features", "label").collect()
+    x, y = np.array([r.features.toArray() for r in rows]), np.array([r.label for r in rows])
+    weight = np.where(y == 1, len(y) / (2 * (y == 1).sum()), len(y) / (2 * (y == 0).sum()))
+    w, b = model.solver.coefficients.toArray(), model.solver.intercept
+    off = weight * (1 / (1 + np.exp(-(x @ w + b))) - y)
+    gradient = 10 * x.T @ off + w
+    scale = np.abs(10 * x.T @ (weight * (0.5 - y))).max()  # the gradient at zero
+    assert np.abs(gradient).max() < 1e-2 * scale and abs(10 * off.sum()) < 1e-2 * scale
+
+
+def test_linear_svc_objective(split):
+    """No better than the solver's: nudged coefficients do not lower the weighted hinge objective."""
+    train, _ = split
+    model = classify.fit_model("SVC", train, C=1, kernel="linear")
+    rows = model.featurise(train).select("features", "label").collect()
+    x, y = np.array([r.features.toArray() for r in rows]), np.array([2 * r.label - 1 for r in rows])
+    weight = np.where(y == 1, len(y) / (2 * (y == 1).sum()), len(y) / (2 * (y == -1).sum()))
+    w, b = model.solver.coefficients.toArray(), model.solver.intercept
+
+    def objective(w, b):
+        return (weight * np.maximum(0, 1 - y * (x @ w + b))).sum() + w @ w / 2
+
+    best, rng = objective(w, b), np.random.default_rng(0)
+    assert best < objective(w * 0, 0.0)
+    for size in (0.3, 0.1):
+        for _ in range(20):
+            nudge = rng.normal(0, size * np.abs(w).mean(), len(w))
+            assert objective(w + nudge, b) > best * 0.99
+
+
 def test_train_select_score(corpus, spark):
     grids = {
         "LogisticRegression": {"max_features": [20, 40], "C": [1]},

@@ -133,3 +133,10 @@ def test_stems(spark, sf):
     got = dict(df.select("w", stem_words("array(w)")[0]).collect())
     assert got == {w: brute.stem(w) for w in words}
     assert got["meninas"] == "menin" and got["normais"] == "norm" and got["felizmente"] == "feliz"
+
+
+def test_a_very_long_document(spark):
+    text = "Uma frase com  coase.\n Outra frase, mais longa do que a primeira\u2003sem ponto " * 20000
+    df = spark.createDataFrame([(1, text)], "id int, text string")
+    got = [r.paragraph for r in terms.paragraphs(df, "id", "text").orderBy("pos").collect()]
+    assert got == brute.paragraphs(text)

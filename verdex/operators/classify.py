@@ -67,6 +67,7 @@ class TextModel:
     featurise: Callable[[DataFrame], DataFrame]
     predict: Callable[[DataFrame], DataFrame]
     importances: Sequence[float] | None = field(default=None)
+    solver: object = field(default=None)  # the MLlib model, where there is one
 
     def transform(self, df: DataFrame) -> DataFrame:
         keep = [c for c in df.columns if c not in ("prediction", "confidence")]
@@ -110,7 +111,7 @@ def _from_probability(model) -> Callable[[DataFrame], DataFrame]:
     return predict
 
 
-def _fit_svc(rows: DataFrame, n: int, C: float) -> tuple[Callable[[DataFrame], DataFrame], Sequence[float]]:
+def _fit_svc(rows: DataFrame, n: int, C: float):
     """Linear SVC with Platt's sigmoid, fitted on margins of rows the SVC did not see."""
 
     def svc(df: DataFrame, size: float):
@@ -144,7 +145,7 @@ def _fit_svc(rows: DataFrame, n: int, C: float) -> tuple[Callable[[DataFrame], D
             "confidence", F.array_max(vector_to_array("probability"))
         )
 
-    return predict, [abs(x) for x in model.coefficients]
+    return predict, [abs(x) for x in model.coefficients], model
 
 
 def _fourier_stage(rows: DataFrame) -> Callable[[DataFrame], DataFrame]:
@@ -190,26 +191,26 @@ def fit_model(name: str, train: DataFrame, featurised=None, **params) -> TextMod
         featurise = lambda df: stage(plain(df))
     size = TREE_PARTITION_ROWS if name in TREES else PARTITION_ROWS
     with _training(rows, name in WEIGHTED, size) as (rows, n):
-        predict, importances = _fit_solver(name, rows, n, len(terms), params)
+        predict, importances, solver = _fit_solver(name, rows, n, len(terms), params)
     if params.get("kernel") == "rbf":
         importances = None
-    return TextModel(name, params, terms, featurise, predict, importances)
+    return TextModel(name, params, terms, featurise, predict, importances, solver)
 
 
 def _fit_solver(name: str, rows: DataFrame, n: int, n_terms: int, params: dict):
-    """(predict, importances or None) of the named solver on weighted feature rows."""
+    """(predict, importances or None, MLlib model) of the named solver on weighted feature rows."""
     if name == "LogisticRegression":
         model = LogisticRegression(
             regParam=1.0 / (params.get("C", 1) * n), elasticNetParam=0.0, standardization=False,
             weightCol="weight", maxIter=1000, tol=1e-4,
         ).fit(rows)
-        return _from_probability(model), [abs(x) for x in model.coefficients]
+        return _from_probability(model), [abs(x) for x in model.coefficients], model
     if name == "RandomForest":
         model = RandomForestClassifier(
             numTrees=params.get("n_estimators", 200), maxDepth=params.get("max_depth", 20) or MAX_TREE_DEPTH,
             weightCol="weight", seed=SEED,
         ).fit(rows)
-        return _from_probability(model), model.featureImportances.toArray().tolist()
+        return _from_probability(model), model.featureImportances.toArray().tolist(), model
     if name in ("BoostedTreesWeighted", "BoostedTrees"):
         preset = (
             {"stepSize": params.get("learning_rate", 0.05), "maxDepth": 5, "minInstancesPerNode": 20}
@@ -219,14 +220,14 @@ def _fit_solver(name: str, rows: DataFrame, n: int, n_terms: int, params: dict):
         model = GBTClassifier(
             maxIter=params.get("n_estimators", 100), weightCol="weight", seed=SEED, **preset
         ).fit(rows)
-        return _from_probability(model), model.featureImportances.toArray().tolist()
+        return _from_probability(model), model.featureImportances.toArray().tolist(), model
     if name == "SVC":
         return _fit_svc(rows, n, params.get("C", 1))
     if name == "MLPClassifier":
         model = MultilayerPerceptronClassifier(
             layers=[n_terms, params.get("hidden", 50), 2], maxIter=MLP_ITERATIONS, seed=SEED
         ).fit(rows)
-        return _from_probability(model), None
+        return _from_probability(model), None, model
     raise ValueError(f"unknown model {name}")
 
 
