@@ -39,6 +39,13 @@ def test_read_hits(spark, folder):
     assert (audit.pages, audit.declared, audit.actual, audit.missing) == (3, 3, 2, 1)
 
 
+def test_page_order(spark):
+    rows = [(f"file:///d1/pagina{n}.txt", p) for n in (10, 9, 1) for p in (1, 0)]
+    df = spark.createDataFrame(rows, "page string, pos int")
+    got = [(r.page[17:-4], r.pos) for r in pages.in_page_order(df).collect()]
+    assert got == [("1", 0), ("1", 1), ("9", 0), ("9", 1), ("10", 0), ("10", 1)]
+
+
 def test_no_page_at_all(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         pages.read_raw_pages(spark, [f"{tmp_path}/none.txt"])

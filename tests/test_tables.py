@@ -3,7 +3,6 @@ import math
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from verdex.operators import audit, counts, folds
 from verdex.plans import reports

@@ -81,8 +81,14 @@ def split_hits(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     return hits, quarantine
 
 
+def in_page_order(hits: DataFrame) -> DataFrame:
+    """Hits sorted by the last number in the page's name (page 10 after page 9), name and position."""
+    number = F.regexp_extract(F.col("page").cast("string"), r"(\d+)\D*$", 1).try_cast("bigint")
+    return hits.orderBy(number, "page", "pos")
+
+
 def read_hits(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Hits of all good pages, in page order by (page, pos), and the quarantine table."""
+    """Hits of all good pages with their place (page, pos), and the quarantine table."""
     raw, missing = read_raw_pages(spark, paths)
     hits, quarantine = split_hits(parse_pages(raw))
     if missing:
