@@ -252,7 +252,7 @@ def paragraphs(spark, sf_dir):
 @query
 def dedup_prefix(spark, sf_dir):
     cut = terms.paragraphs(documents(spark, sf_dir), "doc_id", "text")
-    return terms.dedup_prefix(cut, "doc_id", "paragraph", "pos", 8)
+    return terms.dedup_prefix(cut, "doc_id", "paragraph", "pos")
 
 
 @query
