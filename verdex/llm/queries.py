@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdex.llm import chat, packing, urls
+from verdex.llm import chat, language, packing, quality, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,40 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.segments(turns.unionByName(planted)))
+
+
+@query
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures and line-frequency verdict of every document."""
+    return quality.apply_rules(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    filters = language.fit(docs.where(~language.held_out(F.col("doc_id"))))
+    return language.predict(docs.select("doc_id", "text"), filters).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "support"
+    )
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels of those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
+    model = toxicity.fit(docs.where(~language.held_out(F.col("doc_id"))).join(labels, "doc_id"))
+    return toxicity.score(docs, model).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted"
+    )
+
+
+@query
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left in every document without the 50-byte strings of smaller ids."""
+    return substrings.remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
