@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdex.llm import chat, language, packing, quality, substrings, toxicity, urls
+from verdex.llm import chat, jaccard, language, packing, quality, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,3 +89,9 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
     )
+
+
+@query
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-copy component of every document."""
+    return jaccard.near_groups(table(spark, sf_dir, "documents"))
