@@ -1,15 +1,88 @@
-"""The corpus pipeline: stages over `documents`, each written and read again."""
+"""The corpus pipeline: `documents` through five stages, each written and read again.
+
+Language ID rejects documents without a language; of near copies one document stays; documents that
+hold a benchmark item go; secrets are masked; what is left is packed into training sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from verdex.llm import decontaminate, jaccard, language, packing, secrets
+from verdex.llm.common import small, stored
+
+#: A document is rejected if fewer of its n-grams than this share belong to the language found.
+LEAST_SUPPORT = 0.3
+#: Document ids up to which they are broadcast; more are joined by shuffle.
+BROADCAST_IDS = 200_000
+
+_NO_ID = -(2**63)
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """`docs` without the rows whose doc_id is in `dropped` (doc_id); null matches null."""
+    gone = stored(dropped.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("_id")).distinct(), "dropped")
+    return docs.join(small(gone, BROADCAST_IDS), F.coalesce(docs["doc_id"], F.lit(_NO_ID)) == F.col("_id"), "left_anti")
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents whose language is known, learned from the column `lang`.
+
+    Rejected: null text, no letters, or too few n-grams of any language. Repeated rows are judged
+    each. If no row has a language, nothing can be learned and every row with letters stays.
+    """
+    filters = language.fit(docs)
+    if not filters.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    judged = language.predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), filters)
+    return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("support") >= LEAST_SUPPORT)).select("row.*")
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies keep the document with the smallest id.
+
+    Rows that repeat an id are one document and stay or go together, but equal rows stay once. Texts
+    without words have no copies.
+    """
+    groups = jaccard.near_groups(docs)
+    same = F.col("doc_id") == F.col("component_id")
+    return _without(docs.distinct(), groups.where(~same))
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold an item of the table `benchmark`."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _without(docs, decontaminate.find_leaks(docs, items).select("doc_id"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mask secrets in the texts; `n_chars` is counted anew where a text holds the mask."""
+    masked = secrets.redact(docs, secrets.find_secrets(docs))
+    changed = F.contains("text", F.lit(secrets.MASK))
+    return masked.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Training sequences of 2048 tokens: sequence_id, n_tokens, padded_to, ids, pieces."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_copies", near_copies),
+    ("benchmark", benchmark),
+    ("secret_scan", secret_scan),
+    ("pack", pack),
+]
 
-STAGES = []
+#: SimHash, forest and tokenizer have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`; the last one's sequences."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -68,3 +68,18 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def pinned(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns through a generator of one row.
+
+    The optimiser otherwise writes a column's expression into each place that uses it, and computes
+    it once per use, in lambdas once per element.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
+def small(df: DataFrame, rows: int) -> DataFrame:
+    """`df` with a broadcast hint if it has at most `rows` rows; beyond, joins shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -98,3 +98,19 @@ select d.doc_id, length(h) // 2 as n_bytes, cast(coalesce(n, 0) as bigint) as n_
            2 * ((case when j = k + 1 then length(h) // 2 else bs[j] end) - (case when j = 1 then 0 else es[j - 1] end)))), '') end)) as kept_sha256
 from d left join spans using (doc_id)
 """
+
+ORACLE["op7_jaccard"] = f"""
+with recursive d as (
+  select row_number() over () as n, doc_id, {_WORDS.format(_ASCII_LOWER.format("coalesce(text, '')"))} as w from documents),
+sets as (
+  select n, doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s from d),
+grams as (select n, len(s) as size, unnest(s) as g from sets),
+often as (select * from grams qualify count(*) over (partition by g) > 1),
+links as (
+  select a.n as a, b.n as b from often a join often b on a.g = b.g and a.n <> b.n
+  group by a.n, b.n, a.size, b.size having 100 * count(*) >= 80 * (a.size + b.size - count(*))),
+reach(a, b) as (select n, n from d union select r.a, l.b from reach r join links l on r.b = l.a)
+select s.doc_id, len(s.s) as n_shingles, min(t.doc_id) as component_id
+from sets s join reach r on s.n = r.a join sets t on r.b = t.n group by s.n, s.doc_id, s.s
+"""

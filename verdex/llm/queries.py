@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdex.llm import chat, jaccard, language, packing, quality, substrings, toxicity, urls
+from verdex.llm import chat, decontaminate, jaccard, language, packing, quality, secrets, substrings, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,3 +95,18 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-copy component of every document."""
     return jaccard.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key-like string of every document and whether it is a secret; never the string itself."""
+    return secrets.find_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", "number", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("candidate_sha256"),
+        "probability", "is_secret",
+    )
