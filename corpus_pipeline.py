@@ -45,9 +45,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that repeat an id are one document and stay or go together, but equal rows stay once. Texts
     without words have no copies.
     """
-    groups = jaccard.near_groups(docs)
-    same = F.col("doc_id") == F.col("component_id")
-    return _without(docs.distinct(), groups.where(~same))
+    groups = stored(jaccard.near_groups(docs), "groups")
+    repeated = groups.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_id")
+    repeated = stored(repeated, "repeated")
+    if not repeated.isEmpty():  # ids are unique as a rule, and then no text is moved
+        match, ids = docs["doc_id"].eqNullSafe(F.col("_id")), small(repeated, BROADCAST_IDS)
+        docs = docs.join(ids, match, "left_anti").unionByName(docs.join(ids, match, "left_semi").distinct())
+    return _without(docs, groups.where("doc_id <> component_id"))
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
