@@ -8,7 +8,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from verdex.functions.tails import chi2_sf, range_sf
-from verdex.operators import classify, features, knn, metrics, selection
+from verdex.operators import classify, features, folds, knn, metrics, selection
 from verdex.plans.evidence import train_and_select
 
 WORDS = "lei custo mercado firma coase recurso ação voto turma pleno relator direito norma bem".split()
@@ -63,7 +63,8 @@ def test_scaling(spark):
 
 
 @pytest.mark.parametrize("block_rows", [4096, 7])
-def test_knn_is_exact_over_tiles(spark, block_rows):
+def test_knn_is_exact_over_blocks(spark, block_rows, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_ROWS", block_rows)
     rng = np.random.default_rng(3)
     dense = np.round(rng.random((60, 6)) * (rng.random((60, 6)) < 0.5), 1)
     dense[10] = dense[11] = dense[12]  # ties
@@ -71,18 +72,64 @@ def test_knn_is_exact_over_tiles(spark, block_rows):
     df = spark.createDataFrame(rows, ["row_id", "label", "features"])
     train, query = df.where("row_id < 40"), df.where("row_id >= 40 or row_id = 11")
     got = {}
-    for r in knn.nearest(train, query, 3, block_rows=block_rows).collect():
+    for r in knn.nearest(train, query, 3).collect():
         got.setdefault(r.row_id, set()).add((r.neighbour, r.neighbour_label, round(r.distance, 6)))
     for q in [11, *range(40, 60)]:
         d = np.round(((dense[:40] - dense[q]) ** 2).sum(1), 9)
         order = sorted(range(40), key=lambda t: (d[t], t))[:3]
         assert got[q] == {(t, float(t % 2), round(math.sqrt(d[t]), 6)) for t in order}
-    votes = {r.row_id: (r.prediction, r.confidence) for r in knn.knn_vote(train, query, 3, block_rows=block_rows).collect()}
+    votes = {r.row_id: (r.prediction, r.confidence) for r in knn.voter(train, 3)(query).collect()}
     for q, found in got.items():
         p = sum(l for _, l, _ in found) / 3
         assert votes[q] == (float(p > 0.5), pytest.approx(max(p, 1 - p)))
 
 
+def test_knn_keeps_null_and_repeated_ids_and_its_bound(spark):
+    rows = [(i, float(i > 2), Vectors.sparse(1, {0: float(i)})) for i in range(6)]
+    train = spark.createDataFrame(rows, ["row_id", "label", "features"])
+    asked = train.selectExpr("case when row_id < 2 then null when row_id < 4 then 9 else row_id end as row_id", "features")
+    votes = sorted((r.row_id is None, r.row_id or 0, r.prediction) for r in knn.voter(train, 1)(asked).collect())
+    assert votes == [(False, 4, 1.0), (False, 5, 1.0), (False, 9, 0.0), (False, 9, 1.0), (True, 0, 0.0), (True, 0, 0.0)]
+    with pytest.raises(ValueError):
+        knn.training_set(train, most=5)
+
+
+@pytest.mark.parametrize("name,params", [
+    ("LogisticRegression", {"C": 1}), ("RandomForest", {"n_estimators": 5, "max_depth": 4}),
+    ("BoostedTreesWeighted", {"n_estimators": 3}), ("BoostedTrees", {"n_estimators": 3}), ("SVC", {"C": 1}),
+    ("KNeighbors", {"n_neighbors": 3}), ("MLPClassifier", {"hidden": 5}),
+])
+def test_models_do_not_depend_on_partitions(split, name, params):
+    train, test = split
+    found = [
+        {r.row_id: (r.prediction, round(r.confidence, 5)) for r in classify.fit_model(name, train.repartition(n), **params).transform(test).collect()}
+        for n in (1, 4, 7)
+    ]
+    assert found[0] == found[1] == found[2]
+
+
+def test_train_table_keeps_every_row_and_splits_by_id(spark):
+    rows = [(f"d{i // 3}", f"texto numero {i} casa rua", float(i // 3 % 2)) for i in range(60)]
+    table = classify.train_table(spark.createDataFrame(rows, "id string, text string, label double"), "id", "text", "label")
+    sides = {}
+    for r in table.collect():
+        sides.setdefault(r.row_id, []).append(r.is_test)
+    assert table.count() == 60 and all(len(v) == 3 and len(set(v)) == 1 for v in sides.values())
+    assert 12 <= sum(v[0] for v in sides.values()) * 3 <= 24
+
+
+def test_split_cuts_are_the_stratified_split(spark):
+    df = spark.createDataFrame([(i, i % 3) for i in range(200)], "id long, label long")
+    cuts = folds.split_cuts(df, "id", "label")
+    got = {(r.id, r.t) for r in df.select("id", folds.in_test(cuts, "id", "label").alias("t")).collect()}
+    assert got == {(r.id, r.is_test) for r in folds.stratified_split(df, "id", "label").collect()}
+
+
+def test_confusion_keeps_a_class_without_rows(spark):
+    right = spark.createDataFrame([(1.0, 1.0)] * 3, "label double, prediction double")
+    assert [tuple(r) for r in metrics.confusion(right).collect()] == [(0.0, 0, 0), (1.0, 0, 3)]
+
+
 def test_metrics_edges(spark):
     none = spark.createDataFrame([(1.0, 0.0), (0.0, 0.0)], "label double, prediction double")
     assert metrics.binary_metrics(none).first().asDict() == pytest.approx(

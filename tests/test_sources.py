@@ -3,7 +3,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from verdex.operators import catalogue
+from verdex.operators import audit, catalogue
+from verdex.plans import corpus
 from verdex.sources import files, pages, sinks, tables
 
 
@@ -144,3 +145,22 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/pq").first().l == ["x", "y"]
     sinks.write_json(df, f"{tmp_path}/json")
     assert "é" in spark.read.text(f"{tmp_path}/json").first().value
+
+
+def test_catalogue_ids_of_titles_with_line_feeds(spark, tmp_path):
+    df = spark.createDataFrame([("1", 'linha um\nlinha dois, "x"'), ("2", "y\r\nz"), (None, "w")], "id string, titulo string")
+    sinks.write_csv(df, f"{tmp_path}/cat")
+    assert sorted(r.id for r in tables.catalogue_ids(spark, f"{tmp_path}/cat").collect()) == ["1", "2"]
+
+
+def test_duplicates_in_text_order(spark):
+    same = "p" * 120
+    rows = [(1, same + "b"), (2, same + "a"), (3, same + "b"), (4, same + "a"), (5, "once"), (6, None), (7, None)]
+    got = audit.duplicate_rows(spark.createDataFrame(rows, "id int, t string"), "id", "t").collect()
+    assert [(r.id, r.copies) for r in got] == [(2, 2), (4, 2), (1, 2), (3, 2)]
+
+
+def test_merge_without_hits_writes_nothing(spark, tmp_path):
+    (tmp_path / "p1.txt").write_text("{}")
+    out = corpus.merge_pages(spark, [f"{tmp_path}/p1.txt", f"{tmp_path}/none.txt"], f"{tmp_path}/out")
+    assert not (tmp_path / "out").exists() and out["quarantine"].count() == 2

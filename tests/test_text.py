@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from verdex.functions import text as T
 from verdex.functions.stem import stem_words
+from verdex.functions.stem_rules import STEPS
 from verdex.operators import terms
 
 TERMS = ["Teorema de Coase", "coase", "ção", "Kaldor–Hicks", "north"]
@@ -140,3 +141,35 @@ def test_a_very_long_document(spark):
     df = spark.createDataFrame([(1, text)], "id int, text string")
     got = [r.paragraph for r in terms.paragraphs(df, "id", "text").orderBy("pos").collect()]
     assert got == brute.paragraphs(text)
+
+
+def test_prefilter_never_changes_the_result(spark, sf):
+    """Also for terms that end in a dot, at the end of a document."""
+    df = spark.createDataFrame([(1, "x. Sem arte nem"), (2, "y. Uma arte. Fim"), (3, "z. Outra Art.")], "id int, text string")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").cast("int").alias("id"), "text")
+    for rows, words in ((df, ("art.", "arte.")), (docs, ("the.", "on.", "nicht"))):
+        cut = terms.match_terms(terms.paragraphs(rows, "id", "text"), "paragraph", words)
+        want = terms.dedup_prefix(cut, "id", "paragraph", "pos").select("id", "pos")
+        got = terms.term_paragraphs(rows, "id", "text", words).select("id", "pos")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert sorted(r.id for r in terms.term_paragraphs(df, "id", "text", ("art.", "arte.")).collect()) == [2, 3]
+
+
+# Published examples of the stemmer's steps: a word and what the step leaves of it.
+EXAMPLES = {
+    "plural": "bons bom balões balão capitães capitão normais normal papéis papel lençóis lençol barris barril casas casa",
+    "feminine": "chefona chefão professora professor americana americano sozinha sozinho inglesa inglês famosa famoso maníaca maníaco "
+    "prática prático cansada cansado mantida mantido passiva passivo primeira primeiro",
+    "augmentative": "fortíssimo fort chiquérrimo chiqu",
+    "adverb": "felizmente feliz",
+    "verb": "cantaríamo cant beberíamo beb partiríamo part cantássemo cant cantando cant bebendo beb partindo part propondo prop "
+    "cantava cant bebiam beb agrava agrava",
+    "vowel": "menina menin grande grand menino menin",
+}
+
+
+@pytest.mark.parametrize("step", EXAMPLES)
+def test_stems_of_example_words(spark, step):
+    pairs = EXAMPLES[step].split()
+    df = spark.createDataFrame([(pairs[::2],)], "w array<string>")
+    assert df.select(stem_words("w", dict.fromkeys(STEPS, ()) | {step: STEPS[step]})).first()[0] == pairs[1::2]

@@ -368,8 +368,10 @@ ORACLE: dict[str, str] = {
         FROM tfidf JOIN devs USING (term)""",
     "missing_files": """SELECT DISTINCT CAST(doc_id AS VARCHAR) AS id FROM documents
         WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
-    "extra_files": """SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS id FROM orders
-        WHERE o_custkey NOT IN (SELECT doc_id FROM labels)""",
+    "extra_files": """SELECT DISTINCT CAST(doc_id AS VARCHAR) AS id FROM documents
+        WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)""",
+    "catalogue_audit": """SELECT DISTINCT CAST(doc_id AS VARCHAR) AS id FROM documents
+        WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
     "duplicate_stats": """SELECT count(*) AS total, count(DISTINCT text) + max(CAST(text IS NULL AS INTEGER)) AS distinct_values,
         count(*) - count(DISTINCT text) - max(CAST(text IS NULL AS INTEGER)) AS duplicates FROM documents""",
     "duplicate_rows": """SELECT doc_id, CASE WHEN length(text) > 100 THEN left(text, 100) || '...' ELSE text END AS preview,

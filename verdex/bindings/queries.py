@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from verdex.functions import text as T
 from verdex.operators import audit, catalogue, classify, counts, features, folds, metrics, selection, terms
 from verdex.plans import reports
-from verdex.runtime import spread
-from verdex.sources import files, pages, tables
+from verdex.runtime import shared_path, spread
+from verdex.sources import files, pages, sinks, tables
 
 TERMS = ("the of", "nicht", "ción", "Elle un", "license", "token", "mit ", "apache", "Geau", "@")
 FIRST_YEAR, LAST_YEAR = 1996, 2003
 PAGE_HITS = 100
 WANTED = ("c_name", "c_phone", "c_nationkey", "c_mktsegment", "c_comment")
-FOLDS, REPEATS = 5, 2
+FOLDS, REPEATS = 10, 5
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 FLAGS = dict(zip(pages.FLAG_FIELDS, ("click", "error", "purchase", "signup", "view")))
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,14 +214,9 @@ def profile(spark, sf_dir):
 @query
 def label_encode(spark, sf_dir):
     """Order priorities as their place in the alphabetical list, and back."""
-    from pyspark.ml.feature import IndexToString, StringIndexer
-
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
-    indexer = StringIndexer(
-        inputCol="o_orderpriority", outputCol="label_index", stringOrderType="alphabetAsc"
-    ).fit(orders)
-    back = IndexToString(inputCol="label_index", outputCol="decoded", labels=indexer.labels)
-    return back.transform(indexer.transform(orders)).select("o_orderkey", "label_index", "decoded")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("label_index"))
+    coded = classify.encode_labels(orders, "label_index", PRIORITIES)
+    return coded.withColumn("decoded", classify.decode_labels(F.col("label_index"), PRIORITIES))
 
 
 @query
@@ -303,11 +299,24 @@ def missing_files(spark, sf_dir):
 
 @query
 def extra_files(spark, sf_dir):
-    listed = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
-    present = table(spark, sf_dir, "orders").select(F.col("o_custkey").cast("string").alias("id"))
+    """Files are the documents; the catalogue lists those labelled as of good quality."""
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    listed = good.select(F.col("doc_id").cast("string").alias("id"))
+    present = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"))
     return audit.missing_ids(present, listed, "id")
 
 
+@query
+def catalogue_audit(spark, sf_dir):
+    """Documents that a catalogue lacks, after the catalogue has been written and read as CSV. It lists
+    the labelled documents; their titles are whole texts, with line feeds and quotes."""
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("titulo"))
+    listed = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"))
+    path = shared_path(spark, "catalogue")
+    sinks.write_csv(docs.join(listed, "id", "left_semi"), path)
+    return audit.missing_ids(docs.select("id"), tables.catalogue_ids(spark, path), "id")
+
+
 @query
 def duplicate_stats(spark, sf_dir):
     return audit.duplicate_stats(documents(spark, sf_dir), "text")

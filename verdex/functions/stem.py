@@ -33,7 +33,7 @@ def step_sql(word: str, rules: Sequence[Rule]) -> str:
         f"WHEN endswith({word}, {quoted(letter)}) THEN CASE {' '.join(tried)} ELSE {word} END"
         for letter, tried in by_letter.items()
     )
-    return f"CASE {' '.join(groups)} ELSE {word} END"
+    return f"CASE {' '.join(groups)} ELSE {word} END" if by_letter else word
 
 
 def stem_words(words: str, steps: Mapping[str, Sequence[Rule]] = STEPS) -> Column:

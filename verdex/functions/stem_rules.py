@@ -177,41 +177,110 @@ e 3 -
 o 3 - ão
 """)
 
-# Verb endings shared by the three conjugations (`v` plain, `w` accented theme
-# vowel), those that are not, and the words a verb ending does not apply to.
-CONJUGATIONS = (("a", "á", 2), ("e", "ê", 3), ("i", "í", 3))
-SHARED_ENDINGS = (
-    "{v}ríamo {w}ssemo {w}ramo {v}remo {v}riam {v}ríei {w}ssei {v}ssem {v}ndo {v}ram {v}rão "
-    "{v}rde {v}rei {w}rei {v}rem {v}ria {v}rmo {v}sse {v}ste {v}mo {v}ra {v}rá {v}re {v}r"
-)
-OTHER_ENDINGS = {
-    "ávamo": 2, "avam": 2, "ávei": 2, "ava": 2, "íamo": 3, "íram": 3, "iam": 3, "íei": 3,
-    "ondo": 3, "omo": 3, "iona": 3, "iava": 4, "tiz": 4, "ear": 4, "ído": 3, "uía": 5, "guem": 3,
-    "ai": 2, "am": 2, "uei": 3, "ei": 3, "em": 2, "eu": 3, "ia": 3, "iu": 3, "eou": 5, "ou": 3,
-    "i": 3, "irão": 2, "irde": 2, "iste": 4, "emo": 2, "er": 2,
-}
-VERB_EXCEPTIONS = (
-    "agravam faroeste agreste admirei adquirem ampliava arara prepara alvará prepare agrava "
-    "acelera espera espere enfiam ampliam elogiam ensaiam reprimo intimo íntimo nimo queimo ximo "
-    "fronteira sátira adquire alardear nuclear azar bazar patamar alem virgem éter pier chapeu "
-    "estória fatia acia praia elogia mania lábia aprecia polícia arredia cheia ásia freir"
-).split()
-
-
-def verb_rules() -> tuple[Rule, ...]:
-    """All verb endings, longest first, each with the exceptions it would apply to."""
-    least = {
-        ending.format(v=plain, w=accented): least
-        for plain, accented, least in CONJUGATIONS
-        for ending in SHARED_ENDINGS.split()
-    } | OTHER_ENDINGS
-    return tuple(
-        Rule(s, n, "", tuple(w for w in VERB_EXCEPTIONS if w.endswith(s)))
-        for s, n in sorted(least.items(), key=lambda entry: (-len(entry[0]), entry[0]))
-    )
-
-
-VERB = verb_rules()
+# Verb endings, longer ones first.
+VERB = read_rules("""
+aríamo 2 -
+eríamo 3 -
+iríamo 3 -
+ássemo 2 -
+êssemo 3 -
+íssemo 3 -
+aremo 2 -
+ariam 2 -
+aríei 2 -
+assem 2 -
+eremo 3 -
+eriam 3 -
+eríei 3 -
+essem 3 -
+iremo 3 -
+iriam 3 -
+iríei 3 -
+issem 3 -
+áramo 2 -
+ássei 2 -
+ávamo 2 -
+êramo 3 -
+êssei 3 -
+íramo 3 -
+íssei 3 -
+ando 2 -
+aram 2 -
+arde 2 -
+arei 2 -
+arem 2 -
+aria 2 -
+armo 2 -
+arão 2 -
+asse 2 -
+aste 2 -
+avam 2 - agravam
+endo 3 -
+eram 3 -
+erde 3 -
+erei 3 -
+erem 3 -
+eria 3 -
+ermo 3 -
+erão 3 -
+esse 3 -
+este 3 - faroeste agreste
+guem 3 -
+iava 4 - ampliava
+indo 3 -
+iona 3 -
+iram 3 -
+irde 2 -
+irei 3 - admirei
+irem 3 - adquirem
+iria 3 -
+irmo 3 -
+irão 2 -
+isse 3 -
+iste 4 -
+ondo 3 -
+árei 2 -
+ávei 2 -
+êrei 3 -
+íamo 3 -
+íram 3 -
+írei 3 -
+amo 2 -
+ara 2 - arara prepara
+are 2 - prepare
+ará 2 - alvará
+ava 2 - agrava
+ear 4 - alardear nuclear
+emo 2 -
+eou 5 -
+era 3 - acelera espera
+ere 3 - espere
+erá 3 -
+iam 3 - enfiam ampliam elogiam ensaiam
+imo 3 - reprimo intimo íntimo nimo queimo ximo
+ira 3 - fronteira sátira
+ire 3 - adquire
+irá 3 -
+omo 3 -
+tiz 4 -
+uei 3 -
+uía 5 -
+ído 3 -
+íei 3 -
+ai 2 -
+am 2 -
+ar 2 - azar bazar patamar
+ei 3 -
+em 2 - alem virgem
+er 2 - éter pier
+eu 3 - chapeu
+ia 3 - estória fatia acia praia elogia mania lábia aprecia polícia arredia cheia ásia
+ir 3 - freir
+iu 3 -
+ou 3 -
+i 3 -
+""")
+
 STEPS = {
     "plural": PLURAL,
     "feminine": FEMININE,

@@ -16,8 +16,7 @@ SPACE_CHARS = (
 )
 
 # The letters kept before tokenising, and what counts as a vectoriser token.
-# The class is a-zA-Zà-úÀ-Ú; of its upper half only the sign × is left once a text is lower-case.
-KEPT_LOWER = "a-zà-ú×"
+KEPT = "a-zA-Zà-úÀ-Ú"
 TOKEN_PATTERN = "[a-zà-öø-ú]{2,}"
 
 
@@ -110,7 +109,7 @@ def tokens(c: Column) -> Column:
 
     The look-ahead lets the frequent characters skip the long class (about six times faster).
     """
-    kept = F.regexp_replace(F.lower(c), f"(?![a-z ])[^{KEPT_LOWER}{SPACE_CLASS}]+", "")
+    kept = F.regexp_replace(F.lower(c), f"(?![a-z ])[^{KEPT}{SPACE_CLASS}]+", "")
     return F.array_remove(F.split(kept, f"(?![!-~])[{SPACE_CLASS}]+"), "")
 
 

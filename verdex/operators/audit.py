@@ -42,14 +42,17 @@ def duplicate_stats(df: DataFrame, col: str) -> DataFrame:
 def duplicate_rows(df: DataFrame, key: str, col: str, preview: int = 100) -> DataFrame:
     """(key, preview, copies) of every row whose text occurs more than once.
 
-    Copies are neighbours: rows are ordered by preview, digest and key. Rows of hot texts are
-    spread over as many salts as the text needs to stay under 1/HOT_SHARE of all rows per salt.
+    Rows are in text order, copies by key: the copied texts are sorted once, one row per text, and
+    their place travels to the members instead of the text. Rows of hot texts are spread over as many
+    salts as the text needs to stay under 1/HOT_SHARE of all rows per salt.
     """
     valued = df.where(F.col(col).isNotNull())
     rows = valued.select(
         key, truncate_text(F.col(col), preview).alias("preview"), text_key(col).alias("_key")
     )
-    groups = valued.groupBy(text_key(col).alias("_key")).agg(F.count(F.lit(1)).alias("copies"))
+    groups = valued.groupBy(text_key(col).alias("_key")).agg(
+        F.count(F.lit(1)).alias("copies"), F.min(key).alias("_least")
+    )
     total = groups.agg(F.sum("copies")).scalar()
     copied = groups.where("copies > 1").withColumn(
         "_salts", F.ceil(F.col("copies") * HOT_SHARE / total).cast("int")
@@ -58,6 +61,13 @@ def duplicate_rows(df: DataFrame, key: str, col: str, preview: int = 100) -> Dat
     salted = rows.join(F.broadcast(hot), "_key", "left").withColumn(
         "_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(key), F.col("_salts"))).otherwise(0).cast("int")
     ).drop("_salts")
-    spread_keys = copied.select("_key", "copies", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt"))
+    # one text per group, joined by the key of one member; ids after a sort rise with the text
+    one = valued.select(F.col(key).alias("_least"), F.col(col).alias("_text"), text_key(col).alias("_key"))
+    texts = one.join(copied.select("_key", "_least"), ["_key", "_least"]).dropDuplicates(["_key"])
+    places = texts.orderBy("_text").select("_key", F.monotonically_increasing_id().alias("_place"))
+    copied = copied.join(places, "_key")
+    spread_keys = copied.select(
+        "_key", "copies", "_place", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt")
+    )
     listed = salted.join(spread_keys, ["_key", "_salt"])
-    return listed.orderBy("preview", "_key", key).select(key, "preview", "copies")
+    return listed.orderBy("_place", key).select(key, "preview", "copies")

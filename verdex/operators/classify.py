@@ -6,6 +6,7 @@ Training rows are `row_id`, `grams` (array of 1- and 2-grams) and `label` (0.0 /
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -26,8 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdex.operators.features import fit_tfidf, with_grams
-from verdex.operators.folds import digest, fold_table, rank_in_class, stratified_split
-from verdex.operators.knn import knn_vote
+from verdex.operators.folds import digest, fold_table, in_test, rank_in_class, split_cuts
+from verdex.operators.knn import voter
 from verdex.operators.metrics import METRICS, binary_metrics
 from verdex.runtime import cut
 
@@ -49,12 +50,13 @@ GRIDS = {
 SCALED = ("LogisticRegression", "SVC", "KNeighbors", "MLPClassifier")
 WEIGHTED = ("LogisticRegression", "RandomForest", "BoostedTreesWeighted", "SVC")
 MAX_TREE_DEPTH = 30  # MLlib's limit; stands for "no limit"
-FOURIER_FEATURES = 512
-MLP_ITERATIONS = 200
-# Rows a training partition should hold: a tree pass does more work per row than a gradient pass.
-PARTITION_ROWS = 5000
-TREE_PARTITION_ROWS = 400
-TREES = ("RandomForest", "BoostedTreesWeighted", "BoostedTrees")
+FOURIER_FEATURES = 512  # approximation of the RBF kernel: its error falls with the root of the width
+MLP_ITERATIONS = 1000
+SVC_ITERATIONS = 10_000  # stands for "no limit"; a warning tells when it is reached
+MAX_BINS = 255  # split candidates of a feature
+# Training rows are dealt by id into so many partitions, whatever the cluster and the input's layout:
+# a tree's samples depend on them.
+TRAIN_PARTITIONS = 32
 
 
 @dataclass
@@ -84,12 +86,16 @@ def decode_labels(c: F.Column, labels: Sequence[str] = LABELS) -> F.Column:
     return F.element_at(F.array(*[F.lit(v) for v in labels]), c.cast("int") + 1)
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows in an order and partitions that only depend on them."""
+    return rows.repartition(TRAIN_PARTITIONS, "row_id").sortWithinPartitions("row_id", "label")
+
+
 @contextmanager
-def _training(rows: DataFrame, weighted: bool, per_partition: int = PARTITION_ROWS):
+def _training(rows: DataFrame, weighted: bool):
     """(rows with `weight`, row count), held in memory while an iterative solver reads them.
 
-    `weight` is balanced, or 1. A partition should hold enough rows to be worth a task in each of
-    the solver's many passes, so small tables are brought together; large ones stay as they are.
+    `weight` is balanced, or 1.
     """
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
@@ -97,7 +103,7 @@ def _training(rows: DataFrame, weighted: bool, per_partition: int = PARTITION_RO
     if weighted:
         for label, n in counts.items():
             weight = F.when(F.col("label") == label, F.lit(total / (len(counts) * n))).otherwise(weight)
-    held = rows.withColumn("weight", weight).coalesce(total // per_partition + 1).persist()
+    held = _dealt(rows).withColumn("weight", weight).persist()
     try:
         yield held, total
     finally:
@@ -116,13 +122,17 @@ def _fit_svc(rows: DataFrame, n: int, C: float):
 
     def svc(df: DataFrame, size: float):
         solver = LinearSVC(
-            regParam=1.0 / (C * size), weightCol="weight", standardization=False, tol=1e-3
+            regParam=1.0 / (C * size), weightCol="weight", standardization=False, tol=1e-3,
+            maxIter=SVC_ITERATIONS,
         )
         df = df.persist()
         try:
-            return solver.fit(df)
+            model = solver.fit(df)
         finally:
             df.unpersist()
+        if model.summary().totalIterations >= SVC_ITERATIONS:
+            warnings.warn(f"the SVC stopped after {SVC_ITERATIONS} iterations without converging", stacklevel=2)
+        return model
 
     def margins(model, df: DataFrame) -> DataFrame:
         out = model.transform(df).withColumn("_margin", vector_to_array("rawPrediction")[1])
@@ -130,14 +140,16 @@ def _fit_svc(rows: DataFrame, n: int, C: float):
 
     hashed = rows.withColumn("_h", digest(F.lit(SEED), "row_id"))
     thirds = rank_in_class(hashed, ["label"], "_h").withColumn("_part", F.pmod("nth", F.lit(3)))
-    thirds = thirds.select("features", "label", "weight", "_part").coalesce(n // PARTITION_ROWS + 1).persist()
+    thirds = _dealt(thirds).select("features", "label", "weight", "_part").persist()
     unseen = None
-    for part in range(3):
-        held = thirds.where(F.col("_part") == part)
-        out = margins(svc(thirds.where(F.col("_part") != part), n * 2 / 3), held).select("_m", "label")
-        unseen = out if unseen is None else unseen.unionByName(out)
-    sigmoid = LogisticRegression(featuresCol="_m", rawPredictionCol="_raw", predictionCol="_p").fit(unseen)
-    thirds.unpersist()
+    try:
+        for part in range(3):
+            held = thirds.where(F.col("_part") == part)
+            out = margins(svc(thirds.where(F.col("_part") != part), n * 2 / 3), held).select("_m", "label")
+            unseen = out if unseen is None else unseen.unionByName(out)
+        sigmoid = LogisticRegression(featuresCol="_m", rawPredictionCol="_raw", predictionCol="_p").fit(unseen)
+    finally:
+        thirds.unpersist()
     model = svc(rows, n)
 
     def predict(df: DataFrame) -> DataFrame:
@@ -179,18 +191,12 @@ def fit_model(name: str, train: DataFrame, featurised=None, **params) -> TextMod
     max_features = params.get("max_features", GRIDS[name]["max_features"][0])
     rows, featurise, terms = featurised or featurise_rows(train, max_features, name in SCALED)
     if name == "KNeighbors":
-        k = params.get("n_neighbors", 3)
-
-        def vote(df: DataFrame) -> DataFrame:
-            return df.join(knn_vote(rows, df, k), "row_id")
-
-        return TextModel(name, params, terms, featurise, vote)
+        return TextModel(name, params, terms, featurise, voter(rows, params.get("n_neighbors", 3)))
     if name == "SVC" and params.get("kernel", "linear") == "rbf":
         stage = _fourier_stage(rows)
         rows, plain = stage(rows), featurise
         featurise = lambda df: stage(plain(df))
-    size = TREE_PARTITION_ROWS if name in TREES else PARTITION_ROWS
-    with _training(rows, name in WEIGHTED, size) as (rows, n):
+    with _training(rows, name in WEIGHTED) as (rows, n):
         predict, importances, solver = _fit_solver(name, rows, n, len(terms), params)
     if params.get("kernel") == "rbf":
         importances = None
@@ -208,7 +214,7 @@ def _fit_solver(name: str, rows: DataFrame, n: int, n_terms: int, params: dict):
     if name == "RandomForest":
         model = RandomForestClassifier(
             numTrees=params.get("n_estimators", 200), maxDepth=params.get("max_depth", 20) or MAX_TREE_DEPTH,
-            weightCol="weight", seed=SEED,
+            weightCol="weight", seed=SEED, maxBins=MAX_BINS,
         ).fit(rows)
         return _from_probability(model), model.featureImportances.toArray().tolist(), model
     if name in ("BoostedTreesWeighted", "BoostedTrees"):
@@ -218,7 +224,7 @@ def _fit_solver(name: str, rows: DataFrame, n: int, n_terms: int, params: dict):
             else {"stepSize": 0.3, "maxDepth": params.get("max_depth", 3)}
         )
         model = GBTClassifier(
-            maxIter=params.get("n_estimators", 100), weightCol="weight", seed=SEED, **preset
+            maxIter=params.get("n_estimators", 100), weightCol="weight", seed=SEED, maxBins=MAX_BINS, **preset
         ).fit(rows)
         return _from_probability(model), model.featureImportances.toArray().tolist(), model
     if name == "SVC":
@@ -280,13 +286,15 @@ def grid_search(
         for size in sorted({p["max_features"] for p in points}):
             rows, featurise, terms = featurise_rows(seen, size, name in SCALED)
             rows = rows.select("row_id", "features", "label").persist()
-            for number, point in enumerate(points):
-                if point["max_features"] != size:
-                    continue
-                model = fit_model(name, seen, (rows, featurise, terms), **point)
-                row = binary_metrics(model.transform(held)).first()
-                out.append((name, number, json.dumps(point), repeat, fold, *(row[m] for m in METRICS)))
-            rows.unpersist()
+            try:
+                for number, point in enumerate(points):
+                    if point["max_features"] != size:
+                        continue
+                    model = fit_model(name, seen, (rows, featurise, terms), **point)
+                    row = binary_metrics(model.transform(held)).first()
+                    out.append((name, number, json.dumps(point), repeat, fold, *(row[m] for m in METRICS)))
+            finally:
+                rows.unpersist()
         return out
 
     tasks = [(r, f) for r in range(repeats) for f in range(k)]
@@ -304,12 +312,11 @@ def grid_search(
 def train_table(df: DataFrame, id: str, text: str, label: str) -> DataFrame:
     """(row_id, label, is_test, grams), written once: the text stage is free of folds.
 
-    The text is cut up where it is read, with all cores; the split joins the finished rows.
+    As many rows as `df` has: the split is one digest per class, compared row by row.
     """
-    split = stratified_split(df, id, label).select(F.col(id).alias("row_id"), "is_test")
     rows = df.select(F.col(id).alias("row_id"), F.col(label).alias("label"), F.col(text).alias("_text"))
-    grams = with_grams(rows, "_text").drop("_text")
-    return cut(grams.join(split, "row_id").select("row_id", "label", "is_test", "grams"))
+    rows = rows.withColumn("is_test", in_test(split_cuts(df, id, label), "row_id", "label"))
+    return cut(with_grams(rows, "_text").select("row_id", "label", "is_test", "grams"))
 
 
 def train_and_test(df: DataFrame) -> tuple[DataFrame, DataFrame]:

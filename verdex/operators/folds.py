@@ -47,6 +47,26 @@ def stratified_split(
     return ranked.select(id, label, (F.col("nth") <= F.ceil(F.col("group_size") * test_share)).alias("is_test"))
 
 
+def split_cuts(
+    df: DataFrame, id: str, label: str, test_share: float = 0.25, seed: int = 42
+) -> dict:
+    """{label: greatest digest of its test set}: one digest per class, the split of `stratified_split`."""
+    ranked = rank_in_class(df.select(id, label, digest(F.lit(seed), id).alias("_h")), [label], "_h")
+    last = ranked.where(F.col("nth") == F.ceil(F.col("group_size") * test_share))
+    return {r[label]: r["_h"] for r in last.select(label, "_h").collect()}
+
+
+def in_test(cuts: dict, id: str, label: str, seed: int = 42) -> Column:
+    """Whether a row is in the test set of `split_cuts`: row by row, without a join.
+
+    Rows of a class that share an id share a digest, and so are on the same side.
+    """
+    own, out = digest(F.lit(seed), id), F.lit(False)
+    for value, last in cuts.items():
+        out = F.when(F.col(label).eqNullSafe(F.lit(value)), own <= F.lit(last)).otherwise(out)
+    return out
+
+
 def fold_table(
     df: DataFrame, id: str, label: str, k: int = 10, repeats: int = 5, seed: int = 42
 ) -> DataFrame:

@@ -1,98 +1,143 @@
-"""Exact k-nearest-neighbour vote by tiles.
+"""Exact k-nearest-neighbour vote against a bounded, broadcast training set.
 
-Queries and training rows are hashed into blocks of bounded size, and each (query block, training
-block) pair is one task that multiplies two small matrices and keeps k neighbours per query. No
-side is collected or broadcast, no task holds more than one block of each side, and only k rows
-per query and training block leave a task.
+The training rows are labelled by hand, so their number is bounded: more than `MAX_TRAINING_ROWS` are
+refused. They are broadcast once in sparse form; the queries stay in their partitions and rows, are
+neither copied nor shuffled, and need no key.
 """
 
 from __future__ import annotations
 
-from math import ceil
+import sys
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_ROWS = 2048
-
-
-def _blocked(df: DataFrame, key: str, name: str, features: str, label: list, own: str, n: int, other: str, m: int):
-    """Rows (key as `name`) with their own block number, copied to all `m` blocks of the other side."""
-    return df.select(
-        F.col(key).alias(name), *label, F.unwrap_udt(features).alias("v"),
-        F.pmod(F.xxhash64(key), F.lit(n)).cast("int").alias(own),
-        F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other),
-    ).select(
-        name, *(["known"] if label else []), own, other, F.col("v.size").alias("dim"),
-        F.col("v.indices").alias("idx"), F.col("v.values").alias("val"),
-    )
+#: Labelled rows that a vote may have; beyond, `training_set` raises an error.
+MAX_TRAINING_ROWS = 200_000
+#: Rows of either side that are dense at a time.
+BLOCK_ROWS = 1024
+
+
+# these functions travel to the workers whole, so the library need not be installed there
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class TrainingSet:
+    """Sparse training vectors in key order, their labels and keys."""
+
+    def __init__(self, keys: list, labels: list[float], dim: int, vectors: list[tuple]) -> None:
+        self.keys, self.labels, self.dim = keys, np.array(labels, dtype=float), dim
+        self.bounds = np.concatenate(([0], np.cumsum([len(i) for i, _ in vectors]))).astype(np.int64)
+        self.indices = np.concatenate([np.asarray(i, dtype=np.int32) for i, _ in vectors])
+        self.values = np.concatenate([np.asarray(v, dtype=float) for _, v in vectors])
+
+    @classmethod
+    def of(cls, parts: dict) -> TrainingSet:
+        own = cls.__new__(cls)
+        vars(own).update(parts)
+        return own
+
+    def block(self, begin: int, end: int) -> np.ndarray:
+        """Rows begin..end as a dense matrix."""
+        out = np.zeros((end - begin, self.dim))
+        stored = slice(self.bounds[begin], self.bounds[end])
+        line = np.repeat(np.arange(end - begin), np.diff(self.bounds[begin : end + 1]))
+        out[line, self.indices[stored]] = self.values[stored]
+        return out
+
+    def nearest(self, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(distance, training row) of the k nearest rows of each query, by squared Euclidean distance
+        to 9 places, ties by key order."""
+        best = np.zeros((len(queries), 0))
+        rows = np.zeros((len(queries), 0), dtype=np.int64)
+        own = (queries * queries).sum(1)[:, None]
+        for begin in range(0, len(self.keys), BLOCK_ROWS):
+            end = min(begin + BLOCK_ROWS, len(self.keys))
+            block = self.block(begin, end)
+            squared = np.round(np.maximum(own + (block * block).sum(1)[None, :] - 2.0 * (queries @ block.T), 0.0), 9)
+            best = np.concatenate((best, squared), axis=1)
+            rows = np.concatenate((rows, np.broadcast_to(np.arange(begin, end), squared.shape)), axis=1)
+            # rows rise within a line, so a stable sort settles ties by key
+            order = np.argsort(best, axis=1, kind="stable")[:, :k]
+            best, rows = np.take_along_axis(best, order, 1), np.take_along_axis(rows, order, 1)
+        return np.sqrt(best), rows
+
+
+def training_set(
+    train: DataFrame, key: str = "row_id", label: str = "label", features: str = "features", most: int = MAX_TRAINING_ROWS
+) -> TrainingSet:
+    """The training rows on the driver, in the order of their keys; more than `most` are an error."""
+    vector = F.unwrap_udt(features)
+    rows = train.select(
+        F.col(key).alias("key"), F.col(label).cast("double").alias("label"), vector["size"].alias("dim"),
+        vector["indices"].alias("i"), vector["values"].alias("v"),
+    ).limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} training rows; a nearest-neighbour vote is for hand-labelled sets")
+    if not rows:
+        raise ValueError("no training row")
+    rows.sort(key=lambda r: (r.key is not None, r.key, r.label))
+    return TrainingSet([r.key for r in rows], [r.label for r in rows], rows[0].dim, [(r.i, r.v) for r in rows])
+
+
+def _dense(batch: pd.DataFrame, dim: int) -> np.ndarray:
+    out = np.zeros((len(batch), dim))
+    for n, (i, v) in enumerate(zip(batch["i"], batch["v"])):
+        out[n, np.asarray(i, dtype=int)] = v
+    return out
+
+
+def _sparse(features: str) -> Column:
+    vector = F.unwrap_udt(features)
+    return F.struct(vector["indices"].alias("i"), vector["values"].alias("v"))
 
 
 def nearest(
-    train: DataFrame, query: DataFrame, k: int, key: str = "row_id", label: str = "label",
-    features: str = "features", block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """(query key, neighbour, neighbour_label, distance): the k nearest training rows by Euclidean
-    distance (to 9 places), ties by training key. Both sides hold sparse vectors."""
-    n_train = max(1, ceil(train.count() / block_rows))
-    n_query = max(1, ceil(query.count() / block_rows))
-    known = [F.col(label).cast("double").alias("known")]
-    left = _blocked(query, key, "asked", features, [], "qb", n_query, "tb", n_train)
-    right = _blocked(train, key, "neighbour", features, known, "tb", n_train, "qb", n_query)
-    key_type = dict(query.dtypes)[key]
-
-    def tile(queries, trained):
-        import numpy as np
-        import pandas as pd
-
-        columns = ["asked", "neighbour", "neighbour_label", "squared"]
-        if not len(queries) or not len(trained):
-            return pd.DataFrame(columns=columns)
-
-        def dense(pdf):
-            out = np.zeros((len(pdf), int(pdf["dim"].iloc[0])))
-            for i, (idx, val) in enumerate(zip(pdf["idx"], pdf["val"])):
-                out[i, np.asarray(idx, dtype=int)] = val
-            return out
-
-        trained = trained.sort_values("neighbour", ignore_index=True)
-        a, b = dense(queries), dense(trained)
-        squared = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-        squared = np.round(np.maximum(squared, 0.0), 9)
-        least = min(k, squared.shape[1])
-        kth = np.partition(squared, least - 1, axis=1)[:, least - 1]
-        row, col = np.nonzero(squared <= kth[:, None])
-        order = np.lexsort((col, squared[row, col], row))
-        row, col = row[order], col[order]
-        starts = np.searchsorted(row, np.arange(len(queries)))
-        keep = np.arange(len(row)) - starts[row] < least
-        row, col = row[keep], col[keep]
-        return pd.DataFrame(
-            dict(zip(columns, (
-                queries["asked"].to_numpy()[row], trained["neighbour"].to_numpy()[col],
-                trained["known"].to_numpy()[col], squared[row, col],
-            )))
-        )
-
-    found = left.groupBy("qb", "tb").cogroup(right.groupBy("qb", "tb")).applyInPandas(
-        tile, f"asked {key_type}, neighbour {key_type}, neighbour_label double, squared double"
-    )
-    best = Window.partitionBy("asked").orderBy("squared", "neighbour")
-    return found.withColumn("_nth", F.row_number().over(best)).where(F.col("_nth") <= k).select(
-        F.col("asked").alias(key), "neighbour", "neighbour_label", F.sqrt("squared").alias("distance")
-    )
-
-
-def knn_vote(
-    train: DataFrame, query: DataFrame, k: int, key: str = "row_id", label: str = "label",
-    features: str = "features", block_rows: int = BLOCK_ROWS,
+    train: DataFrame, query: DataFrame, k: int, key: str = "row_id", label: str = "label", features: str = "features"
 ) -> DataFrame:
-    """(key, prediction, confidence) by the majority of the k nearest; a split vote goes to 0."""
-    share = (
-        nearest(train, query, k, key, label, features, block_rows)
-        .groupBy(key).agg(F.avg("neighbour_label").alias("p"))
-    )
-    return share.select(
-        key, (F.col("p") > 0.5).cast("double").alias("prediction"),
-        F.greatest("p", 1 - F.col("p")).alias("confidence"),
-    )
+    """(query key, neighbour, neighbour_label, distance): the k nearest training rows of every query row."""
+    known = query.sparkSession.sparkContext.broadcast(vars(training_set(train, key, label, features)))
+    kind = dict(train.dtypes)[key]
+
+    @F.pandas_udf(f"array<struct<neighbour:{kind}, neighbour_label:double, distance:double>>")
+    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        own = TrainingSet.of(known.value)
+        for batch in batches:
+            out = []
+            for begin in range(0, len(batch), BLOCK_ROWS):
+                distance, rows = own.nearest(_dense(batch.iloc[begin : begin + BLOCK_ROWS], own.dim), k)
+                out += [
+                    [{"neighbour": own.keys[r], "neighbour_label": own.labels[r], "distance": d} for d, r in zip(ds, rs)]
+                    for ds, rs in zip(distance, rows)
+                ]
+            yield pd.Series(out)
+
+    return query.select(key, F.inline(find(_sparse(features))))
+
+
+def voter(train: DataFrame, k: int, features: str = "features") -> Callable[[DataFrame], DataFrame]:
+    """Adds `prediction` and `confidence` to rows by the majority of the k nearest training rows; a
+    split vote goes to 0. Every row is kept, whatever its key."""
+    known = train.sparkSession.sparkContext.broadcast(vars(training_set(train, features=features)))
+
+    @F.pandas_udf("double")
+    def share(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        own = TrainingSet.of(known.value)
+        for batch in batches:
+            parts = [
+                own.labels[own.nearest(_dense(batch.iloc[b : b + BLOCK_ROWS], own.dim), k)[1]].mean(axis=1)
+                for b in range(0, len(batch), BLOCK_ROWS)
+            ]
+            yield pd.Series(np.concatenate(parts) if parts else [], dtype=float)
+
+    def vote(df: DataFrame) -> DataFrame:
+        p = F.col("_p")
+        return df.withColumn("_p", share(_sparse(features))).withColumns(
+            {"prediction": (p > 0.5).cast("double"), "confidence": F.greatest(p, 1 - p)}
+        ).drop("_p")
+
+    return vote

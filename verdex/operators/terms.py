@@ -72,10 +72,10 @@ def term_paragraphs(
     """(id, pos, terms, paragraph): paragraphs with a term, first per document and prefix.
 
     Documents without any term are dropped before they are cut. A paragraph is a piece of the
-    sentence line, so a document whose line has no term has no such paragraph.
+    sentence line with its last dot, so a document whose line has no term has no such paragraph.
     """
     lines = df.select(id, T.sentence_line(F.col(text)).alias("_line"))
-    lines = lines.withColumn("_lower", F.lower("_line"))
+    lines = lines.withColumn("_lower", F.lower(F.concat("_line", F.lit("."))))
     pieces = F.when(
         T.contains_any(F.col("_lower"), terms), T.paragraphs_of_line(F.col("_line"), min_len)
     )

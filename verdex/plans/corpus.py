@@ -13,19 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from verdex.operators import audit
 from verdex.operators.catalogue import catalogue, coerce_dates
 from verdex.operators.terms import SEARCH_TERMS, term_paragraphs
-from verdex.runtime import spread
+from verdex.runtime import cut, spread
 from verdex.sources.files import file_ids, ingest_documents
-from verdex.sources.pages import hits_audit, parse_pages, read_hits, read_raw_pages
+from verdex.sources.pages import hits_audit, in_page_order, parse_pages, read_hits, read_raw_pages, split_hits, with_missing
 from verdex.sources.sinks import write_csv, write_json, write_parquet
 from verdex.sources.tables import catalogue_ids
 
 
 def merge_pages(spark: SparkSession, paths: Sequence[str], out: str) -> dict[str, DataFrame]:
-    """Write the hits of all good pages as JSON Lines; (audit, quarantine) tells what was read."""
-    hits, quarantine = read_hits(spark, paths)
-    write_json(hits.select("page", "pos", "hit._score", "hit._source"), out)
-    raw, _ = read_raw_pages(spark, paths)
-    return {"audit": hits_audit(parse_pages(raw)), "quarantine": quarantine}
+    """Write the hits of all good pages as JSON Lines, in page order; (audit, quarantine) tells what
+    was read. Without hits nothing is written."""
+    raw, missing = read_raw_pages(spark, paths)
+    pages = cut(parse_pages(raw))  # parsed once
+    hits, quarantine = split_hits(pages)
+    if not hits.isEmpty():
+        write_json(in_page_order(hits).select("page", "pos", "hit._score", "hit._source"), out)
+    return {"audit": hits_audit(pages), "quarantine": with_missing(quarantine, missing)}
 
 
 def build_catalogue(spark: SparkSession, paths: Sequence[str], out: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from verdex.operators.classify import (
     GRIDS,
+    LABELS,
     TextModel,
     encode_labels,
     feature_importance,
@@ -20,6 +21,7 @@ from verdex.operators.classify import (
     train_and_test,
     train_table,
 )
+from verdex.operators.folds import in_test, split_cuts
 from verdex.operators.metrics import METRICS, binary_metrics, class_report, confusion, model_summary
 from verdex.operators.selection import select_model
 from verdex.runtime import cut
@@ -69,7 +71,7 @@ def train_and_select(
         "trace": trace,
         "predictions": predicted,
         "confusion": confusion(of_winner),
-        "report": class_report(of_winner),
+        "report": class_report(of_winner, names=LABELS),
     }
     if models[winner].importances is not None:
         tables["importance"] = feature_importance(models[winner], labelled.sparkSession)
@@ -86,10 +88,11 @@ def classify_paragraphs(table: DataFrame, **search) -> tuple[DataFrame, TextMode
     labelled = encode_labels(labelled_only(require_rows(base)))
     model, tables = train_and_select(labelled, "row_id", "text", "label", **search)
     scored = score_base(model, base, "row_id", "text")
-    tested = tables["predictions"].select("row_id").distinct().withColumn("_tested", F.lit(True))
-    used = labelled.select("row_id").join(tested, "row_id", "left_anti").withColumn("in_training", F.lit(True))
-    scored = scored.join(used, "row_id", "left").fillna(False, ["in_training"]).drop("row_id")
-    return scored, model, tables
+    # one digest per class tells the split again, so nothing is joined to the scored corpus
+    cuts = split_cuts(labelled, "row_id", "label")
+    coded = encode_labels(scored.withColumn("_label", F.col("label")), "_label")
+    used = F.col("_label").isNotNull() & ~in_test(cuts, "row_id", "_label")
+    return coded.withColumn("in_training", used).drop("row_id", "_label"), model, tables
 
 
 def positives(scored: DataFrame, catalogue: DataFrame) -> DataFrame:

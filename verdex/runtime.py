@@ -2,27 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` once to the shared checkpoint folder and read it from there.
+def shared_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A new path in `folder` or the shared folder, deleted when the session's JVM ends."""
+    folder = folder or spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
-    The folder is the one the session names in `spark.checkpoint.dir`. Only a local session
-    (tests) may fall back to a folder of its own; a cluster without the setting is an error.
+
+def cut(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Write `df` once as Parquet and read it from there: statistics and column pruning stay.
+
+    It goes to a new subfolder of `folder`, else of the shared folder that the session names in
+    `spark.checkpoint.dir`, else of the warehouse; never to a machine's own temporary folder. The
+    subfolder is deleted when the session's JVM ends.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="verdex-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = shared_path(df.sparkSession, "cut", folder)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

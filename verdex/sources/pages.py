@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,13 +42,11 @@ def read_raw_pages(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame
 
     A page is an API answer with a bounded number of hits, so a page per row is a small row.
     """
+    conf, place = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
     found, missing = [], []
-    for path in paths:
-        try:
-            spark.read.text(path)
-            found.append(path)
-        except AnalysisException:
-            missing.append(path)
+    for path in paths:  # asks the file system alone; no job
+        there = place(path).getFileSystem(conf).globStatus(place(path))
+        (found if there else missing).append(path)
     if not found:
         raise FileNotFoundError(f"no page found under {list(paths)}")
     raw = spark.read.text(found, wholetext=True)
@@ -91,10 +88,15 @@ def read_hits(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame, Dat
     """Hits of all good pages with their place (page, pos), and the quarantine table."""
     raw, missing = read_raw_pages(spark, paths)
     hits, quarantine = split_hits(parse_pages(raw))
-    if missing:
-        lost = spark.createDataFrame([(p, "not found") for p in missing], "page string, reason string")
-        quarantine = quarantine.unionByName(lost)
-    return hits, quarantine
+    return hits, with_missing(quarantine, missing)
+
+
+def with_missing(quarantine: DataFrame, missing: Sequence[str]) -> DataFrame:
+    """The quarantine table with the paths that match nothing."""
+    if not missing:
+        return quarantine
+    lost = quarantine.sparkSession.createDataFrame([(p, "not found") for p in missing], "page string, reason string")
+    return quarantine.unionByName(lost)
 
 
 def hits_audit(pages: DataFrame) -> DataFrame:

@@ -47,7 +47,10 @@ def year_of(df: DataFrame, col: str) -> F.Column:
 
 
 def resolve_columns(df: DataFrame, aliases: Mapping[str, Sequence[str]] = RESULT_ALIASES) -> DataFrame:
-    """Each field from the first alias present; with `data`, undated rows go and `ano` is added."""
+    """Each field from the first alias present; with `data`, undated rows go and `ano` is added.
+
+    No matching column, and no dated row, are errors.
+    """
     picked = {
         field: next((name for name in names if name in df.columns), None)
         for field, names in aliases.items()
@@ -59,7 +62,7 @@ def resolve_columns(df: DataFrame, aliases: Mapping[str, Sequence[str]] = RESULT
     if "data" in picked:
         if dict(out.dtypes)["data"] == "string":
             out = out.withColumn("data", parse_date(F.col("data")))
-        out = out.dropna(subset=["data"]).withColumn("ano", F.year("data"))
+        out = require_rows(out.dropna(subset=["data"]).withColumn("ano", F.year("data")))
     return out
 
 
@@ -102,6 +105,10 @@ def profile(df: DataFrame) -> DataFrame:
 
 
 def catalogue_ids(spark: SparkSession, path: str) -> DataFrame:
-    """Distinct non-null `id` of a catalogue CSV, read as text (only that column is parsed)."""
-    csv = spark.read.option("header", True).csv(path)
+    """Distinct non-null `id` of a catalogue CSV, read as text, with the options `write_csv` uses.
+
+    Fields may hold line feeds, so a file cannot be split. Spark's CSV writer gives many files; for
+    repeated use keep the catalogue in Parquet.
+    """
+    csv = spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
     return csv.select(F.col("id").cast("string")).dropna().distinct()
