@@ -1,15 +1,15 @@
 """Exact removal of repeated byte strings with suffix arrays built by external induced sorting.
 
 1. Exact copies of a document are found by digest.
-2. Every 50-byte string is owned by the smallest hashed 12-gram in it (its anchor), which depends on
-   its bytes alone. Anchors that several documents have are found by one shuffle of 64-bit hashes.
-3. A document's strings with one owner form a context, a short run of bytes. Equal contexts are
-   counted once, with the smallest document that has them. The contexts of an anchor with several
-   different ones meet in a shard.
-4. A shard sorts its suffixes by induced sorting: the leftmost S-type suffixes are sorted bucket by
-   bucket, and disk-backed queues, keyed by first byte, induce the L-type suffixes from them in rising
-   and the S-type suffixes in falling order. Neighbours that share 50 bytes form the groups in which
-   the smallest document keeps its string.
+2. Every 50-byte string is owned by the smallest hashed 16-gram in it (its anchor), which depends on
+   its bytes alone. A document's neighbouring strings with one owner form a context, a short run of
+   bytes. Contexts meet by anchor, as hashes. Of equal contexts all but the smallest document's are
+   removed whole.
+3. Where an anchor has several different contexts, those of the smallest documents go to a shard as
+   bytes. A shard sorts its suffixes by induced sorting: the leftmost S-type suffixes are sorted
+   bucket by bucket, and disk-backed queues, keyed by first byte, induce the L-type suffixes from them
+   in rising and the S-type suffixes in falling order. Neighbours that share 50 bytes form the groups
+   in which the smallest document keeps its string.
 
 Only the first 50 bytes of a suffix matter here, so the S-type seeds are sorted to that depth
 directly instead of by recursion on their names; and equality of neighbours is read off the text.
@@ -24,47 +24,64 @@ from pathlib import Path
 
 import numpy as np
 import pandas as pd
-import xxhash
+import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdex.llm.common import stored
 from verdex.llm.shingles import mixed
 
-GRAM = 12
-#: Starts handled at once in a long text.
-PIECE = 1 << 21
+GRAM = 16
+#: Bytes of text handled at once.
+PIECE = 1 << 18
 #: Bytes of queue entries that a shard holds in memory before it writes them to disk.
 HELD = 48 << 20
 #: Up to so many document keys are broadcast; more are joined by shuffle.
 BROADCAST_KEYS = 500_000
+#: Bits of an anchor that travel. Unlike anchors that agree in them meet needlessly, nothing else.
+ANCHOR_BITS = 48
 
 _TOP = np.iinfo(np.int64).max
+_BASE = 0x9E3779B97F4A7C15 | 1
 
 
 # Anchors ------------------------------------------------------------------------------------------
 
 
 def _gram_hashes(b: np.ndarray) -> np.ndarray:
-    """Hash of each 12-gram of a byte array."""
+    """Hash of each 16-gram of a byte array."""
     w = b.astype(np.uint64)
     for k in (1, 2, 4):
         w = w[: len(w) - k] | (w[k:] << np.uint64(8 * k))  # in the end eight bytes
     n = len(b) - GRAM + 1
-    return mixed(w[:n] * np.uint64(0x9E3779B97F4A7C15) ^ mixed(w[GRAM - 8 : GRAM - 8 + n]))
-
-
-def owners(data: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Runs of starts of `length`-byte strings with one owner, piece by piece.
-
-    Arrays: first start, last start, position of the owner, hash of the owner.
-    """
-    span = length - GRAM + 1
-    for begin in range(0, len(data) - length + 1, PIECE):
-        b = np.frombuffer(data, dtype=np.uint8, offset=begin, count=min(PIECE + length - 1, len(data) - begin))
-        h = _gram_hashes(b)
-        low = np.arange(len(h), dtype=np.uint64) & np.uint64(63)
-        m = (h & ~np.uint64(63)) | low
+    x = w[:n] * np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return mixed(x + w[GRAM - 8 : GRAM - 8 + n])
+
+
+class Contexts:
+    """Contexts of byte strings: runs of starts of `length`-byte strings with one owner."""
+
+    def __init__(self, length: int) -> None:
+        self.length, self.side = length, (length - GRAM) // 2
+        most = PIECE + length + 1
+        # powers of an odd number and of its inverse, modulo 2**64, and a number for each byte
+        self.power, self.inverse = np.ones(most, dtype=np.uint64), np.ones(most, dtype=np.uint64)
+        self.power[1:], self.inverse[1:] = _BASE, pow(_BASE, -1, 2**64)
+        self.power, self.inverse = np.cumprod(self.power), np.cumprod(self.inverse)
+        self.byte = mixed(np.arange(1, 257, dtype=np.uint64))
+
+    def of(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Contexts in the concatenation `data` of texts with these `ends`: number of the text, start,
+        size, anchor, sides and hash.
+
+        A string that holds an anchor also holds the `side` bytes before it or those after it.
+        `sides` has 8 bits of a hash of either, 0 where the text has no such bytes.
+        """
+        length, span = self.length, self.length - GRAM + 1
+        h = _gram_hashes(data)
+        m = (h & ~np.uint64(63)) | (np.arange(len(h), dtype=np.uint64) & np.uint64(63))
         size = 1
         while 2 * size <= span:
             m = np.minimum(m[: len(m) - size], m[size:])
@@ -72,11 +89,60 @@ def owners(data: bytes, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, n
         if size < span:
             m = np.minimum(m[: len(m) - (span - size)], m[span - size :])
         starts = np.arange(len(m))
-        at = starts + (((m & np.uint64(63)).astype(np.int64) - starts) & 63)
-        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        last = np.concatenate((first[1:], [len(m)])) - 1
-        own = at[first]
-        yield first + begin, last + begin, own + begin, h[own].view(np.int64)
+        own = starts + (((m & np.uint64(63)).astype(np.int64) - starts) & 63)
+        # the strings that begin in the last bytes of a text would cross its end
+        inside = np.ones(len(m) + length, dtype=bool)
+        for back in range(1, length):
+            inside[np.maximum(ends - back, 0)] = False
+        inside = inside[: len(m)]
+        begins = np.concatenate(([0], ends[:-1]))
+        short = ends - begins < length
+        for a, b in zip(begins[short].tolist(), ends[short].tolist()):
+            inside[a:b] = False
+        fresh = np.concatenate(([True], (own[1:] != own[:-1]) | ~inside[:-1])) & inside
+        over = np.concatenate((fresh[1:] | ~inside[1:], [True])) & inside
+        first, last = np.flatnonzero(fresh), np.flatnonzero(over)
+        total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(self.byte[data] * self.power[: len(data)])))
+        size, at = last - first + length, own[first]
+        which = np.searchsorted(ends, first, side="right")
+        anchor = h[at] >> np.uint64(64 - ANCHOR_BITS)
+
+        def value(a: np.ndarray, n: np.ndarray | int) -> np.ndarray:
+            return mixed((total[a + n] - total[a]) * self.inverse[a] + np.asarray(n).astype(np.uint64))
+
+        def short_value(a: np.ndarray, present: np.ndarray) -> np.ndarray:
+            return np.where(present, value(np.where(present, a, 0), self.side) % np.uint64(255) + np.uint64(1), np.uint64(0))
+
+        before = short_value(at - self.side, at - self.side >= begins[which])
+        after = short_value(at + GRAM, at + GRAM + self.side <= ends[which])
+        return which, first, size, anchor.view(np.int64), (before * np.uint64(256) + after).view(np.int64), value(first, size).view(np.int64)
+
+    def batches(self, texts: Iterator[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
+        """All contexts of texts, some texts or a piece of a long one at a time: number of the text,
+        start in it, size, anchor, sides, hash."""
+        held, numbers, shifts, total = [], [], [], 0
+
+        def found() -> Iterator[tuple[np.ndarray, ...]]:
+            if total < self.length:
+                return
+            ends = np.cumsum([len(x) for x in held])
+            which, start, *rest = self.of(np.frombuffer(b"".join(held), dtype=np.uint8), ends)
+            begins = ends - [len(x) for x in held]
+            yield np.array(numbers)[which], start - begins[which] + np.array(shifts)[which], *rest
+
+        for number, text in enumerate(texts):
+            # neighbouring pieces of a long text share length - 1 bytes, so each string is in one
+            for at in range(0, max(1, len(text) - self.length + 1), PIECE - self.length + 1):
+                piece = text[at : at + PIECE]
+                if total + len(piece) > PIECE:
+                    yield from found()
+                    held, numbers, shifts, total = [], [], [], 0
+                held.append(piece)
+                numbers.append(number)
+                shifts.append(at)
+                total += len(piece)
+        if held:
+            yield from found()
 
 
 # Induced sorting ----------------------------------------------------------------------------------
@@ -90,7 +156,8 @@ class Queue:
     """
 
     def __init__(self, folder: Path, held: int = HELD) -> None:
-        self.folder, self.held, self.size = folder, held, 0
+        # entries lie in memory or, beyond the bound, in one file per key
+        self.folder, self.held, self.size, self.type = folder, held, 0, np.dtype(np.int64)
         self.parts: dict[int, list[np.ndarray]] = {}
         folder.mkdir()
 
@@ -101,7 +168,12 @@ class Queue:
         keys, positions = keys[order], positions[order]
         cuts = np.flatnonzero(keys[1:] != keys[:-1]) + 1
         for key, part in zip(keys[np.concatenate(([0], cuts))].tolist(), np.split(positions, cuts)):
-            self.parts.setdefault(key, []).append(part)
+            self.put(key, part)
+
+    def put(self, key: int, positions: np.ndarray) -> None:
+        """Entries of one key."""
+        self.type = positions.dtype
+        self.parts.setdefault(key, []).append(positions)
         self.size += positions.nbytes
         if self.size > self.held:
             for key, parts in self.parts.items():
@@ -114,9 +186,9 @@ class Queue:
         file, parts = self.folder / str(key), self.parts.pop(key, [])
         self.size -= sum(p.nbytes for p in parts)
         if file.exists():
-            parts.insert(0, np.fromfile(file, dtype=np.int64))
+            parts.insert(0, np.fromfile(file, dtype=self.type))
             file.unlink()
-        return np.concatenate(parts) if parts else np.zeros(0, dtype=np.int64)
+        return np.concatenate(parts) if parts else np.zeros(0, dtype=self.type)
 
 
 def _s_type(t: np.ndarray) -> np.ndarray:
@@ -143,12 +215,12 @@ def suffix_order(t: np.ndarray, words: np.ndarray, depth: int, folder: Path, hel
     n = len(t)
     if n == 0:
         return
-    s_type = _s_type(t)
+    s_type, kind_of = _s_type(t), np.int32 if n < 2**31 else np.int64
     keys, seeds = [], Queue(folder / "seeds", held)
     for begin in range(0, n, PIECE):
         here = s_type[begin : begin + PIECE]
         before = np.concatenate(([s_type[begin - 1] if begin else True], here[:-1]))
-        at = np.flatnonzero(here & ~before) + begin
+        at = (np.flatnonzero(here & ~before) + begin).astype(kind_of)
         seeds.push(t[at], at)
         keys = sorted({*keys, *np.unique(t[begin : begin + PIECE]).tolist()})
 
@@ -157,28 +229,28 @@ def suffix_order(t: np.ndarray, words: np.ndarray, depth: int, folder: Path, hel
         return before[s_type[before] == kind]
 
     rising, falling = Queue(folder / "rising", held), Queue(folder / "falling", held)
-    rising.push(t[-1:], np.array([n - 1]))
+    l_part, s_part = Queue(folder / "l", held), Queue(folder / "s", held)
+    rising.push(t[-1:], np.array([n - 1], dtype=kind_of))
     for key in keys:
-        with (folder / f"l{key}").open("wb") as f:
-            while len(block := rising.take(key)):
-                block.tofile(f)
-                before = predecessors(block, False)
-                rising.push(t[before], before)
+        while len(block := rising.take(key)):
+            l_part.put(key, block)
+            before = predecessors(block, False)
+            rising.push(t[before], before)
         block = seeds.take(key)
-        block = block[np.lexsort([words[block + k].astype(np.uint64) for k in range(0, depth, 8)][::-1])]
+        block = block[np.lexsort([words[block.astype(np.int64) + k].astype(np.uint64) for k in range(0, depth, 8)][::-1])]
         before = predecessors(block, False)
         rising.push(t[before], before)
     for key in reversed(keys):
-        with (folder / f"s{key}").open("wb") as f:
-            while len(block := falling.take(key)):
-                block.tofile(f)
-                before = predecessors(block, True)
-                falling.push(t[before], before)
-        before = predecessors(np.fromfile(folder / f"l{key}", dtype=np.int64)[::-1], True)
+        while len(block := falling.take(key)):
+            s_part.put(key, block)
+            before = predecessors(block, True)
+            falling.push(t[before], before)
+        block = l_part.take(key)
+        l_part.put(key, block)
+        before = predecessors(block[::-1], True)
         falling.push(t[before], before)
     for key in keys:
-        l_part, s_part = (np.fromfile(folder / f"{kind}{key}", dtype=np.int64) for kind in "ls")
-        yield np.concatenate((l_part, s_part[::-1]))
+        yield np.concatenate((l_part.take(key), s_part.take(key)[::-1]))
 
 
 def covered(contexts: Iterator[tuple[list[bytes], np.ndarray]], length: int, held: int = HELD) -> tuple[np.ndarray, np.ndarray]:
@@ -205,6 +277,7 @@ def covered(contexts: Iterator[tuple[list[bytes], np.ndarray]], length: int, hel
         words = np.ndarray((n + length + 8,), dtype=">u8", buffer=text, strides=(1,))
         out = np.zeros(n, dtype=bool)
         for block in suffix_order(text[:n], words, length, folder, held):
+            block = block.astype(np.int64)
             own = np.searchsorted(ends, block, side="right")
             inside = block + length <= ends[own]
             block, docs = block[inside], least[own[inside]]
@@ -233,71 +306,189 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else df
 
 
-def _anchors(length: int):
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+_COLUMNS = ("anchor", "sides", "context", "size", "doc", "start")
+_MEETING = ", ".join(f"{x} long" for x in _COLUMNS)
+#: Contexts that a task gathers before it deals them out.
+DEALT = 1 << 19
+#: Contexts of one anchor that are looked at together; of anchors with more, all unlike contexts are
+#: compared as bytes, whether their sides agree or not.
+TOGETHER = 100_000
+
+
+def _deal(length: int, parts_bits: int):
+    """Contexts of documents by ranges of anchors: part, and a compressed block of columns."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts, squeeze = Contexts(length), zstandard.ZstdCompressor(level=1)
+        gathered, n = [], 0
+
+        def deal() -> pa.RecordBatch:
+            columns = np.concatenate(gathered, axis=1)
+            columns = columns[:, np.lexsort((columns[2], columns[0]))]
+            part = columns[0] >> (ANCHOR_BITS - parts_bits)
+            cuts = np.flatnonzero(part[1:] != part[:-1]) + 1
+            blocks = []
+            for block in np.split(columns, cuts, axis=1):
+                block = block.copy()
+                block[0, 1:] = np.diff(block[0])
+                # byte planes: the many equal high bytes of small numbers lie side by side
+                blocks.append(squeeze.compress(np.ascontiguousarray(block.view(np.uint8).reshape(-1, 8).T).tobytes()))
+            ids = part[np.concatenate(([0], cuts))]
+            return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(blocks, pa.binary())], names=["part", "block"])
+
         for batch in batches:
-            for doc, text in zip(batch.doc, batch.text):
-                for _, _, at, h in owners(text.encode("utf-8", "surrogatepass"), length):
-                    yield pd.DataFrame({"anchor": h, "doc": doc, "at": at})
+            doc, shift = (batch.column(k).to_numpy() for k in (0, 1))
+            texts = (x.as_py() for x in batch.column(2).cast(pa.binary()))
+            for which, start, size, anchor, sides, value in contexts.batches(texts):
+                if len(start):
+                    gathered.append(np.stack([anchor, sides, value, size, doc[which], start + shift[which]]).astype(np.int64))
+                    n += len(start)
+                if n >= DEALT:
+                    yield deal()
+                    gathered, n = [], 0
+        if gathered:
+            yield deal()
 
-    def gathered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts, size = [], 0
-        for x in find(batches):
-            parts.append(x)
-            size += len(x)
-            if size > 100_000:
-                yield pd.concat(parts)
-                parts, size = [], 0
-        if parts:
-            yield pd.concat(parts)
+    return find
 
-    return gathered
 
+def _undeal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    expand = zstandard.ZstdDecompressor()
+    for batch in batches:
+        for block in batch.column(1):
+            planes = np.frombuffer(expand.decompress(block.as_py()), dtype=np.uint8).reshape(8, -1)
+            columns = np.ascontiguousarray(planes.T).view(np.int64).reshape(len(_COLUMNS), -1)
+            columns[0] = np.cumsum(columns[0])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=list(_COLUMNS))
 
-def _contexts(length: int, with_bytes: bool):
-    columns = ["anchor", "context", "doc", "sha", "start", "size", *["bytes"] * with_bytes]
 
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = []
-        for batch in batches:
-            for doc, sha, text, at in zip(batch.doc, batch.sha, batch.text, batch["at"]):
-                data, wanted = text.encode("utf-8", "surrogatepass"), np.unique(np.asarray(at))
-                for first, last, own, h in owners(data, length):
-                    chosen = np.isin(own, wanted)
-                    for a, b, anchor in zip(first[chosen].tolist(), last[chosen].tolist(), h[chosen].tolist()):
-                        x = data[a : b + length]
-                        rows.append((anchor, xxhash.xxh3_64_intdigest(x) - 2**63, doc, sha, a, len(x), *[x] * with_bytes))
-                    if len(rows) > 50_000:
-                        yield pd.DataFrame(rows, columns=columns)
-                        rows = []
-        if rows:
-            yield pd.DataFrame(rows, columns=columns)
+def _judge(rows: np.ndarray, least: int | None, hot: bool) -> np.ndarray:
+    """Of contexts in order (a column each): those whose document is not the smallest with the context,
+    which lose it whole, marked by anchor -1, and those whose bytes must be compared.
 
-    return find
+    `least`: smallest document of the first context, if it began earlier. `hot`: part of a large
+    group, all of whose contexts are to be compared.
+    """
+    anchor, sides, context, size, doc, start = rows
+    new_anchor = np.concatenate(([True], anchor[1:] != anchor[:-1]))
+    new = new_anchor | np.concatenate(([True], (context[1:] != context[:-1]) | (size[1:] != size[:-1])))
+    number = np.cumsum(new) - 1
+    smallest = doc[new]
+    if least is not None:
+        smallest[0] = least
+    later = doc > smallest[number]
+    whole = rows[:, later].copy()
+    whole[0] = -1
+    first = rows[:, ~later]
+    if not hot:
+        # several contexts of several documents, and one side in common with another context
+        group = np.cumsum(new_anchor)[new] - 1
+        wanted = np.zeros(len(smallest), dtype=bool)
+        for part in (sides[new] >> 8, sides[new] & 255):
+            key = group * 256 + part
+            order = np.lexsort((smallest, key))
+            k, d = key[order], smallest[order]
+            begin = np.concatenate(([True], k[1:] != k[:-1]))
+            low, high = np.minimum.reduceat(d, np.flatnonzero(begin)), np.maximum.reduceat(d, np.flatnonzero(begin))
+            unlike = (low < high)[np.cumsum(begin) - 1]
+            wanted[order] |= unlike & (part[order] > 0)
+        # equal contexts may have unlike sides outside them
+        many = np.zeros(len(smallest), dtype=bool)
+        uneven = np.concatenate(([False], (sides[1:] != sides[:-1]) & ~new[1:]))
+        many[number[uneven]] = True
+        big = np.bincount(group[many], minlength=group[-1] + 1)[group] > 0
+        several = np.bincount(group)[group] > 1
+        first = first[:, (wanted | big & several)[number[~later]]]
+    return np.concatenate((whole, first), axis=1)
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`_judge` over a sorted stream, of which one anchor's contexts are held up to `TOGETHER`."""
+
+    def out(rows: np.ndarray) -> pa.RecordBatch:
+        anchor = pa.array(rows[0], mask=rows[0] < 0)
+        return pa.RecordBatch.from_arrays([anchor, *[pa.array(rows[k]) for k in (4, 5, 3)]], names=["anchor", "doc", "start", "size"])
+
+    held = np.zeros((len(_COLUMNS), 0), dtype=np.int64)
+    hot = None  # of a large group: anchor, context, size and its smallest document
+    for batch in batches:
+        rows = np.concatenate((held, np.stack([x.to_numpy() for x in batch.columns])), axis=1)
+        if not rows.shape[1]:
+            continue
+        begin = 0
+        if hot and rows[0, 0] == hot[0]:
+            n = int(np.searchsorted(rows[0], hot[0], side="right"))
+            goes_on = (rows[2, 0], rows[3, 0]) == hot[1:3]
+            yield out(_judge(rows[:, :n], hot[3] if goes_on else None, True))
+            begin = n
+            if n == rows.shape[1]:
+                last = rows[:, -1]
+                of_last = rows[:, (rows[2] == last[2]) & (rows[3] == last[3])]
+                same = goes_on and (last[2], last[3]) == hot[1:3]
+                hot, held = (hot[0], last[2], last[3], hot[3] if same else of_last[4].min()), rows[:, :0]
+                continue
+        hot = None
+        end = int(np.searchsorted(rows[0], rows[0, -1], side="left"))
+        if end > begin:
+            yield out(_judge(rows[:, begin:end], None, False))
+        begin = max(begin, end)
+        held = rows[:, begin:]
+        if held.shape[1] > TOGETHER:
+            yield out(_judge(held, None, True))
+            last = held[:, -1]
+            of_last = held[:, (held[2] == last[2]) & (held[3] == last[3])]
+            hot, held = (last[0], last[2], last[3], of_last[4].min()), held[:, :0]
+    if held.shape[1]:
+        yield out(_judge(held, None, False))
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc, shift and the compressed text."""
+    squeeze = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        data = [squeeze.compress(x.as_py()) for x in batch.column(2).cast(pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(data, pa.binary())], names=["doc", "shift", "data"])
+
+
+def _bytes_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The bytes of the places asked for; places of other texts of the same id are passed over."""
+    expand = zstandard.ZstdDecompressor()
+    for batch in batches:
+        rows = []
+        for doc, shift, data, places in zip(batch.doc, batch["shift"], batch.data, batch.places):
+            text = expand.decompress(data)
+            for p in places:
+                at = p["start"] - shift
+                if 0 <= at and at + p["size"] <= len(text):
+                    rows.append((p["anchor"], doc, p["start"], text[at : at + p["size"]]))
+        yield pd.DataFrame(rows, columns=["anchor", "doc", "start", "bytes"])
 
 
 def _cuts(length: int):
-    """Removed spans of each context of a shard's anchors."""
+    """Removed spans in the contexts of a shard's anchors."""
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys = []
+        docs, starts = [], []
 
         def contexts() -> Iterator[tuple[list[bytes], np.ndarray]]:
             for batch in batches:
-                keys.append(batch[["anchor", "context"]])
-                yield list(batch.bytes), batch.least.to_numpy()
+                docs.append(batch.doc.to_numpy())
+                starts.append(batch.start.to_numpy())
+                yield list(batch.bytes), batch.doc.to_numpy()
 
         sizes, found = covered(contexts(), length)
         if not found.any():
             return
-        places, begins = pd.concat(keys), np.cumsum(sizes) - sizes
-        starts = np.flatnonzero(found)
-        own = np.searchsorted(begins, starts, side="right") - 1
-        chosen = np.unique(own)
-        cuts = []
-        for x in np.split(starts - begins[own], np.flatnonzero(np.diff(own)) + 1):
-            cuts.append([{"b": int(a), "e": int(b)} for a, b in spans(x, x + length)])
-        yield places.iloc[chosen].assign(cuts=cuts)
+        begins, at = np.cumsum(sizes) - sizes, np.flatnonzero(found)
+        own = np.searchsorted(begins, at, side="right") - 1
+        # runs of starts inside one context
+        first = np.concatenate(([True], (own[1:] != own[:-1]) | (at[1:] != at[:-1] + 1)))
+        last = np.concatenate((first[1:], [True]))
+        place = own[first]
+        begin = np.concatenate(starts)[place] + at[first] - begins[place]
+        yield pd.DataFrame({
+            "doc": np.concatenate(docs)[place], "start": begin, "size": at[last] - at[first] + length,
+        })
 
     return sort
 
@@ -310,32 +501,62 @@ def spans(begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return np.stack((begins[first], reach[np.concatenate((first[1:], [True]))]), axis=1)
 
 
-def _cut_texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for doc, sha, text, marks in zip(batch.doc, batch.sha, batch.text, batch.marks):
-            data = text.encode("utf-8", "surrogatepass")
-            pairs = np.array([(m["b"], m["e"]) for m in marks], dtype=np.int64)
-            gone = spans(pairs[:, 0], pairs[:, 1])
-            at, kept = 0, []
-            for a, b in gone.tolist():
-                kept.append(data[at:a])
-                at = b
-            kept = b"".join([*kept, data[at:]])
-            rows.append((doc, sha, int((gone[:, 1] - gone[:, 0]).sum()), len(gone), kept, hashlib.sha256(kept).hexdigest()))
-        yield pd.DataFrame(rows, columns=["doc", "sha", "n_removed", "n_spans", "kept", "kept_sha256"])
-
-
-def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+def _cut_texts(with_text: bool):
+    columns = ["doc", "shift", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_text]
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        expand = zstandard.ZstdDecompressor()
+        for batch in batches:
+            rows = []
+            for doc, shift, data, marks in zip(batch.doc, batch["shift"], batch.data, batch.marks):
+                text = expand.decompress(data)
+                begins = np.array([m["start"] for m in marks], dtype=np.int64) - shift
+                ends = begins + np.array([m["size"] for m in marks], dtype=np.int64)
+                own = (begins >= 0) & (ends <= len(text))
+                if not own.any():
+                    continue
+                gone = spans(begins[own], ends[own])
+                at, kept = 0, []
+                for a, b in gone.tolist():
+                    kept.append(text[at:a])
+                    at = b
+                kept = b"".join([*kept, text[at:]])
+                removed = int((gone[:, 1] - gone[:, 0]).sum())
+                rows.append((doc, shift, removed, len(gone), hashlib.sha256(kept).hexdigest(), *[kept] * with_text))
+            yield pd.DataFrame(rows, columns=columns)
+
+    return cut
+
+
+def _with_shift(texts: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """doc, shift, text, and the shifts other than 0 if any: rows of one doc_id with different texts get places of their own, one text's
+    behind the other's. 0 for the usual, single texts."""
+    texts = texts.select("doc", "sha", "text")
+    kinds = base.select("doc", "sha", "n_bytes").distinct()
+    several = kinds.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc")
+    before = Window.partitionBy("doc").orderBy("sha").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = stored(
+        kinds.join(several, "doc", "left_semi")
+        .select("doc", "sha", F.coalesce(F.sum("n_bytes").over(before), F.lit(0)).alias("shift")),
+        "shifts",
+    )
+    if shifts.isEmpty():
+        return texts.select("doc", F.lit(0).cast("long").alias("shift"), "text"), None
+    found = texts.join(_small(shifts), ["doc", "sha"], "left")
+    return found.select("doc", F.coalesce("shift", F.lit(0)).cast("long").alias("shift"), "text"), shifts
+
+
+def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = True) -> DataFrame:
     """Remove every byte covered by a `length`-byte string that a smaller doc_id also has.
 
     One row per row of `docs` (doc_id, text): doc_id, n_bytes, n_removed, n_spans (maximal removed
-    runs), kept_sha256, kept (remaining bytes; null where nothing is removed, so that untouched texts
-    are not moved). Texts count as UTF-8 bytes; strings are judged on the input.
+    runs), kept_sha256 and, `with_text`, kept (remaining bytes; null where nothing is removed, so that
+    untouched texts are not moved). Texts count as UTF-8 bytes; strings are judged on the input.
 
     Null text is empty. Rows with one doc_id never remove each other, whatever their texts. A null
     doc_id counts as larger than all others. Texts shorter than `length`, and an empty table, lose
-    nothing; other columns are ignored. `length` is from 32 to 75.
+    nothing; other columns are ignored. `length` is from 32 to 78. Equal contexts are told by their
+    size, 48 bits of their anchor's hash and a 64-bit hash of their own.
     """
     own = docs.select("doc_id", F.coalesce("doc_id", F.lit(_TOP)).cast("long").alias("doc"), _text().alias("text"))
     with_sha = own.withColumn("sha", F.unhex(F.sha2("text", 256)))
@@ -344,59 +565,50 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     several = stored(least.where(F.col("least") < F.col("most")).select("sha", "least"), "copied")
     copies = base.join(_small(several), "sha").where(F.col("doc") > F.col("least")).select("doc", "sha").distinct()
     copies = stored(copies, "copies")
-    first = (
-        with_sha.where(F.octet_length("text") >= length)
-        .join(_small(copies), ["doc", "sha"], "left_anti").select("doc", "sha", "text")
+    first = with_sha.where(F.octet_length("text") >= length).join(_small(copies), ["doc", "sha"], "left_anti")
+    first, shifts = _with_shift(first, base)
+
+    parts = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = stored(
+        first.mapInArrow(_deal(length, min(24, parts.bit_length())), "part long, block binary")
+        .repartition("part").mapInArrow(_undeal, _MEETING)
+        .sortWithinPartitions("anchor", "context", "size", "doc", "start")
+        .mapInArrow(_meet, "anchor long, doc long, start long, size long"),
+        "contexts",
     )
-
-    anchors = first.select("doc", "text").mapInPandas(_anchors(length), "anchor long, doc long, at long")
-    same = Window.partitionBy("anchor")
-    shared = anchors.select(
-        "doc", "at", F.min("doc").over(same).alias("low"), F.max("doc").over(same).alias("high")
-    ).where(F.col("low") < F.col("high"))
-    places = stored(shared.groupBy("doc").agg(F.collect_set("at").alias("at")), "places")
-    wanted = first.join(_small(places.select("doc")), "doc", "left_semi").distinct()
-    suspects = stored(wanted.join(places, "doc"), "suspects")
-
-    kinds = "anchor long, context long, doc long, sha binary, start long, size long"
-    occurrences = suspects.mapInPandas(_contexts(length, False), kinds)
-    distinct = (
-        suspects.mapInPandas(_contexts(length, True), kinds + ", bytes binary")
-        .groupBy("anchor", "context").agg(F.min("doc").alias("least"), F.min("bytes").alias("bytes"))
+    places = stored(
+        met.where("anchor is not null").groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "size")).alias("places")), "places"
     )
-    distinct = stored(distinct, "contexts")
-    several = distinct.groupBy("anchor").agg(F.min("least").alias("low"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    # a context whose document is the smallest of its anchor can lose nothing, but others to it
+    packed = "doc long, shift long, data binary"
+    wanted = first.join(_small(places.select("doc")), "doc", "left_semi").mapInArrow(_packed, packed)
     cuts = (
-        distinct.join(several.select("anchor"), "anchor", "left_semi")
+        wanted.join(places, "doc")
+        .mapInPandas(_bytes_of, "anchor long, doc long, start long, bytes binary")
         .repartition("anchor")
-        .mapInPandas(_cuts(length), "anchor long, context long, cuts array<struct<b:long,e:long>>")
-    )
-    judged = distinct.select("anchor", "context", "least").join(cuts, ["anchor", "context"], "left")
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("b"), F.col("size").alias("e")))
-    marks = (
-        occurrences.join(judged, ["anchor", "context"])
-        .withColumn("cuts", F.when(F.col("doc") > F.col("least"), whole).otherwise(F.col("cuts")))
-        .where("cuts is not null")
-        .select("doc", "sha", F.transform(
-            "cuts", lambda x: F.struct((x["b"] + F.col("start")).alias("b"), (x["e"] + F.col("start")).alias("e"))
-        ).alias("marks"))
-        .groupBy("doc", "sha").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+        .mapInPandas(_cuts(length), "doc long, start long, size long")
     )
-    lost = (
-        suspects.select("doc", "sha", "text").join(marks, ["doc", "sha"])
-        .mapInPandas(_cut_texts, "doc long, sha binary, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    marks = stored(
+        met.where("anchor is null").select("doc", "start", "size").unionByName(cuts)
+        .groupBy("doc").agg(F.collect_list(F.struct("start", "size")).alias("marks")),
+        "marks",
     )
-    empty = F.lit(hashlib.sha256(b"").hexdigest())
-    copied = F.col("copied").isNotNull()
+    touched = first.join(_small(marks.select("doc")), "doc", "left_semi").mapInArrow(_packed, packed)
+    out = "doc long, shift long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
+    lost = touched.join(marks, "doc").mapInPandas(_cut_texts(with_text), out).dropDuplicates(["doc", "shift"])
+
+    if shifts is None:
+        placed = base.withColumn("shift", F.lit(0).cast("long"))
+    else:
+        placed = base.join(shifts, ["doc", "sha"], "left").withColumn("shift", F.coalesce("shift", F.lit(0)))
+    copied, empty = F.col("copied").isNotNull(), F.lit(hashlib.sha256(b"").hexdigest())
+    kept = [F.when(copied, F.lit(b"")).otherwise(F.col("kept")).alias("kept")] if with_text else []
     return (
-        base.join(copies.withColumn("copied", F.lit(True)), ["doc", "sha"], "left")
-        .join(lost, ["doc", "sha"], "left")
+        placed.join(copies.withColumn("copied", F.lit(True)), ["doc", "sha"], "left")
+        .join(lost, ["doc", "shift"], "left")
         .select(
             "doc_id", "n_bytes",
             F.when(copied, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
             F.when(copied, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-            F.when(copied, empty).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),
-            F.when(copied, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
+            F.when(copied, empty).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"), *kept,
         )
     )
