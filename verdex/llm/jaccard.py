@@ -16,7 +16,7 @@ different components is missed.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdex.llm.common import components, stored
-from verdex.llm.shingles import WordHashes, shingle_set, words
+from verdex.llm.shingles import Hasher, shingle_set
 
 SHINGLE, PERCENT = 5, 80
 #: Shingles are counted by so many bits of their hash; the table of counts is the size of this alone.
@@ -56,17 +56,27 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS else df
 
 
+def _digest(s: np.ndarray) -> int:
+    return xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - 2**63
+
+
 def _measure(k: int):
     """Size and digest of each set, and how many sets have the shingles of each count cell."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, counts = WordHashes(), np.zeros(1 << COUNT_BITS, dtype=np.int64)
+        hasher, counts = Hasher(), np.zeros(1 << COUNT_BITS, dtype=np.int64)
         for batch in batches:
-            rows = []
+            rows, cells, waiting = [], [], 0
             for text in batch.text:
-                s = shingle_set(known.of(words(text, True)), k)
-                np.add.at(counts, (s & _COUNT_MASK).astype(np.int64), 1)
-                rows.append((len(s), xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - 2**63))
+                s = shingle_set(hasher.words(text, True), k)
+                cells.append((s & _COUNT_MASK).astype(np.int32))
+                waiting += len(s)
+                if waiting > 1 << 20:
+                    counts += np.bincount(np.concatenate(cells), minlength=len(counts))
+                    cells, waiting = [], 0
+                rows.append((len(s), _digest(s)))
+            if cells:
+                counts += np.bincount(np.concatenate(cells), minlength=len(counts))
             size, digest = zip(*rows) if rows else ((), ())
             yield pd.DataFrame({"doc": batch.doc, "n": size, "class": digest, "cell": pd.NA, "sets": 0})
         at = np.flatnonzero(counts)
@@ -79,54 +89,61 @@ def _measure(k: int):
     return typed
 
 
-class Order:
-    """The global order of shingles: by the count of their cell, then by hash."""
+def global_order(counts: np.ndarray, fragments: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of shingles, by the count of their cell and then by hash: the cells' ranks, and the
+    places that cut it into fragments of about equal weight."""
+    by_count = np.argsort(counts, kind="stable")
+    rank = np.empty(len(counts), dtype=np.uint64)
+    rank[by_count] = np.arange(len(counts), dtype=np.uint64)
+    share = np.cumsum(counts[by_count]) / max(1, counts.sum())
+    cuts = np.searchsorted(share, np.arange(1, fragments) / fragments)
+    return rank, cuts.astype(np.uint64) << np.uint64(64 - COUNT_BITS)
+
 
-    def __init__(self, counts: np.ndarray, fragments: int) -> None:
-        by_count = np.argsort(counts, kind="stable")
-        self.rank = np.empty(len(counts), dtype=np.uint64)
-        self.rank[by_count] = np.arange(len(counts), dtype=np.uint64)
-        share = np.cumsum(counts[by_count]) / max(1, counts.sum())
-        cuts = np.searchsorted(share, np.arange(1, fragments) / fragments)
-        self.cuts = cuts.astype(np.uint64) << np.uint64(64 - COUNT_BITS)
 
-    def sort(self, hashes: np.ndarray) -> np.ndarray:
-        """The shingles' places in the order, smallest first; equal only for equal shingles."""
-        rank = self.rank[(hashes & _COUNT_MASK).astype(np.int64)]
-        return np.sort((rank << np.uint64(64 - COUNT_BITS)) | (hashes >> np.uint64(COUNT_BITS)))
+def placed(hashes: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The shingles' places in the order, smallest first; equal only for equal shingles."""
+    own = rank[(hashes & _COUNT_MASK).astype(np.int64)]
+    return np.sort((own << np.uint64(64 - COUNT_BITS)) | (hashes >> np.uint64(COUNT_BITS)))
 
 
 def _prefixes(k: int, percent: int, order):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, parts, size = WordHashes(), [], 0
+        hasher, parts, size = Hasher(), [], 0
         for batch in batches:
             for text in batch.text:
-                s = shingle_set(known.of(words(text, True)), k)
-                if not len(s):
-                    continue
-                digest = xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - 2**63
-                head = order.value.sort(s)[: len(s) - needed_overlap(len(s), percent) + 1]
-                parts.append(pd.DataFrame({"gram": head.view(np.int64), "class": digest, "n": len(s), "pos": np.arange(len(head))}))
-                size += len(head)
+                s = shingle_set(hasher.words(text, True), k)
+                if len(s):
+                    head = placed(s, order.value[0])[: len(s) - needed_overlap(len(s), percent) + 1]
+                    parts.append((head.view(np.int64), _digest(s), len(s)))
+                    size += len(head)
                 if size > 200_000:
-                    yield pd.concat(parts)
+                    yield table(parts)
                     parts, size = [], 0
         if parts:
-            yield pd.concat(parts)
+            yield table(parts)
+
+    def table(parts: list[tuple[np.ndarray, int, int]]) -> pd.DataFrame:
+        heads, digests, sizes = zip(*parts)
+        lengths = [len(x) for x in heads]
+        return pd.DataFrame({
+            "gram": np.concatenate(heads), "class": np.repeat(np.array(digests, dtype=np.int64), lengths),
+            "n": np.repeat(sizes, lengths), "pos": np.concatenate([np.arange(x) for x in lengths]),
+        })
 
     return run
 
 
 def _segments(k: int, order):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
+        hasher = Hasher()
         for batch in batches:
             rows = []
             for text in batch.text:
-                s = shingle_set(known.of(words(text, True)), k)
-                digest = xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - 2**63
-                placed = order.value.sort(s)
-                for i, part in enumerate(np.split(placed, np.searchsorted(placed, order.value.cuts))):
+                s = shingle_set(hasher.words(text, True), k)
+                digest = _digest(s)
+                places = placed(s, order.value[0])
+                for i, part in enumerate(np.split(places, np.searchsorted(places, order.value[1]))):
                     if len(part):
                         rows.append((digest, i, part.view(np.int64)))
             yield pd.DataFrame(rows, columns=["class", "fragment", "grams"])
@@ -135,25 +152,32 @@ def _segments(k: int, order):
 
 
 def verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The linked ones of `pairs` (a, n_a, b, n_b): overlaps by fragment, summed per pair."""
-    left = segments.select(F.col("class").alias("a"), "fragment", F.col("grams").alias("grams_a"))
-    right = segments.select(F.col("class").alias("b"), "fragment", F.col("grams").alias("grams_b"))
+    """The linked ones of `pairs` (a, n_a, b, n_b): overlaps by fragment, summed per pair.
+
+    `segments`: class, fragment, grams, of all classes in the pairs; copies of a row do not matter.
+    """
+    sides = pairs.select("*", F.explode(F.array("a", "b")).alias("class")).join(segments, "class")
+    of = lambda side: F.any_value(F.when(F.col("class") == F.col(side), F.col("grams")), F.lit(True))
     return (
-        pairs.join(left, "a").join(right, ["b", "fragment"])
-        .select("a", "n_a", "b", "n_b", F.size(F.array_intersect("grams_a", "grams_b")).alias("shared"))
+        sides.groupBy("a", "n_a", "b", "n_b", "fragment").agg(of("a").alias("g_a"), of("b").alias("g_b"))
+        .where("g_a is not null and g_b is not null")
+        .select("a", "n_a", "b", "n_b", F.size(F.array_intersect("g_a", "g_b")).alias("shared"))
         .groupBy("a", "n_a", "b", "n_b").agg(F.sum("shared").alias("shared"))
         .where(similar(F.col("shared"), F.col("n_a"), F.col("n_b"), percent))
         .select("a", "b")
     )
 
 
-def class_components(index: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """Components of the classes in `index` (gram, class, n, pos): class, component."""
+def class_components(index: DataFrame, segments_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Components of the classes in `index` (gram, class, n, pos): class, component.
+
+    `segments_of` gives the segments of the classes in a frame (class).
+    """
     size = index.count()
     joined = None  # class, component, as far as known
     links = tested = None
-    last = False
-    for turn in range(MAX_ROUNDS + 1):
+    last, rounds = False, max(1, MAX_ROUNDS)
+    for turn in range(rounds + 1):
         if joined is None:
             members = index.withColumn("component", F.col("class"))
         else:
@@ -166,24 +190,23 @@ def class_components(index: DataFrame, segments: DataFrame, percent: int) -> Dat
             work = groups.agg(F.sum((F.col("all") - F.col("m")) * F.col("all"))).first()[0] or 0
             if not work:
                 break
-            last = work <= LEFT_PER_ROW * size or turn == MAX_ROUNDS
+            last = work <= LEFT_PER_ROW * size or turn == rounds
         one = members.select("gram", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("p_a"), F.col("component").alias("c_a"))
         two = members.select("gram", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("p_b"), F.col("component").alias("c_b"))
-        close = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (F.col("c_a") != F.col("c_b"))
+        # behind the first shingle in common no more can be shared than what follows in either set
+        most = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b"))
+        close = similar(most, F.col("n_a"), F.col("n_b"), percent) & (F.col("c_a") != F.col("c_b"))
         if last:
-            # members outside the largest component against all; the two first places bound the overlap
+            # members outside the largest component against all
             minor = one.join(groups.select("gram", "major"), "gram").where(F.col("c_a") != F.col("major"))
             both_minor = (F.col("c_b") != F.col("major")) & (F.col("a") > F.col("b"))
-            most = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b")) + F.least("p_a", "p_b")
-            found = minor.join(two, "gram").where(
-                close & ~both_minor & similar(most, F.col("n_a"), F.col("n_b"), percent)
-            )
+            found = minor.join(two, "gram").where(close & ~both_minor)
         else:
             # one partner for each class: of its shingles' first members by a hash, the first
             place = lambda c: F.xxhash64(F.col(c), F.lit(turn))
-            heads = two.groupBy("gram").agg(F.min(F.struct(place("b").alias("at"), "b", "n_b", "c_b")).alias("h"))
+            heads = two.groupBy("gram").agg(F.min(F.struct(place("b").alias("at"), "b", "n_b", "p_b", "c_b")).alias("h"))
             found = (
-                one.join(heads, "gram").select("a", "n_a", "c_a", "h.*").where(close)
+                one.join(heads, "gram").select("a", "n_a", "p_a", "c_a", "h.*").where(close)
                 .groupBy("a", "n_a").agg(F.min(F.struct("at", "b", "n_b")).alias("h")).select("a", "n_a", "h.b", "h.n_b")
             )
         swap = F.col("a") > F.col("b")
@@ -194,7 +217,8 @@ def class_components(index: DataFrame, segments: DataFrame, percent: int) -> Dat
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stored(pairs, "pairs")
-        new = stored(verify(pairs, segments, percent), "links")
+        classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        new = stored(verify(pairs, segments_of(classes), percent), "links")
         links = new if links is None else links.unionByName(new)
         tested = pairs.select("a", "b") if tested is None else tested.unionByName(pairs.select("a", "b"))
         joined = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
@@ -223,7 +247,7 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
     counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
     cells = both.where("cell is not null").groupBy("cell").agg(F.sum("sets").alias("sets")).toPandas()
     counts[cells.cell.to_numpy(dtype=np.int64)] = cells.sets.to_numpy()
-    order = spark.sparkContext.broadcast(Order(counts, FRAGMENTS))
+    order = spark.sparkContext.broadcast(global_order(counts, FRAGMENTS))
 
     least = stored(base.where("n > 0").groupBy("class").agg(F.min("doc").alias("least")), "classes")
     firsts = least.select(F.col("least").alias("doc")).distinct()
@@ -236,14 +260,13 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
         .where("low < high").select("gram", "class", "n", "pos").distinct(),
         "index",
     )
-    wanted = index.select("class").distinct().join(least, "class").select(F.col("least").alias("doc")).distinct()
-    wanted = stored(wanted, "wanted")
-    segments = stored(
-        own.join(_small(wanted), "doc", "left_semi").select("text")
-        .mapInPandas(_segments(k, order), "class long, fragment int, grams array<long>").dropDuplicates(["class", "fragment"]),
-        "segments",
-    )
-    joined = class_components(index, segments, percent)
+
+    def segments_of(classes: DataFrame) -> DataFrame:
+        wanted = stored(classes.join(least, "class").select(F.col("least").alias("doc")).distinct(), "wanted")
+        texts = own.join(_small(wanted), "doc", "left_semi").select("text")
+        return texts.mapInPandas(_segments(k, order), "class long, fragment int, grams array<long>")
+
+    joined = class_components(index, segments_of, percent)
     smallest = (
         least.join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))
     )
