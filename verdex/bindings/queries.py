@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from verdex.functions import text as T
 from verdex.operators import audit, catalogue, classify, counts, features, folds, metrics, selection, terms
 from verdex.plans import reports
-from verdex.runtime import shared_path, spread
+from verdex.runtime import cut, shared_path, spread
 from verdex.sources import files, pages, sinks, tables
 
 TERMS = ("the of", "nicht", "ción", "Elle un", "license", "token", "mit ", "apache", "Geau", "@")
@@ -267,6 +267,11 @@ def gram_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.with_grams(documents(spark, sf_dir), "text", stem=False).select("doc_id", "grams")
 
 
+def written_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grams written once, for the passes of the vocabulary, the scaling and the output."""
+    return cut(gram_rows(spark, sf_dir))
+
+
 @query
 def ngrams(spark, sf_dir):
     return features.gram_counts(gram_rows(spark, sf_dir), "grams")
@@ -279,12 +284,12 @@ def tfidf_top_terms(spark, sf_dir):
 
 @query
 def tfidf_terms(spark, sf_dir):
-    return rounded(features.tfidf_terms(gram_rows(spark, sf_dir), "doc_id", "grams"), "value")
+    return rounded(features.tfidf_terms(written_grams(spark, sf_dir), "doc_id", "grams"), "value")
 
 
 @query
 def scale_features(spark, sf_dir):
-    return rounded(features.tfidf_terms(gram_rows(spark, sf_dir), "doc_id", "grams", scale=True), "value")
+    return rounded(features.tfidf_terms(written_grams(spark, sf_dir), "doc_id", "grams", scale=True), "value")
 
 
 # Audits -----------------------------------------------------------------------------------------

@@ -7,12 +7,14 @@ from __future__ import annotations
 
 import json
 import warnings
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -22,11 +24,10 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdex.operators.features import fit_tfidf, with_grams
+from verdex.operators.features import column_stats, fit_tfidf, with_grams
 from verdex.operators.folds import digest, fold_table, in_test, rank_in_class, split_cuts
 from verdex.operators.knn import voter
 from verdex.operators.metrics import METRICS, binary_metrics
@@ -56,7 +57,7 @@ SVC_ITERATIONS = 10_000  # stands for "no limit"; a warning tells when it is rea
 MAX_BINS = 255  # split candidates of a feature
 # Training rows are dealt by id into so many partitions, whatever the cluster and the input's layout:
 # a tree's samples depend on them.
-TRAIN_PARTITIONS = 32
+TRAIN_PARTITIONS = 8
 
 
 @dataclass
@@ -160,30 +161,33 @@ def _fit_svc(rows: DataFrame, n: int, C: float):
     return predict, [abs(x) for x in model.coefficients], model
 
 
-def _fourier_stage(rows: DataFrame) -> Callable[[DataFrame], DataFrame]:
+def _fourier_stage(rows: DataFrame, width: int = FOURIER_FEATURES) -> Callable[[DataFrame], DataFrame]:
     """Random Fourier features (Rahimi & Recht 2007) of the RBF kernel, gamma = 1 / (d * variance).
 
-    The projection is drawn again from the seed in every task instead of being shipped.
+    The projection is drawn again from the seed, once in every task, instead of being shipped; sparse
+    vectors are multiplied as they are.
     """
-    summary = Summarizer.metrics("mean", "variance", "count").summary(F.col("features"))
-    mean, variance, n = rows.select(summary.alias("s")).select("s.mean", "s.variance", "s.count").first()
+    _, mean, variance = column_stats(rows, "features")
     d = len(mean)
     overall = sum(mean) / d
-    total = sum(v * (n - 1) / n + m * m for m, v in zip(mean, variance)) / d - overall**2
-    gamma, width, seed = 1.0 / (d * total), FOURIER_FEATURES, SEED
+    total = sum(v + m * m for m, v in zip(mean, variance)) / d - overall**2
+    gamma, seed = 1.0 / (d * total), SEED
 
     @F.pandas_udf("array<double>")
-    def project(v):
-        import numpy as np
-        import pandas as pd
-
+    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
         rng = np.random.default_rng(seed)
         w = rng.normal(0.0, np.sqrt(2.0 * gamma), (d, width))
         b = rng.uniform(0.0, 2 * np.pi, width)
-        z = np.sqrt(2.0 / width) * np.cos(np.stack(v.to_numpy()) @ w + b)
-        return pd.Series(list(z))
+        for batch in batches:
+            sums = np.stack([x @ w[i] for i, x in zip(batch["indices"], batch["values"])]) if len(batch) else np.zeros((0, width))
+            yield pd.Series(list(np.sqrt(2.0 / width) * np.cos(sums + b)))
+
+    def stage(df: DataFrame) -> DataFrame:
+        v = F.unwrap_udt("features")
+        sparse = F.struct(v["indices"].alias("indices"), v["values"].alias("values"))
+        return df.withColumn("features", array_to_vector(project(sparse)))
 
-    return lambda df: df.withColumn("features", array_to_vector(project(vector_to_array("features"))))
+    return stage
 
 
 def fit_model(name: str, train: DataFrame, featurised=None, **params) -> TextModel:
@@ -193,7 +197,7 @@ def fit_model(name: str, train: DataFrame, featurised=None, **params) -> TextMod
     if name == "KNeighbors":
         return TextModel(name, params, terms, featurise, voter(rows, params.get("n_neighbors", 3)))
     if name == "SVC" and params.get("kernel", "linear") == "rbf":
-        stage = _fourier_stage(rows)
+        stage = _fourier_stage(rows, params.get("fourier_features", FOURIER_FEATURES))
         rows, plain = stage(rows), featurise
         featurise = lambda df: stage(plain(df))
     with _training(rows, name in WEIGHTED) as (rows, n):

@@ -11,7 +11,6 @@ import sys
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -101,14 +100,29 @@ def fit_tfidf(
     return model, [t.term for t in terms]
 
 
+def column_stats(df: DataFrame, vectors: str) -> tuple[int, list[float], list[float]]:
+    """(rows, mean, population variance) of the columns of sparse vectors.
+
+    The stored entries are summed by column, combined before the shuffle: a row per column and task,
+    not a dense buffer. Entries that are not stored are zeros and are added by formula.
+    """
+    v = F.unwrap_udt(vectors)
+    n, size = df.agg(F.count(F.lit(1)), F.max(v["size"])).first()
+    cells = df.select(F.inline(F.arrays_zip(v["indices"].alias("idx"), v["values"].alias("value"))))
+    stats = cells.groupBy("idx").agg(F.count(F.lit(1)).alias("k"), F.avg("value").alias("m"), F.var_pop("value").alias("v"))
+    mean, variance = [0.0] * (size or 0), [0.0] * (size or 0)
+    for r in stats.collect():  # at most a row per column
+        mean[r.idx] = r.m * r.k / n
+        variance[r.idx] = (r.k * r.v + r.k * (n - r.k) / n * r.m**2) / n
+    return n, mean, variance
+
+
 def fit_scaling(df: DataFrame, vectors: str, out: str) -> ElementwiseProduct:
     """Division by the population standard deviation, without centring; constants stay as they are."""
-    summary = Summarizer.metrics("mean", "variance", "count").summary(F.col(vectors))
-    mean, variance, n = df.select(summary.alias("s")).select("s.mean", "s.variance", "s.count").first()
+    n, mean, variance = column_stats(df, vectors)
     eps = sys.float_info.epsilon
     factors = []
     for m, v in zip(mean, variance):
-        v *= (n - 1) / n
         constant = v <= n * eps * v + (n * m * eps) ** 2  # no more than rounding noise
         factors.append(1.0 if constant else v**-0.5)
     return ElementwiseProduct(scalingVec=Vectors.dense(factors), inputCol=vectors, outputCol=out)
