@@ -96,16 +96,16 @@ def test_knn_keeps_null_and_repeated_ids_and_its_bound(spark):
 
 @pytest.mark.parametrize("name,params", [
     ("LogisticRegression", {"C": 1}), ("RandomForest", {"n_estimators": 5, "max_depth": 4}),
-    ("BoostedTreesWeighted", {"n_estimators": 3}), ("BoostedTrees", {"n_estimators": 3}), ("SVC", {"C": 1}),
-    ("KNeighbors", {"n_neighbors": 3}), ("MLPClassifier", {"hidden": 5}),
+    ("BoostedTreesWeighted", {"n_estimators": 2}), ("BoostedTrees", {"n_estimators": 2}), ("SVC", {"C": 1}),
+    ("KNeighbors", {"n_neighbors": 3}), ("MLPClassifier", {"hidden": 3, "max_iter": 10}),
 ])
 def test_models_do_not_depend_on_partitions(split, name, params):
     train, test = split
     found = [
         {r.row_id: (r.prediction, round(r.confidence, 5)) for r in classify.fit_model(name, train.repartition(n), **params).transform(test).collect()}
-        for n in (1, 4, 7)
+        for n in (1, 7)
     ]
-    assert found[0] == found[1] == found[2]
+    assert found[0] == found[1]
 
 
 def test_train_table_keeps_every_row_and_splits_by_id(spark):
@@ -222,7 +222,7 @@ def split(corpus):
     ("SVC", {"C": 1, "kernel": "linear"}),
     ("SVC", {"C": 1, "kernel": "rbf"}),
     ("KNeighbors", {"n_neighbors": 3}),
-    ("MLPClassifier", {"hidden": 5}),
+    ("MLPClassifier", {"hidden": 5, "max_iter": 60}),
 ])
 def test_classifiers(split, name, params):
     train, test = split

@@ -235,7 +235,8 @@ def _fit_solver(name: str, rows: DataFrame, n: int, n_terms: int, params: dict):
         return _fit_svc(rows, n, params.get("C", 1))
     if name == "MLPClassifier":
         model = MultilayerPerceptronClassifier(
-            layers=[n_terms, params.get("hidden", 50), 2], maxIter=MLP_ITERATIONS, seed=SEED
+            layers=[n_terms, params.get("hidden", 50), 2], seed=SEED,
+            maxIter=params.get("max_iter", MLP_ITERATIONS),
         ).fit(rows)
         return _from_probability(model), None, model
     raise ValueError(f"unknown model {name}")
