@@ -199,8 +199,21 @@ def class_components(index: DataFrame, segments_of: Callable[[DataFrame], DataFr
         if last:
             # members outside the largest component against all
             minor = one.join(groups.select("gram", "major"), "gram").where(F.col("c_a") != F.col("major"))
-            both_minor = (F.col("c_b") != F.col("major")) & (F.col("a") > F.col("b"))
-            found = minor.join(two, "gram").where(close & ~both_minor)
+            once = (F.col("c_b") == F.col("major")) | (F.col("a") < F.col("b"))
+            sizes_fit = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+            found = minor.join(two, "gram").where(sizes_fit & (F.col("c_a") != F.col("c_b")) & once)
+            # of the `least` shingles that a link shares, at most n - first can lie behind a set's
+            # prefix of n - needed + 1; so many at least are in both prefixes
+            least = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent) - 1e-9)
+            needed = F.greatest(F.ceil(percent * F.col("n_a") / 100 - 1e-9), F.ceil(percent * F.col("n_b") / 100 - 1e-9))
+            # a shingle's largest component may differ from the next one's, so a pair comes either way round
+            ends = F.array_sort(F.array(F.struct(F.col("a").alias("id"), F.col("n_a").alias("n")), F.struct(F.col("b").alias("id"), F.col("n_b").alias("n"))))
+            found = (
+                found.select(ends.alias("p"))
+                .select(*[F.col("p")[i][f].alias(name) for i, f, name in ((0, "id", "a"), (0, "n", "n_a"), (1, "id", "b"), (1, "n", "n_b"))])
+                .groupBy("a", "n_a", "b", "n_b").agg(F.count(F.lit(1)).alias("met"))
+                .where(F.col("met") >= least + 1 - needed).drop("met")
+            )
         else:
             # one partner for each class: of its shingles' first members by a hash, the first
             place = lambda c: F.xxhash64(F.col(c), F.lit(turn))
