@@ -207,6 +207,22 @@ def test_removal_against_all_strings(spark, seed, monkeypatch):
     assert got == brute_removed(rows, 50)
 
 
+def test_runs_of_equal_bytes_and_short_periods_at_all_phases(spark):
+    rng, rows = random.Random(4), []
+    noise = lambda n: "".join(rng.choice("abcdefghijkl") for _ in range(n))
+    for phase in range(64):  # each run only in two documents; "\u0100" and on have two bytes
+        run = rng.choice([chr(0x100 + phase) * 35, f"{chr(0x100 + phase)}-=" * 20, f"{chr(0x100 + phase)}{'.' * 20}" * 5])
+        size = rng.choice([50, 55, 60, 66])
+        rows += [(len(rows) + k, noise(n) + run.encode()[:size].decode(errors="ignore") + noise(rng.randrange(60)))
+                 for k, n in enumerate((rng.randrange(100), 100 + phase))]
+    for mark in "-=_*. ":
+        rows += [(len(rows) + k, noise(rng.randrange(130)) + mark * (50 + 3 * k) + noise(40)) for k in range(3)]
+    got = sorted(
+        ((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, None if r.kept is None else bytes(r.kept))
+         for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute_removed(rows, 50)
+
+
 def test_long_texts_are_cut_into_pieces_that_lose_nothing(monkeypatch):
     rng = random.Random(3)
     text = "".join(rng.choice("abcdefgh") for _ in range(5000)).encode()

@@ -1,9 +1,9 @@
 """Exact removal of repeated byte strings with suffix arrays built by external induced sorting.
 
 1. Exact copies of a document are found by digest.
-2. Every 50-byte string is owned by the smallest hashed 16-gram in it (its anchor), which depends on
-   its bytes alone. A document's neighbouring strings with one owner form a context, a short run of
-   bytes. Contexts meet by anchor, as hashes. Of equal contexts all but the smallest document's are
+2. Every 50-byte string is owned by the smallest hashed 16-gram in it (its anchor), the leftmost if it
+   occurs there again, which depends on its bytes alone. A document's neighbouring strings with one
+   anchor form a context, a short run of bytes. Contexts meet by anchor, as hashes. Of equal contexts all but the smallest document's are
    removed whole.
 3. Where an anchor has several different contexts, those of the smallest documents go to a shard as
    bytes. A shard sorts its suffixes by induced sorting: the leftmost S-type suffixes are sorted
@@ -41,6 +41,11 @@ HELD = 48 << 20
 BROADCAST_KEYS = 500_000
 #: Bits of an anchor that travel. Unlike anchors that agree in them meet needlessly, nothing else.
 ANCHOR_BITS = 48
+#: Strings of a context at most; where one gram occurs again and again, as in a rule of dashes, it
+#: would otherwise go on.
+RUN = 64
+#: Added to the sides of a context in which the anchor occurs at several places.
+TIED = 1 << 16
 
 _TOP = np.iinfo(np.int64).max
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -61,7 +66,7 @@ def _gram_hashes(b: np.ndarray) -> np.ndarray:
 
 
 class Contexts:
-    """Contexts of byte strings: runs of starts of `length`-byte strings with one owner."""
+    """Contexts of byte strings: runs of at most `RUN` starts of `length`-byte strings with one anchor."""
 
     def __init__(self, length: int) -> None:
         self.length, self.side = length, (length - GRAM) // 2
@@ -77,19 +82,20 @@ class Contexts:
         size, anchor, sides and hash.
 
         A string that holds an anchor also holds the `side` bytes before it or those after it.
-        `sides` has 8 bits of a hash of either, 0 where the text has no such bytes.
+        `sides` has 8 bits of a hash of either, 0 where the text has no such bytes; `TIED` is added where
+        the anchor occurs at several places of the context, so that the sides of one do not tell.
         """
         length, span = self.length, self.length - GRAM + 1
         h = _gram_hashes(data)
-        m = (h & ~np.uint64(63)) | (np.arange(len(h), dtype=np.uint64) & np.uint64(63))
-        size = 1
+        # the low bits count from the string's start, so of equal grams the leftmost is taken
+        m, size = h & ~np.uint64(63), 1
         while 2 * size <= span:
-            m = np.minimum(m[: len(m) - size], m[size:])
+            m = np.minimum(m[: len(m) - size], m[size:] + np.uint64(size))
             size *= 2
         if size < span:
-            m = np.minimum(m[: len(m) - (span - size)], m[span - size :])
-        starts = np.arange(len(m))
-        own = starts + (((m & np.uint64(63)).astype(np.int64) - starts) & 63)
+            m = np.minimum(m[: len(m) - (span - size)], m[span - size :] + np.uint64(span - size))
+        own = np.arange(len(m)) + (m & np.uint64(63)).astype(np.int64)
+        anchor = h[own] >> np.uint64(64 - ANCHOR_BITS)
         # the strings that begin in the last bytes of a text would cross its end
         inside = np.ones(len(m) + length, dtype=bool)
         for back in range(1, length):
@@ -99,13 +105,15 @@ class Contexts:
         short = ends - begins < length
         for a, b in zip(begins[short].tolist(), ends[short].tolist()):
             inside[a:b] = False
-        fresh = np.concatenate(([True], (own[1:] != own[:-1]) | ~inside[:-1])) & inside
+        fresh = np.concatenate(([True], (anchor[1:] != anchor[:-1]) | ~inside[:-1])) & inside
+        place = np.arange(len(m))
+        fresh |= ((place - np.maximum.accumulate(np.where(fresh, place, 0))) % RUN == 0) & inside
         over = np.concatenate((fresh[1:] | ~inside[1:], [True])) & inside
         first, last = np.flatnonzero(fresh), np.flatnonzero(over)
         total = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(self.byte[data] * self.power[: len(data)])))
         size, at = last - first + length, own[first]
+        tied = np.where(own[last] > at, np.uint64(TIED), np.uint64(0))
         which = np.searchsorted(ends, first, side="right")
-        anchor = h[at] >> np.uint64(64 - ANCHOR_BITS)
 
         def value(a: np.ndarray, n: np.ndarray | int) -> np.ndarray:
             return mixed((total[a + n] - total[a]) * self.inverse[a] + np.asarray(n).astype(np.uint64))
@@ -115,7 +123,8 @@ class Contexts:
 
         before = short_value(at - self.side, at - self.side >= begins[which])
         after = short_value(at + GRAM, at + GRAM + self.side <= ends[which])
-        return which, first, size, anchor.view(np.int64), (before * np.uint64(256) + after).view(np.int64), value(first, size).view(np.int64)
+        sides = before * np.uint64(256) + after + tied
+        return which, first, size, anchor[first].view(np.int64), sides.view(np.int64), value(first, size).view(np.int64)
 
     def batches(self, texts: Iterator[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         """All contexts of texts, some texts or a piece of a long one at a time: number of the text,
@@ -384,7 +393,7 @@ def _judge(rows: np.ndarray, least: int | None, hot: bool) -> np.ndarray:
         # several contexts of several documents, and one side in common with another context
         group = np.cumsum(new_anchor)[new] - 1
         wanted = np.zeros(len(smallest), dtype=bool)
-        for part in (sides[new] >> 8, sides[new] & 255):
+        for part in (sides[new] >> 8 & 255, sides[new] & 255):
             key = group * 256 + part
             order = np.lexsort((smallest, key))
             k, d = key[order], smallest[order]
@@ -392,8 +401,8 @@ def _judge(rows: np.ndarray, least: int | None, hot: bool) -> np.ndarray:
             low, high = np.minimum.reduceat(d, np.flatnonzero(begin)), np.maximum.reduceat(d, np.flatnonzero(begin))
             unlike = (low < high)[np.cumsum(begin) - 1]
             wanted[order] |= unlike & (part[order] > 0)
-        # equal contexts may have unlike sides outside them
-        many = np.zeros(len(smallest), dtype=bool)
+        # equal contexts may have unlike sides outside them, and tied ones have several
+        many = sides[new] >= TIED
         uneven = np.concatenate(([False], (sides[1:] != sides[:-1]) & ~new[1:]))
         many[number[uneven]] = True
         big = np.bincount(group[many], minlength=group[-1] + 1)[group] > 0
