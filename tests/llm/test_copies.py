@@ -235,5 +235,27 @@ def test_long_texts_are_cut_into_pieces_that_lose_nothing(monkeypatch):
     assert strings(substrings.Contexts(50).batches(iter([text]))) == whole and len(whole) == 5000 - 49
 
 
+def test_places_of_null_and_repeated_ids_stay_with_their_own_text(spark, monkeypatch):
+    rng, arrays = random.Random(5), []
+    noise = lambda n: "".join(rng.choice("abcdefghijkl ") for _ in range(n))
+    shared, seen = [noise(120) for _ in range(4)], substrings.stored
+
+    def spy(df, name):
+        out = seen(df, name)
+        if name in ("places", "marks"):
+            arrays.append(out.select(F.max(F.size(name)), F.count(F.lit(1))).first())
+        return out
+
+    monkeypatch.setattr(substrings, "stored", spy)
+    rows = [(k, shared[k] + noise(30)) for k in range(4)]
+    rows += [(i, noise(40) + rng.choice(shared) + noise(40)) for i in [None] * 60 + [7] * 60] + [(None, "same " + shared[0])] * 40 + [(8, "tiny"), (8, shared[1])]
+    got = sorted(
+        ((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, None if r.kept is None else bytes(r.kept))
+         for r in substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+    assert got == brute_removed(rows, 50)
+    (most_places, texts), (most_marks, cut) = arrays
+    assert texts >= 120 and cut == 122 and most_places < 60 and most_marks < 60  # per text, not per id
+
+
 def test_removal_from_nothing(spark):
     assert substrings.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0

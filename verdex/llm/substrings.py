@@ -41,6 +41,9 @@ HELD = 48 << 20
 BROADCAST_KEYS = 500_000
 #: Bits of an anchor that travel. Unlike anchors that agree in them meet needlessly, nothing else.
 ANCHOR_BITS = 48
+#: A place is a text's shift plus a position in it, which takes so many bits; what lies above them
+#: tells the texts of one id apart.
+PLACE_BITS = 31
 #: Strings of a context at most; where one gram occurs again and again, as in a rule of dashes, it
 #: would otherwise go on.
 RUN = 64
@@ -460,7 +463,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _bytes_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The bytes of the places asked for; places of other texts of the same id are passed over."""
+    """The bytes of the places asked for, which are all of the row's own text."""
     expand = zstandard.ZstdDecompressor()
     for batch in batches:
         rows = []
@@ -468,8 +471,7 @@ def _bytes_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             text = expand.decompress(data)
             for p in places:
                 at = p["start"] - shift
-                if 0 <= at and at + p["size"] <= len(text):
-                    rows.append((p["anchor"], doc, p["start"], text[at : at + p["size"]]))
+                rows.append((p["anchor"], doc, p["start"], text[at : at + p["size"]]))
         yield pd.DataFrame(rows, columns=["anchor", "doc", "start", "bytes"])
 
 
@@ -520,11 +522,7 @@ def _cut_texts(with_text: bool):
             for doc, shift, data, marks in zip(batch.doc, batch["shift"], batch.data, batch.marks):
                 text = expand.decompress(data)
                 begins = np.array([m["start"] for m in marks], dtype=np.int64) - shift
-                ends = begins + np.array([m["size"] for m in marks], dtype=np.int64)
-                own = (begins >= 0) & (ends <= len(text))
-                if not own.any():
-                    continue
-                gone = spans(begins[own], ends[own])
+                gone = spans(begins, begins + np.array([m["size"] for m in marks], dtype=np.int64))
                 at, kept = 0, []
                 for a, b in gone.tolist():
                     kept.append(text[at:a])
@@ -538,23 +536,38 @@ def _cut_texts(with_text: bool):
 
 
 def _with_shift(texts: DataFrame, base: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """doc, shift, text, and the shifts other than 0 if any: rows of one doc_id with different texts get places of their own, one text's
-    behind the other's. 0 for the usual, single texts."""
+    """doc, shift, text of each distinct text of a doc_id, and the shifts other than 0 if any.
+
+    A text of a doc_id with several has a number of its own, from 1, and the shift is that number
+    above `PLACE_BITS`; single texts have 0. No step holds the texts or places of one id together.
+    """
     texts = texts.select("doc", "sha", "text")
-    kinds = base.select("doc", "sha", "n_bytes").distinct()
-    several = kinds.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc")
-    before = Window.partitionBy("doc").orderBy("sha").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = stored(
-        kinds.join(several, "doc", "left_semi")
-        .select("doc", "sha", F.coalesce(F.sum("n_bytes").over(before), F.lit(0)).alias("shift")),
-        "shifts",
-    )
-    if shifts.isEmpty():
+    rows = stored(base.groupBy("doc", "sha").agg(F.count(F.lit(1)).alias("n")), "rows")
+    again = stored(rows.where("n > 1").select("doc", "sha"), "again")
+    if not again.isEmpty():  # equal rows lose the same, and are cut once
+        equal = _small(again)
+        once = stored(texts.join(equal, ["doc", "sha"], "left_semi").dropDuplicates(["doc", "sha"]), "equal")
+        texts = texts.join(equal, ["doc", "sha"], "left_anti").unionByName(once)
+    several = stored(rows.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"), "several")
+    if several.isEmpty():
         return texts.select("doc", F.lit(0).cast("long").alias("shift"), "text"), None
+    at = F.monotonically_increasing_id()
+    kinds = stored(rows.join(_small(several), "doc", "left_semi").select("doc", "sha").withColumn("at", at), "kinds")
+    part = F.shiftright("at", 33)
+    counts = {r.part: r.n for r in kinds.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    before = F.create_map(*[F.lit(x) for k in sorted(counts) for x in (k, sum(n for j, n in counts.items() if j < k))])
+    number = before[part] + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    shifts = stored(kinds.select("doc", "sha", F.shiftleft(number.cast("long"), PLACE_BITS).alias("shift")), "shifts")
     found = texts.join(_small(shifts), ["doc", "sha"], "left")
     return found.select("doc", F.coalesce("shift", F.lit(0)).cast("long").alias("shift"), "text"), shifts
 
 
+def _by_text(places: DataFrame, name: str, *columns: str) -> DataFrame:
+    """doc, shift and the array `name` of the text's `places` (doc, start and other `columns`)."""
+    shift = F.shiftleft(F.shiftright("start", PLACE_BITS), PLACE_BITS).alias("shift")
+    return places.groupBy("doc", shift).agg(F.collect_list(F.struct(*columns)).alias(name))
+
+
 def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = True) -> DataFrame:
     """Remove every byte covered by a `length`-byte string that a smaller doc_id also has.
 
@@ -585,25 +598,20 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = True) ->
         .mapInArrow(_meet, "anchor long, doc long, start long, size long"),
         "contexts",
     )
-    places = stored(
-        met.where("anchor is not null").groupBy("doc").agg(F.collect_list(F.struct("anchor", "start", "size")).alias("places")), "places"
-    )
-    packed = "doc long, shift long, data binary"
-    wanted = first.join(_small(places.select("doc")), "doc", "left_semi").mapInArrow(_packed, packed)
+    places = stored(_by_text(met.where("anchor is not null"), "places", "anchor", "start", "size"), "places")
+    packed, text = "doc long, shift long, data binary", ["doc", "shift"]
+    wanted = first.join(_small(places.select(*text)), text, "left_semi").mapInArrow(_packed, packed)
     cuts = (
-        wanted.join(places, "doc")
+        wanted.join(places, text)
         .mapInPandas(_bytes_of, "anchor long, doc long, start long, bytes binary")
         .repartition("anchor")
         .mapInPandas(_cuts(length), "doc long, start long, size long")
     )
-    marks = stored(
-        met.where("anchor is null").select("doc", "start", "size").unionByName(cuts)
-        .groupBy("doc").agg(F.collect_list(F.struct("start", "size")).alias("marks")),
-        "marks",
-    )
-    touched = first.join(_small(marks.select("doc")), "doc", "left_semi").mapInArrow(_packed, packed)
+    marks = met.where("anchor is null").select("doc", "start", "size").unionByName(cuts)
+    marks = stored(_by_text(marks, "marks", "start", "size"), "marks")
+    touched = first.join(_small(marks.select(*text)), text, "left_semi").mapInArrow(_packed, packed)
     out = "doc long, shift long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
-    lost = touched.join(marks, "doc").mapInPandas(_cut_texts(with_text), out).dropDuplicates(["doc", "shift"])
+    lost = touched.join(marks, text).mapInPandas(_cut_texts(with_text), out)
 
     if shifts is None:
         placed = base.withColumn("shift", F.lit(0).cast("long"))
