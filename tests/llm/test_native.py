@@ -179,3 +179,12 @@ def test_secrets_without_labels_and_without_rows(spark):
     none = spark.createDataFrame([], "candidate string, before string, after string, label int")
     assert [(r.probability, r.is_secret) for r in secrets.find_secrets(docs, none).collect()] == [(1.0, True)]
     assert secrets.find_secrets(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("positives", [2, 40])
+def test_rare_labels_reach_the_forest(spark, positives):
+    rows = [(f"{10**15 + 7919 * i}", "order ", " of", 0) for i in range(1000)]
+    rows += [(f"AKIA{i:02d}ZDWJNP6ZRYWKQQ", "id ", " end", 1) for i in range(positives)]
+    findings = spark.createDataFrame(rows, "candidate string, before string, after string, label int")
+    judged = secrets.judge(findings, findings, [], train_findings=100).collect()
+    assert all((r.probability >= secrets.THRESHOLD) == (r.label == 1) for r in judged) and len(judged) == len(rows)

@@ -21,7 +21,8 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+={
 CONTEXT = 60
 #: Most frequent words of the corpus that make up the dictionary.
 DICTIONARY = 3000
-#: Labelled findings that the forest is fitted on at most, those with the smallest hash.
+#: Labelled findings that the forest is fitted on at most, half of them from each label, those with
+#: the smallest hash.
 TRAIN_FINDINGS = 4000
 TREES, DEPTH, SEED = 20, 6, 7
 THRESHOLD = 0.5
@@ -96,20 +97,25 @@ def judge(found: DataFrame, findings: DataFrame, words: list[str], train_finding
     """Add `probability` to candidates, by a forest fitted on labelled `findings`.
 
     `findings`: candidate, before, after, label (1 secret, 0 false positive; other rows are ignored).
-    At most `train_findings` of them are used, distinct ones with the smallest hash, in one partition
-    and one order, so that the forest does not depend on how they are dealt. Without both labels
-    nothing is known of false positives, and every candidate has probability 1.
+    At most half of `train_findings` are used from each label, distinct ones with the smallest hash, in
+    one partition and one order, so that the forest does not depend on how they are dealt. The labels
+    weigh the same, so the verdict does not turn with the share of secrets. If all findings lack a
+    label nothing is known of false positives, and every candidate has probability 1.
     """
     rows = findings.where(F.col("label").isin(0, 1)).select("candidate", "before", "after", F.col("label").cast("double")).distinct()
     at = F.xxhash64("candidate", "before", "after", "label")
-    sample = rows.orderBy(at, "candidate", "before", "after", "label").limit(train_findings)
-    sample = stored(with_features(sample, words).orderBy(at, "candidate", "before", "after", "label").coalesce(1), "findings")
-    labels = {r[0] for r in sample.select("label").distinct().collect()}
-    if labels != {0.0, 1.0}:
+    order = [at, "candidate", "before", "after", "label"]
+    negative, positive = (rows.where(F.col("label") == x).orderBy(*order).limit(max(1, train_findings // 2)) for x in (0, 1))
+    sample = with_features(negative.unionByName(positive), words)
+    sample = stored(sample.orderBy(*order).coalesce(1), "findings")
+    counts = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
+    if set(counts) != {0.0, 1.0}:
         return found.withColumn("probability", F.lit(1.0))
+    weight = F.when(F.col("label") == 1, sum(counts.values()) / (2 * counts[1.0])).otherwise(sum(counts.values()) / (2 * counts[0.0]))
+    sample = sample.withColumn("_weight", weight)
     assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="_features")
     forest = RandomForestClassifier(
-        featuresCol="_features", labelCol="label", probabilityCol="_probability", rawPredictionCol="_raw",
+        featuresCol="_features", labelCol="label", weightCol="_weight", probabilityCol="_probability", rawPredictionCol="_raw",
         predictionCol="_prediction", numTrees=TREES, maxDepth=DEPTH, seed=SEED, subsamplingRate=1.0,
     ).fit(assemble.transform(sample))
     scored = forest.transform(assemble.transform(with_features(found, words)))
