@@ -17,13 +17,26 @@ LEAST_SUPPORT = 0.3
 #: Document ids up to which they are broadcast; more are joined by shuffle.
 BROADCAST_IDS = 200_000
 
-_NO_ID = -(2**63)
+_KEY = "_row"
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """`docs` without the rows whose doc_id is in `dropped` (doc_id); null matches null."""
-    gone = stored(dropped.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("_id")).distinct(), "dropped")
-    return docs.join(small(gone, BROADCAST_IDS), F.coalesce(docs["doc_id"], F.lit(_NO_ID)) == F.col("_id"), "left_anti")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """`docs` with a key of each row: a 64-bit hash of its id and text.
+
+    Ids may be null or repeated; only rows with the same id and the same text share a key.
+    """
+    return docs.withColumn(_KEY, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+
+
+def _by_key(keyed: DataFrame) -> DataFrame:
+    """What the operators read, under the key instead of the id."""
+    return keyed.select(F.col(_KEY).alias("doc_id"), "text")
+
+
+def _without(keyed: DataFrame, dropped: DataFrame) -> DataFrame:
+    """`keyed` without the rows whose key is in `dropped` (a column of keys), and without the key."""
+    gone = stored(dropped.toDF("_gone").distinct(), "dropped")
+    return keyed.join(small(gone, BROADCAST_IDS), F.col(_KEY) == F.col("_gone"), "left_anti").drop(_KEY)
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,29 +53,45 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies keep the document with the smallest id.
+    """Of each group of near copies keep the document with the smallest id, null ids last.
 
-    Rows that repeat an id are one document and stay or go together, but equal rows stay once. Texts
-    without words have no copies.
+    Rows that repeat an id, or have none, are judged each by its own text; among them the smallest hash
+    of the text stays. Of rows with the same id and text one stays, the smallest by the other columns.
+    Texts without words have no copies.
     """
-    groups = stored(jaccard.near_groups(docs), "groups")
-    repeated = groups.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_id")
+    keyed = _keyed(docs)
+    groups = stored(jaccard.near_groups(_by_key(keyed)).select(F.col("doc_id").alias(_KEY), "component_id"), "groups")
+    repeated = groups.groupBy(F.col(_KEY).alias("_again")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_again")
     repeated = stored(repeated, "repeated")
-    if not repeated.isEmpty():  # ids are unique as a rule, and then no text is moved
-        match, ids = docs["doc_id"].eqNullSafe(F.col("_id")), small(repeated, BROADCAST_IDS)
-        docs = docs.join(ids, match, "left_anti").unionByName(docs.join(ids, match, "left_semi").distinct())
-    return _without(docs, groups.where("doc_id <> component_id"))
+    # a component's smallest key names it, and its own row has that key
+    linked = groups.where(F.col(_KEY) != F.col("component_id")).distinct()
+    members = stored(linked.unionByName(linked.select(F.col("component_id").alias(_KEY), "component_id").distinct()), "members")
+    named = keyed.select("doc_id", _KEY).join(small(members, BROADCAST_IDS), _KEY)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", _KEY))
+    stays = stored(named.groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{_KEY}").alias("_stays")), "stays")
+    dropped = members.join(small(stays, BROADCAST_IDS), F.col(_KEY) == F.col("_stays"), "left_anti").select(_KEY)
+    if not repeated.isEmpty():  # equal rows are rare as a rule, and then no text is moved
+        match, keys = F.col(_KEY) == F.col("_again"), small(repeated, BROADCAST_IDS)
+        equal = keyed.join(keys, match, "left_semi").groupBy(_KEY).agg(F.min(F.struct(*docs.columns)).alias("row"))
+        keyed = keyed.join(keys, match, "left_anti").unionByName(equal.select("row.*", _KEY))
+    return _without(keyed, dropped)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold an item of the table `benchmark`."""
-    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return _without(docs, decontaminate.find_leaks(docs, items).select("doc_id"))
+    """Drop rows that hold an item of the table `benchmark`; others of the same or no id stay."""
+    items, keyed = spark.read.parquet(f"{sf_dir}/benchmark.parquet"), _keyed(docs)
+    return _without(keyed, decontaminate.find_leaks(_by_key(keyed), items).select("doc_id"))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mask secrets in the texts; `n_chars` is counted anew where a text holds the mask."""
-    masked = secrets.redact(docs, secrets.find_secrets(docs))
+    """Mask secrets in the texts; `n_chars` is counted anew where a text holds the mask.
+
+    Rows are masked by their own secrets, whatever their ids.
+    """
+    keyed = _keyed(docs)
+    found = secrets.find_secrets(_by_key(keyed))
+    own = keyed.select(F.col(_KEY).alias("doc_id"), F.col("doc_id").alias("_id0"), *[c for c in docs.columns if c != "doc_id"])
+    masked = secrets.redact(own, found).withColumn("doc_id", F.col("_id0")).select(*docs.columns)
     changed = F.contains("text", F.lit(secrets.MASK))
     return masked.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
 

@@ -86,3 +86,23 @@ def test_stages_of_nothing(spark, sf):
     for _, stage in pipeline.STAGES:
         docs = stage(spark, docs, sf)
         assert docs.count() == 0
+
+
+def test_stages_judge_rows_of_null_and_repeated_ids_each(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    leak = spark.read.parquet(f"{sf}/benchmark.parquet").first().text
+    long = " ".join(f"word{i}" for i in range(80))
+    mine = [
+        (None, "leak " + leak), (None, "a clean text without any item"), (5, "also " + leak), (5, "another clean text of five words or more"),
+        (None, long), (None, long + " z"), (None, long + " y"), (6, "the unique text of six, with a namesake"), (6, long + " w"), (4, long + " v"),
+        (None, "a text that two null rows have"), (None, "a text that two null rows have"),
+    ]
+    own = spark.createDataFrame(mine, "doc_id long, text string").selectExpr("doc_id", "text", "'en' as lang", "null as source", "length(text) as n_chars")
+    own = stored(own.select(docs.columns).withColumn("n_chars", F.col("n_chars").cast("long")), "own")
+    rows = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=str)
+    assert rows(pipeline.benchmark(spark, own, sf)) == sorted((x for x in mine if leak not in x[1]), key=str)
+    want = [x for x in mine[1:-1] if not x[1].startswith(long)] + [(4, long + " v")]  # the two leaks are near copies
+    assert rows(pipeline.near_copies(spark, own, sf)) == sorted(want, key=str)
+    nulls = own.where("doc_id is null")
+    left = rows(pipeline.near_copies(spark, nulls, sf))
+    assert len(left) == 4 and sum(t.startswith(long) for _, t in left) == 1
