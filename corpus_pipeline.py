@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from verdex.llm import decontaminate, jaccard, language, packing, secrets
 from verdex.llm.common import small, stored
 
-#: A document is rejected if fewer of its n-grams than this share belong to the language found.
+#: A document is rejected if fewer of its n-grams belong to the language found than this share of what
+#: that language's filter covers of its own training texts (little where a script has many characters).
 LEAST_SUPPORT = 0.3
 #: Document ids up to which they are broadcast; more are joined by shuffle.
 BROADCAST_IDS = 200_000
@@ -49,7 +50,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if not filters.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     judged = language.predict(docs.select(F.struct(*docs.columns).alias("row"), "text"), filters)
-    return judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("support") >= LEAST_SUPPORT)).select("row.*")
+    limits = F.create_map(*[F.lit(x) for lang, c in zip(filters.languages, filters.coverage) for x in (lang, LEAST_SUPPORT * c)])
+    known = F.col("lang_pred") != language.UNKNOWN
+    return judged.where(known & (F.col("support") >= limits[F.col("lang_pred")])).select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

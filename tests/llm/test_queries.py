@@ -1,5 +1,7 @@
 """Registered queries against their SQL, and the pipeline against what its stages should keep."""
 
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -106,3 +108,12 @@ def test_stages_judge_rows_of_null_and_repeated_ids_each(spark, sf):
     nulls = own.where("doc_id is null")
     left = rows(pipeline.near_copies(spark, nulls, sf))
     assert len(left) == 4 and sum(t.startswith(long) for _, t in left) == 1
+
+
+def test_language_with_many_characters_stays(spark, sf):
+    rng = random.Random(3)
+    signs = [chr(0x4E00 + i) for i in range(400)]
+    texts = ["".join(rng.choices(signs, k=400)) for _ in range(100)]
+    rows = [(i, t, "zh", None, len(t)) for i, t in enumerate(texts)] + [(900, "xqzj wvkk " * 20, None, None, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in pipeline.language_id(spark, docs, sf).collect()) == list(range(100))

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from verdex.llm.common import stored
+
 SIZES = (3, 4)
 #: n-grams are told apart by so many bits of their hash.
 GRAM_BITS = 21
@@ -63,12 +65,13 @@ def grams(text: str) -> Iterator[np.ndarray]:
 
 @dataclass(frozen=True)
 class Filters:
-    """`cells` (cell, word of 64 languages), the languages in bit order, and each one's false
-    positive rate."""
+    """`cells` (cell, word of 64 languages), the languages in bit order, each one's false positive
+    rate, and the share of its learned n-grams, by count, that its filter holds (1 if not told)."""
 
     languages: tuple[str, ...]
     cells: np.ndarray
     false_rate: np.ndarray
+    coverage: tuple[float, ...] = ()
 
     @staticmethod
     def probes(grams_: np.ndarray) -> Iterator[np.ndarray]:
@@ -78,7 +81,7 @@ class Filters:
             yield (x >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
     @classmethod
-    def build(cls, profiles: dict[str, np.ndarray]) -> Filters:
+    def build(cls, profiles: dict[str, np.ndarray], coverage: dict[str, float] | None = None) -> Filters:
         names = tuple(sorted(profiles))
         cells = np.zeros((1 << CELL_BITS, max(1, (len(names) + 63) // 64)), dtype=np.uint64)
         rate = np.zeros(len(names))
@@ -87,7 +90,7 @@ class Filters:
             for at in cls.probes(profiles[name]):
                 cells[at, i // 64] |= bit
             rate[i] = float(np.mean((cells[:, i // 64] & bit) != 0)) ** PROBES
-        return cls(names, cells, rate)
+        return cls(names, cells, rate, tuple((coverage or {}).get(x, 1.0) for x in names))
 
     def shares(self, text: str) -> np.ndarray | None:
         """Corrected share of the text's n-grams that each language contains; None without letters."""
@@ -108,7 +111,7 @@ def fit(labelled: DataFrame, profile: int = PROFILE) -> Filters:
     """Learn filters from all of `labelled` (text, lang); rows with a null are ignored.
 
     Counts cover all rows; only each language's `profile` most frequent n-grams (ties by number)
-    reach the driver.
+    and the sums of all counts reach the driver.
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -132,9 +135,13 @@ def fit(labelled: DataFrame, profile: int = PROFILE) -> Filters:
     rows = labelled.select("lang", "text").where("lang is not null and text is not null")
     counts = rows.mapInPandas(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram")
-    top = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= profile).select("lang", "gram")
-    found = top.toPandas()
-    return Filters.build({lang: g.gram.to_numpy() for lang, g in found.groupby("lang")})
+    counts = stored(counts, "gram_counts")
+    top = counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= profile).select("lang", "gram", "n")
+    found, total = top.toPandas(), {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    by_lang = {lang: g for lang, g in found.groupby("lang")}
+    return Filters.build(
+        {lang: g.gram.to_numpy() for lang, g in by_lang.items()}, {lang: float(g.n.sum() / total[lang]) for lang, g in by_lang.items()}
+    )
 
 
 def predict(docs: DataFrame, filters: Filters) -> DataFrame:
