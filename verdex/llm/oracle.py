@@ -114,3 +114,45 @@ reach(a, b) as (select n, n from d union select r.a, l.b from reach r join links
 select s.doc_id, len(s.s) as n_shingles, min(t.doc_id) as component_id
 from sets s join reach r on s.n = r.a join sets t on r.b = t.n group by s.n, s.doc_id, s.s
 """
+
+ORACLE["op12_topk"] = """
+with v as (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
+  from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select q.r, q.vec_id as query_id, c.r as other, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.r <> c.r where q.vec_id % 50 = 0)
+select query_id, cast(row_number() over w as integer) as rank, vec_id, score from scored
+window w as (partition by r order by score desc, vec_id nulls last, other)
+qualify row_number() over w <= 5
+"""
+
+# crc32 bit by bit: h starts as all ones and takes each bit of the digits, lowest first
+ORACLE["op13_runs"] = f"""
+with d as (
+  select row_number() over () as r, doc_id, {_WORDS.format("coalesce(text, '')")} as w from documents),
+coded as (
+  select r, doc_id, w, len(w) as n, xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(range(8 * length(cast(doc_id as varchar))),
+      lambda i: (ascii(substr(cast(doc_id as varchar), i // 8 + 1, 1)) >> (i % 8)) & 1)),
+    lambda h, b: xor(h >> 1, 3988292384 * (xor(h, b) & 1)))) as h
+  from d),
+planted as (select *, h // 10 as g, case when h % 10 = 0 and n > 0 then (h // 10) % n end as a from coded),
+periods as (select *, 1 + (n - a) // (3 + g % 8) as p from planted),
+texts as (
+  select r, doc_id, n, case when a is null then w else list_transform(range(n), lambda i:
+    case when i >= a then w[a + (i - a) % p + 1] else w[i + 1] end) end as w from periods),
+words as (select r, n, unnest(w) as word, unnest(range(n)) as i from texts),
+equal as (select x.r, x.i, y.i - x.i as p from words x join words y on x.r = y.r and x.word = y.word and y.i > x.i and 4 * (y.i - x.i) <= x.n),
+islands as (select r, p, i, i - row_number() over (partition by r, p order by i) as k from equal),
+stretches as (select r, p, min(i) as s, count(*) + p as len from islands group by r, p, k having count(*) + p >= greatest(6, 4 * p)),
+found as (select r, s, len, min(p) as q from stretches group by r, s, len),
+best as (select * from found qualify row_number() over (partition by r order by cast(len as double) / q desc, s, q) = 1),
+listed as (select r, count(*) as n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' order by s, q) as runs from found group by r),
+dropped as (select distinct r, unnest(range(s + q, s + len)) as i from found),
+kept as (
+  select r, string_agg(word, ' ' order by i) as text from words anti join dropped using (r, i) group by r)
+select t.doc_id, coalesce(n_runs, 0) as n_runs, s as start, len as length, q as period, 1000 * len // q as exponent_milli,
+  sha256(coalesce(runs, '')) as runs_sha256, sha256(coalesce(text, '')) as collapsed_sha256
+from texts t left join listed using (r) left join best using (r) left join kept using (r)
+"""

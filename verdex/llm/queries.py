@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verdex.llm import chat, decontaminate, jaccard, language, packing, quality, secrets, substrings, toxicity, urls
+from verdex.llm import (
+    alignment, chat, decontaminate, jaccard, language, packing, quality, runs, secrets, substrings, topk, toxicity, urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,3 +114,27 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "number", F.length("candidate").alias("length"), F.sha2("candidate", 256).alias("candidate_sha256"),
         "probability", "is_secret",
     )
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens by both tokenizers aligned, with the corpus counts of its linked pairs."""
+    found = alignment.align(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", F.lit("")).otherwise(F.sha2("groups", 256))
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256")
+    )
+
+
+@query
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector with all others."""
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, a tenth of them with a planted one."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tail, period = runs.planted_run(F.col("doc_id"), runs.n_words(F.col("text")))
+    return runs.digests(runs.periodic_runs(docs, tail, period))
