@@ -78,7 +78,7 @@ def test_alignment(spark, some_texts, monkeypatch):
 
 
 def test_alignment_in_small_turns_and_of_nothing(spark, some_texts):
-    words = alignment.Vocabularies(PATH_A, PATH_B)
+    words = alignment.Vocabularies(*alignment._paths(None, None, None))
     text = " ".join(x for x in some_texts if x and "▁" not in x)
     aligner = alignment.Aligner(words)
     parts = alignment.parts_of(text)

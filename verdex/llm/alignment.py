@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdex.llm.common import stored
+from verdex.llm.packing import Encoder
 from verdex.llm.shingles import mixed
 
 #: Pairs in one bucket of the hash, on average; counts in one piece of a vector; vectors summed at once.
@@ -34,11 +35,14 @@ BUCKET, PIECE, FAN = 4096, 1 << 14, 16
 #: Most pairs that a pair of vocabularies may allow (about 20 bytes each in every worker).
 MOST_PAIRS = 20_000_000
 #: Characters of the parts of texts that a worker remembers, and parts looked up together.
-REMEMBERED, PARTS = 1_500_000, 1 << 16
+REMEMBERED, PARTS = 4_000_000, 1 << 15
+#: Parts tokenised in one string.
+JOINED = 2048
 
 #: A text may be cut before a blank between two signs that neither library takes for white space.
 _SPACE = r"\s\x1c-\x1f\u180e\u200b\ufeff"
 _CUT = re.compile(f"(?<=[^{_SPACE}]) (?=[^{_SPACE}])")
+_BLANKS = frozenset(re.findall(f"[{_SPACE}]", "".join(map(chr, range(0x10000)))))
 _UNEVEN = re.compile(f"^ | $|[{_SPACE}] | [{_SPACE}]")
 
 
@@ -46,15 +50,15 @@ class Vocabularies:
     """Both tokenizers and the bytes of their tokens.
 
     `path_a`: a byte-level file of `tokenizers`, read without special tokens and with their strings
-    as plain text. `path_b`: a `sentencepiece` model with byte fallback that puts a blank in front.
+    as plain text; `ranks_a`, if any, its vocabulary as ranks, which is quicker. `path_b`: a `sentencepiece` model with byte fallback that puts a blank in front.
     """
 
-    def __init__(self, path_a: str, path_b: str) -> None:
+    def __init__(self, path_a: str, path_b: str, ranks_a: str | None = None) -> None:
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        coder = Encoder(path_a, ranks_a)
+        coder.tokenizer.encode_special_tokens = True
+        self.encode_a = coder.ids
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         with open(path_a, encoding="utf-8") as f:
             names = json.load(f)["model"]["vocab"]
@@ -93,13 +97,20 @@ class Aligner:
 
     def __init__(self, words: Vocabularies, lookup: Lookup | None = None) -> None:
         self.words, self.lookup = words, lookup
+        self.shown_of = [np.array([f"{i}{end}" for i in range(max(len(words.bytes_a), len(words.bytes_b)))], dtype=object) for end in ",|;"]
+        self.counted: list[tuple[np.ndarray, np.ndarray]] = []  # pairs and how often they were counted
+        self.of: dict[str, int] = {}
         self.clear()
 
     def clear(self) -> None:
-        self.of: dict[str, int] = {}
-        self.chars = 0
+        if self.of:
+            times = np.repeat(self.times, self.numbers[:, 3])
+            if times.any():
+                self.counted.append((np.concatenate(self.pairs)[times > 0], times[times > 0]))
+        self.of, self.chars = {}, 0
         self.shown: list[str] = []  # groups of each part
-        self.keys: list[np.ndarray] = []  # linked pairs of each part
+        self.pairs: list[np.ndarray] = []  # linked pairs, part after part
+        self.times = np.zeros(0, dtype=np.int64)  # how often each part was counted
         self.numbers = np.zeros((0, 6), dtype=np.int64)  # wrong, A tokens, B tokens, links, best links, sum of counts
 
     def entries(self, parts: list[str]) -> np.ndarray:
@@ -115,47 +126,65 @@ class Aligner:
             self.chars += chars
         return np.fromiter(map(self.of.__getitem__, parts), dtype=np.int64, count=len(parts))
 
+    def count(self, entries: np.ndarray) -> None:
+        self.times += np.bincount(entries, minlength=len(self.times))
+
     def _learn(self, new: list[str]) -> None:
-        v = self.words
-        of_a = [e.ids for e in v.a.encode_batch([" " + p for p in new], add_special_tokens=False)]
-        of_b = v.b.encode(new, num_threads=1)
-        numbers = np.zeros((len(new), 6), dtype=np.int64)
-        keys, size = [], len(v.bytes_b)
-        for i, (p, a, b) in enumerate(zip(new, of_a, of_b)):
-            whole = (" " + p).encode()
-            if b"".join(map(v.bytes_a.__getitem__, a)) != whole or b"".join(map(v.bytes_b.__getitem__, b)) != whole:
-                numbers[i, 0] = 1
-                self.shown.append("")
-                keys.append(())
-                continue
-            shown, linked = [], []
-            x = y = begin_a = begin_b = end_a = end_b = 0
-            while x < len(a):
-                # the shorter side goes on until both end together
-                if end_a <= end_b:
-                    end_a += len(v.bytes_a[a[x]])
-                    x += 1
-                while end_b < end_a:
-                    end_b += len(v.bytes_b[b[y]])
-                    y += 1
-                if end_a == end_b:
-                    linked.append(a[x - 1] * size + b[y - 1])
-                    shown.append(f"{','.join(map(str, a[begin_a:x]))}|{','.join(map(str, b[begin_b:y]))}")
-                    begin_a, begin_b = x, y
-            numbers[i, 1:4] = len(a), len(b), len(linked)
-            self.shown.append(";".join(shown))
-            keys.append(linked)
-        lengths = [len(k) for k in keys]
-        flat = np.fromiter((x for k in keys for x in k), dtype=np.int64, count=sum(lengths))
-        if self.lookup is not None and len(flat):
-            counts, best = self.lookup.get(flat)
-            part = np.repeat(np.arange(len(new)), lengths)
-            numbers[:, 4] = np.bincount(part, weights=best, minlength=len(new))
+        self.learnt: list[np.ndarray] = []
+        # parts without white space at an end are tokenised many at once, joined by the blanks they were cut at
+        plain = [p for p in new if p and p[0] not in _BLANKS and p[-1] not in _BLANKS and "▁" not in p]
+        known = set(plain)
+        for some in [plain[k : k + JOINED] for k in range(0, len(plain), JOINED)]:
+            if not self._add(some):
+                for p in some:
+                    self._add([p]) or self._wrong(p)
+        for p in new:
+            if p not in known:
+                self._add([p]) or self._wrong(p)
+        self.numbers = np.concatenate((self.numbers, *self.learnt))
+        self.times = np.concatenate((self.times, np.zeros(len(new), dtype=np.int64)))
+
+    def _wrong(self, part: str) -> None:
+        self._append([part], [""], np.zeros(0, dtype=np.int64), np.array([[1, 0, 0, 0, 0, 0]]))
+
+    def _append(self, parts: list[str], shown: list[str], pairs: np.ndarray, numbers: np.ndarray) -> None:
+        self.of.update(zip(parts, range(len(self.of), len(self.of) + len(parts))))
+        self.shown += shown
+        self.pairs.append(pairs)
+        self.learnt.append(numbers)
+
+    def _add(self, parts: list[str]) -> bool:
+        """Align parts; false if their tokens do not give back the text."""
+        v, text = self.words, " ".join(parts)
+        list_a, list_b = v.encode_a(" " + text), v.b.encode(text)
+        whole = (" " + text).encode()
+        if b"".join(map(v.bytes_a.__getitem__, list_a)) != whole or b"".join(map(v.bytes_b.__getitem__, list_b)) != whole:
+            return False
+        a, b = np.array(list_a, dtype=np.int64), np.array(list_b, dtype=np.int64)
+        end_a, end_b = np.cumsum(v.length_a[a]), np.cumsum(v.length_b[b])
+        common = np.intersect1d(end_a, end_b, assume_unique=True)
+        last_a, last_b = np.searchsorted(end_a, common), np.searchsorted(end_b, common)
+        pairs = a[last_a] * len(v.bytes_b) + b[last_b]
+        ends = np.cumsum([1 + len(p.encode()) for p in parts])  # each part with its blank
+        n_a, n_b, links = (np.diff(np.searchsorted(x, ends, side="right"), prepend=0) for x in (end_a, end_b, common))
+        numbers = np.zeros((len(parts), 6), dtype=np.int64)
+        numbers[:, 1], numbers[:, 2], numbers[:, 3] = n_a, n_b, links
+        if self.lookup is not None:
+            counts, best = self.lookup.get(pairs)
+            part = np.repeat(np.arange(len(parts)), links)
+            numbers[:, 4] = np.bincount(part, weights=best, minlength=len(parts))
             np.add.at(numbers[:, 5], part, counts)
-        begin = len(self.of)
-        self.of.update(zip(new, range(begin, begin + len(new))))
-        self.keys += np.split(flat, np.cumsum(lengths)[:-1])
-        self.numbers = np.concatenate((self.numbers[:begin], numbers))
+        # each token behind the tokens of earlier groups of both sides, and those of B behind those of A
+        comma, bar, semicolon = self.shown_of
+        shown_a, shown_b = comma[a], comma[b]
+        shown_a[last_a], shown_b[last_b] = bar[a[last_a]], semicolon[b[last_b]]
+        group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
+        flat = np.empty(len(a) + len(b), dtype=object)
+        flat[np.arange(len(a)) + np.concatenate(([0], last_b + 1))[group_a]] = shown_a
+        flat[np.arange(len(b)) + last_a[group_b] + 1] = shown_b
+        flat, cut = flat.tolist(), np.cumsum(n_a + n_b).tolist()
+        self._append(parts, ["".join(flat[x:y])[:-1] for x, y in zip([0, *cut], cut)], pairs, numbers)
+        return True
 
 
 class Lookup:
@@ -245,26 +274,16 @@ def _turns(parts: list[str]) -> Iterator[list[str]]:
         yield parts[k : k + PARTS]
 
 
-def _pairs(path_a: str, path_b: str, n_buckets: int):
+def _pairs(paths: tuple, n_buckets: int):
     """Counts of the linked pairs of a task's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, keys, counts, waiting = Aligner(Vocabularies(path_a, path_b)), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), []
-
-        def gather(entries: np.ndarray) -> None:
-            """Add the pairs of entries, by how often each occurs."""
-            nonlocal keys, counts
-            at, times = np.unique(entries, return_counts=True)
-            own = [aligner.keys[i] for i in at]
-            waiting.append((np.concatenate(own) if own else keys[:0], np.repeat(times, [len(k) for k in own])))
-            if sum(len(k) for k, _ in waiting) > 1 << 20:
-                fold()
+        aligner, keys, counts = Aligner(Vocabularies(*paths)), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
         def fold() -> None:
             nonlocal keys, counts
-            every = np.concatenate([keys, *[k for k, _ in waiting]])
-            number = np.concatenate([counts, *[n for _, n in waiting]])
-            waiting.clear()
+            every, number = (np.concatenate([x, *[y[i] for y in aligner.counted]]) for i, x in enumerate((keys, counts)))
+            aligner.counted.clear()
             keys, inverse = np.unique(every, return_inverse=True)
             counts = np.zeros(len(keys), dtype=np.int64)
             np.add.at(counts, inverse, number)
@@ -275,13 +294,15 @@ def _pairs(path_a: str, path_b: str, n_buckets: int):
                     # a text that does not come back whole counts nothing: judged before it is counted
                     if all(not aligner.numbers[aligner.entries(t), 0].any() for t in _turns(some[0])):
                         for t in _turns(some[0]):
-                            gather(aligner.entries(t))
-                    continue
-                entries = aligner.entries([p for own in some for p in own])
-                lengths = np.array([len(own) for own in some])
-                text = np.repeat(np.arange(len(some)), lengths)
-                wrong = np.bincount(text, weights=aligner.numbers[entries, 0], minlength=len(some)) > 0
-                gather(entries[~wrong[text]])
+                            aligner.count(aligner.entries(t))
+                else:
+                    entries = aligner.entries([p for own in some for p in own])
+                    text = np.repeat(np.arange(len(some)), [len(own) for own in some])
+                    wrong = np.bincount(text, weights=aligner.numbers[entries, 0], minlength=len(some)) > 0
+                    aligner.count(entries[~wrong[text]])
+                if len(aligner.counted) > 8:
+                    fold()
+        aligner.clear()
         fold()
         yield pa.RecordBatch.from_arrays(
             [pa.array(bucket_of(keys, n_buckets)), pa.array(keys), pa.array(counts)], names=["bucket", "pair", "n"]
@@ -311,19 +332,24 @@ def _added(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame([(group["node"].iloc[0] // FAN, group["piece"].iloc[0], total.tobytes())], columns=["node", "piece", "counts"])
 
 
-def count_pairs(docs: DataFrame, path_a: str | None = None, path_b: str | None = None) -> Lookup:
+def _paths(path_a: str | None, path_b: str | None, ranks_a: str | None) -> tuple:
+    if path_a is None:
+        path_a, ranks_a = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
+    return path_a, path_b or public_tokenizers.path("piece_bpe_32k.model"), ranks_a
+
+
+def count_pairs(docs: DataFrame, paths: tuple) -> Lookup:
     """First pass over `docs` (text): the table of linked pairs with their counts.
 
     It has at most `possible_pairs` entries, which follow from the two vocabularies alone; more than
     `MOST_PAIRS` are refused.
     """
-    path_a, path_b = path_a or public_tokenizers.path("byte_bpe_50k.json"), path_b or public_tokenizers.path("piece_bpe_32k.model")
-    spark, words = docs.sparkSession, Vocabularies(path_a, path_b)
+    spark, words = docs.sparkSession, Vocabularies(*paths)
     bound, size = words.possible_pairs(), len(words.bytes_b)
     if bound > MOST_PAIRS:
         raise ValueError(f"the vocabularies allow {bound} pairs, more than {MOST_PAIRS}")
     n_buckets = -(-bound // BUCKET)
-    counted = stored(docs.select("text").mapInArrow(_pairs(path_a, path_b, n_buckets), "bucket long, pair long, n long"), "pairs")
+    counted = stored(docs.select("text").mapInArrow(_pairs(paths, n_buckets), "bucket long, pair long, n long"), "pairs")
 
     def build(group: pd.DataFrame) -> pd.DataFrame:
         sizes, bits, keys = hash_levels(np.sort(group["pair"].to_numpy(dtype=np.int64)))
@@ -348,15 +374,15 @@ def count_pairs(docs: DataFrame, path_a: str | None = None, path_b: str | None =
     return table
 
 
-def pair_table(docs: DataFrame, path_a: str | None = None, path_b: str | None = None) -> DataFrame:
+def pair_table(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, ranks_a: str | None = None) -> DataFrame:
     """Linked id pairs of the corpus: a_id, b_id, n, is_best (no other pair of the B id has more links)."""
-    table = count_pairs(docs, path_a, path_b)
-    size = len(Vocabularies(path_a or public_tokenizers.path("byte_bpe_50k.json"), path_b or public_tokenizers.path("piece_bpe_32k.model")).bytes_b)
+    paths = _paths(path_a, path_b, ranks_a)
+    table, size = count_pairs(docs, paths), len(Vocabularies(*paths).bytes_b)
     rows = pd.DataFrame({"a_id": table.key // size, "b_id": table.key % size, "n": table.count, "is_best": table.best})
     return docs.sparkSession.createDataFrame(rows, "a_id long, b_id long, n long, is_best boolean")
 
 
-def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None) -> DataFrame:
+def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None, ranks_a: str | None = None) -> DataFrame:
     """Both tokenisations of every text, aligned: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups.
 
     A text is tokenised as blank+text by A (`path_a`) and, by itself, by B (`path_b`), which adds the
@@ -369,11 +395,11 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None)
     and an empty `groups`. Repeated rows and ids are aligned and counted each; a null id stays null;
     a text of any length is aligned in pieces; an empty table gives no rows; other columns are ignored.
     """
-    path_a, path_b = path_a or public_tokenizers.path("byte_bpe_50k.json"), path_b or public_tokenizers.path("piece_bpe_32k.model")
-    shared = docs.sparkSession.sparkContext.broadcast(count_pairs(docs, path_a, path_b))
+    paths = _paths(path_a, path_b, ranks_a)
+    shared = docs.sparkSession.sparkContext.broadcast(count_pairs(docs, paths))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(Vocabularies(path_a, path_b), shared.value)
+        aligner = Aligner(Vocabularies(*paths), shared.value)
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for rows, some in _blocks(batch.column(1).to_pylist()):
