@@ -22,16 +22,15 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verdex.llm.common import stored
+from verdex.llm.common import pieces, stored, tree_sum
 from verdex.llm.packing import Encoder
 from verdex.llm.shingles import mixed
 
-#: Pairs in one bucket of the hash, on average; counts in one piece of a vector; vectors summed at once.
-BUCKET, PIECE, FAN = 4096, 1 << 14, 16
+#: Pairs in one bucket of the hash, on average.
+BUCKET = 4096
 #: Most pairs that a pair of vocabularies may allow (about 20 bytes each in every worker).
 MOST_PAIRS = 20_000_000
 #: Characters of the parts of texts that a worker remembers, and parts looked up together.
@@ -319,19 +318,11 @@ def _vectors(lookup):
         dense = np.zeros(len(table.key), dtype=np.int64)
         for batch in batches:
             np.add.at(dense, table.slots(batch["pair"].to_numpy(dtype=np.int64)), batch["n"].to_numpy(dtype=np.int64))
-        node = TaskContext.get().partitionId()
-        pieces = [(k, dense[k * PIECE : (k + 1) * PIECE]) for k in range(-(-len(dense) // PIECE))]
-        rows = [(node, k, x.tobytes()) for k, x in pieces if x.any()]
-        yield pd.DataFrame(rows, columns=["node", "piece", "counts"])
+        yield pieces(dense)
 
     return run
 
 
-def _added(group: pd.DataFrame) -> pd.DataFrame:
-    total = sum(np.frombuffer(x, dtype=np.int64) for x in group["counts"])
-    return pd.DataFrame([(group["node"].iloc[0] // FAN, group["piece"].iloc[0], total.tobytes())], columns=["node", "piece", "counts"])
-
-
 def _paths(path_a: str | None, path_b: str | None, ranks_a: str | None) -> tuple:
     if path_a is None:
         path_a, ranks_a = map(public_tokenizers.path, ("byte_bpe_50k.json", "byte_bpe_50k.tiktoken"))
@@ -359,15 +350,7 @@ def count_pairs(docs: DataFrame, paths: tuple) -> Lookup:
     own = {r.bucket: (list(r.sizes), bytes(r.bits), list(r["keys"])) for r in built.collect()}
     table = Lookup([own.get(b, ([], b"", [])) for b in range(n_buckets)], n_buckets)
     vectors = counted.select("pair", "n").mapInPandas(_vectors(spark.sparkContext.broadcast(table)), "node long, piece long, counts binary")
-    nodes = counted.rdd.getNumPartitions()
-    while True:
-        vectors = vectors.groupBy((F.col("node") / FAN).cast("long").alias("parent"), "piece").applyInPandas(_added, "node long, piece long, counts binary")
-        nodes = -(-nodes // FAN)
-        if nodes <= 1:
-            break
-    for r in vectors.collect():
-        x = np.frombuffer(r["counts"], dtype=np.int64)
-        table.count[r.piece * PIECE : r.piece * PIECE + len(x)] = x
+    table.count = tree_sum(vectors, counted.rdd.getNumPartitions(), len(table.key))
     highest = np.zeros(size, dtype=np.int64)
     np.maximum.at(highest, table.key % size, table.count)
     table.best = table.count == highest[table.key % size]

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Counts in a piece of a vector (8 bytes each), and vectors that are summed at once.
+PIECE, FAN = 1 << 14, 16
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`, else one in the warehouse."""
@@ -26,7 +32,47 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     jvm = spark._jvm
     place = jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a table that `stored` returned, when nothing reads it any more."""
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+_PIECES = "node long, piece long, counts binary"
+
+
+def pieces(dense: np.ndarray) -> pd.DataFrame:
+    """A task's vector of counts, cut into pieces for `tree_sum`; pieces of zeros are left out."""
+    node = TaskContext.get().partitionId()
+    cut = [(k, dense[k * PIECE : (k + 1) * PIECE]) for k in range(-(-len(dense) // PIECE))]
+    rows = [(node, k, x.astype(np.int64).tobytes()) for k, x in cut if x.any()]
+    return pd.DataFrame(rows, columns=["node", "piece", "counts"])
+
+
+def tree_sum(vectors: DataFrame, nodes: int, size: int) -> np.ndarray:
+    """Sum of vectors of `size` counts that `nodes` tasks left as `pieces`: `FAN` at a time along a tree."""
+
+    def added(group: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(PIECE, dtype=np.int64)
+        for x in group["counts"]:
+            total[: len(x) // 8] += np.frombuffer(x, dtype=np.int64)
+        return pd.DataFrame([(group["node"].iloc[0] // FAN, group["piece"].iloc[0], total.tobytes())], columns=["node", "piece", "counts"])
+
+    while True:
+        vectors = vectors.groupBy((F.col("node") / FAN).cast("long").alias("parent"), "piece").applyInPandas(added, _PIECES)
+        nodes = -(-nodes // FAN)
+        if nodes <= 1:
+            break
+    out = np.zeros(-(-size // PIECE) * PIECE, dtype=np.int64)
+    for r in vectors.toLocalIterator():
+        out[r.piece * PIECE : (r.piece + 1) * PIECE] = np.frombuffer(r["counts"], dtype=np.int64)
+    return out[:size]
 
 
 def ascii_lower(c: Column) -> Column:
@@ -61,7 +107,8 @@ def components(edges: DataFrame) -> DataFrame:
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
         )).alias("p")).select("p.*")
-        e = stored(pairs.where(F.col("u") != F.col("v")).distinct(), "edges")
+        last, e = e, stored(pairs.where(F.col("u") != F.col("v")).distinct(), "edges")
+        discard(last)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before or now[0] == 0:
             break

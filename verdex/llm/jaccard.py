@@ -24,12 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verdex.llm.common import components, stored
+from verdex.llm.common import components, discard, pieces, stored, tree_sum
 from verdex.llm.shingles import Hasher, shingle_set
 
 SHINGLE, PERCENT = 5, 80
 #: Shingles are counted by so many bits of their hash; the table of counts is the size of this alone.
-COUNT_BITS = 18
+COUNT_BITS = 22
 FRAGMENTS = 3
 #: Pairs left to compare, per row of the candidate index, above which another round of one partner
 #: each comes first.
@@ -60,11 +60,14 @@ def _digest(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - 2**63
 
 
+_MEASURED = "doc long, n long, class long, node long, piece long, counts binary"
+
+
 def _measure(k: int):
     """Size and digest of each set, and how many sets have the shingles of each count cell."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher, counts = Hasher(), np.zeros(1 << COUNT_BITS, dtype=np.int64)
+        hasher, counts = Hasher(), np.zeros(1 << COUNT_BITS, dtype=np.int32)
         for batch in batches:
             rows, cells, waiting = [], [], 0
             for text in batch.text:
@@ -72,19 +75,19 @@ def _measure(k: int):
                 cells.append((s & _COUNT_MASK).astype(np.int32))
                 waiting += len(s)
                 if waiting > 1 << 20:
-                    counts += np.bincount(np.concatenate(cells), minlength=len(counts))
+                    np.add.at(counts, np.concatenate(cells), 1)
                     cells, waiting = [], 0
                 rows.append((len(s), _digest(s)))
             if cells:
-                counts += np.bincount(np.concatenate(cells), minlength=len(counts))
+                np.add.at(counts, np.concatenate(cells), 1)
             size, digest = zip(*rows) if rows else ((), ())
-            yield pd.DataFrame({"doc": batch.doc, "n": size, "class": digest, "cell": pd.NA, "sets": 0})
-        at = np.flatnonzero(counts)
-        yield pd.DataFrame({"doc": pd.NA, "n": 0, "class": 0, "cell": at, "sets": counts[at]})
+            yield pd.DataFrame({"doc": batch.doc, "n": size, "class": digest, "node": pd.NA, "piece": pd.NA, "counts": None})
+        yield pieces(counts).assign(doc=pd.NA, n=0, **{"class": 0})
 
     def typed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in run(batches):
-            yield x.astype({"doc": "Int64", "n": "int64", "class": "int64", "cell": "Int64", "sets": "int64"})
+            x = x.astype({"doc": "Int64", "n": "int64", "class": "int64", "node": "Int64", "piece": "Int64"})
+            yield x[["doc", "n", "class", "node", "piece", "counts"]]
 
     return typed
 
@@ -93,8 +96,8 @@ def global_order(counts: np.ndarray, fragments: int) -> tuple[np.ndarray, np.nda
     """The order of shingles, by the count of their cell and then by hash: the cells' ranks, and the
     places that cut it into fragments of about equal weight."""
     by_count = np.argsort(counts, kind="stable")
-    rank = np.empty(len(counts), dtype=np.uint64)
-    rank[by_count] = np.arange(len(counts), dtype=np.uint64)
+    rank = np.empty(len(counts), dtype=np.uint32)
+    rank[by_count] = np.arange(len(counts), dtype=np.uint32)
     share = np.cumsum(counts[by_count]) / max(1, counts.sum())
     cuts = np.searchsorted(share, np.arange(1, fragments) / fragments)
     return rank, cuts.astype(np.uint64) << np.uint64(64 - COUNT_BITS)
@@ -103,7 +106,7 @@ def global_order(counts: np.ndarray, fragments: int) -> tuple[np.ndarray, np.nda
 
 def placed(hashes: np.ndarray, rank: np.ndarray) -> np.ndarray:
     """The shingles' places in the order, smallest first; equal only for equal shingles."""
-    own = rank[(hashes & _COUNT_MASK).astype(np.int64)]
+    own = rank[(hashes & _COUNT_MASK).astype(np.int64)].astype(np.uint64)
     return np.sort((own << np.uint64(64 - COUNT_BITS)) | (hashes >> np.uint64(COUNT_BITS)))
 
 
@@ -168,11 +171,21 @@ def verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def collapsed(index: DataFrame) -> DataFrame:
+    """`index` (gram, class, n, pos) with one gram for all that have the same classes: the first in
+    the order, with their number as `weight`. In a family of near copies hundreds are alike."""
+    mark = F.sum(F.xxhash64("class").cast("decimal(38,0)"))
+    lists = index.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), mark.alias("mark"), F.min("class").alias("low"), F.max("class").alias("high"))
+    first = lists.groupBy("m", "mark", "low", "high").agg(F.min("gram").alias("gram"), F.count(F.lit(1)).alias("weight"))
+    return stored(index.join(first.select("gram", "weight"), "gram"), "collapsed")
+
+
 def class_components(index: DataFrame, segments_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Components of the classes in `index` (gram, class, n, pos): class, component.
 
     `segments_of` gives the segments of the classes in a frame (class).
     """
+    index = collapsed(index)
     size = index.count()
     joined = None  # class, component, as far as known
     links = tested = None
@@ -191,7 +204,7 @@ def class_components(index: DataFrame, segments_of: Callable[[DataFrame], DataFr
             if not work:
                 break
             last = work <= LEFT_PER_ROW * size or turn == rounds
-        one = members.select("gram", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("p_a"), F.col("component").alias("c_a"))
+        one = members.select("gram", "weight", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("p_a"), F.col("component").alias("c_a"))
         two = members.select("gram", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("p_b"), F.col("component").alias("c_b"))
         # behind the first shingle in common no more can be shared than what follows in either set
         most = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b"))
@@ -209,9 +222,9 @@ def class_components(index: DataFrame, segments_of: Callable[[DataFrame], DataFr
             # a shingle's largest component may differ from the next one's, so a pair comes either way round
             ends = F.array_sort(F.array(F.struct(F.col("a").alias("id"), F.col("n_a").alias("n")), F.struct(F.col("b").alias("id"), F.col("n_b").alias("n"))))
             found = (
-                found.select(ends.alias("p"))
-                .select(*[F.col("p")[i][f].alias(name) for i, f, name in ((0, "id", "a"), (0, "n", "n_a"), (1, "id", "b"), (1, "n", "n_b"))])
-                .groupBy("a", "n_a", "b", "n_b").agg(F.count(F.lit(1)).alias("met"))
+                found.select("weight", ends.alias("p"))
+                .select("weight", *[F.col("p")[i][f].alias(name) for i, f, name in ((0, "id", "a"), (0, "n", "n_a"), (1, "id", "b"), (1, "n", "n_b"))])
+                .groupBy("a", "n_a", "b", "n_b").agg(F.sum("weight").alias("met"))
                 .where(F.col("met") >= least + 1 - needed).drop("met")
             )
         else:
@@ -255,11 +268,9 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
     """
     spark = docs.sparkSession
     own = docs.select(F.coalesce("doc_id", F.lit(_TOP)).cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
-    both = stored(own.mapInPandas(_measure(k), "doc long, n long, class long, cell long, sets long"), "sets")
-    base = both.where("cell is null").select("doc", "n", "class")
-    counts = np.zeros(1 << COUNT_BITS, dtype=np.int64)
-    cells = both.where("cell is not null").groupBy("cell").agg(F.sum("sets").alias("sets")).toPandas()
-    counts[cells.cell.to_numpy(dtype=np.int64)] = cells.sets.to_numpy()
+    both = stored(own.mapInPandas(_measure(k), _MEASURED), "sets")
+    base = both.where("piece is null").select("doc", "n", "class")
+    counts = tree_sum(both.where("piece is not null").select("node", "piece", "counts"), own.rdd.getNumPartitions(), 1 << COUNT_BITS)
     order = spark.sparkContext.broadcast(global_order(counts, FRAGMENTS))
 
     least = stored(base.where("n > 0").groupBy("class").agg(F.min("doc").alias("least")), "classes")

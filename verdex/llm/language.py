@@ -66,12 +66,14 @@ def grams(text: str) -> Iterator[np.ndarray]:
 @dataclass(frozen=True)
 class Filters:
     """`cells` (cell, word of 64 languages), the languages in bit order, each one's false positive
-    rate, and the share of its learned n-grams, by count, that its filter holds (1 if not told)."""
+    rate, the share of its learned n-grams, by count, that its filter holds (1 if not told), and the
+    language with the most learned n-grams (ties by name)."""
 
     languages: tuple[str, ...]
     cells: np.ndarray
     false_rate: np.ndarray
     coverage: tuple[float, ...] = ()
+    largest: str = UNKNOWN
 
     @staticmethod
     def probes(grams_: np.ndarray) -> Iterator[np.ndarray]:
@@ -81,7 +83,9 @@ class Filters:
             yield (x >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
     @classmethod
-    def build(cls, profiles: dict[str, np.ndarray], coverage: dict[str, float] | None = None) -> Filters:
+    def build(
+        cls, profiles: dict[str, np.ndarray], coverage: dict[str, float] | None = None, totals: dict[str, int] | None = None
+    ) -> Filters:
         names = tuple(sorted(profiles))
         cells = np.zeros((1 << CELL_BITS, max(1, (len(names) + 63) // 64)), dtype=np.uint64)
         rate = np.zeros(len(names))
@@ -90,7 +94,8 @@ class Filters:
             for at in cls.probes(profiles[name]):
                 cells[at, i // 64] |= bit
             rate[i] = float(np.mean((cells[:, i // 64] & bit) != 0)) ** PROBES
-        return cls(names, cells, rate, tuple((coverage or {}).get(x, 1.0) for x in names))
+        return cls(names, cells, rate, tuple((coverage or {}).get(x, 1.0) for x in names),
+                   min(names, key=lambda x: (-(totals or {}).get(x, 0), x), default=UNKNOWN))
 
     def shares(self, text: str) -> np.ndarray | None:
         """Corrected share of the text's n-grams that each language contains; None without letters."""
@@ -140,7 +145,8 @@ def fit(labelled: DataFrame, profile: int = PROFILE) -> Filters:
     found, total = top.toPandas(), {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     by_lang = {lang: g for lang, g in found.groupby("lang")}
     return Filters.build(
-        {lang: g.gram.to_numpy() for lang, g in by_lang.items()}, {lang: float(g.n.sum() / total[lang]) for lang, g in by_lang.items()}
+        {lang: g.gram.to_numpy() for lang, g in by_lang.items()}, {lang: float(g.n.sum() / total[lang]) for lang, g in by_lang.items()},
+        total,
     )
 
 
@@ -148,13 +154,13 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
     """`docs` (doc_id, text and any columns but the new ones) with lang_pred, score and support.
 
     lang_pred: the language with the largest corrected share of the text's n-grams (ties by name);
-    `und` for null text, text without letters, or if no language has been learned or has a hit.
-    score: that share among the shares of all languages; support: the share itself; both 0 for
-    `und`. Repeated rows are judged each; an empty table gives an empty result. Columns of `docs`
+    without a hit in any, the one with the most learned n-grams; `und` for null text, text without
+    letters, or if no language has been learned. score: that share among the shares of all languages;
+    support: the share itself; both 0 for `und` and without a hit. Repeated rows are judged each; an empty table gives an empty result. Columns of `docs`
     named lang_pred, score or support are replaced.
     """
     keep = [c for c in docs.columns if c not in ("lang_pred", "score", "support")]
-    shared = docs.sparkSession.sparkContext.broadcast((filters.languages, filters.cells, filters.false_rate))
+    shared = docs.sparkSession.sparkContext.broadcast((filters.languages, filters.cells, filters.false_rate, filters.coverage, filters.largest))
 
     def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         own = Filters(*shared.value)
@@ -163,7 +169,10 @@ def predict(docs: DataFrame, filters: Filters) -> DataFrame:
             for text in batch:
                 s = own.shares(text) if text and own.languages else None
                 best = int(np.argmax(s)) if s is not None else 0
-                out.append((own.languages[best], s[best] / s.sum(), s[best]) if s is not None and s[best] > 0 else (UNKNOWN, 0.0, 0.0))
+                if s is None:
+                    out.append((UNKNOWN, 0.0, 0.0))
+                else:
+                    out.append((own.languages[best], s[best] / s.sum(), s[best]) if s[best] > 0 else (own.largest, 0.0, 0.0))
             yield pd.DataFrame(out, columns=["lang_pred", "score", "support"])
 
     judged = F.pandas_udf(judge, "lang_pred string, score double, support double")

@@ -321,7 +321,9 @@ def _small(df: DataFrame) -> DataFrame:
 _COLUMNS = ("anchor", "sides", "context", "size", "doc", "start")
 _MEETING = ", ".join(f"{x} long" for x in _COLUMNS)
 #: Contexts that a task gathers before it deals them out.
-DEALT = 1 << 19
+DEALT = 1 << 17
+#: Contexts handed to the JVM at once, and bytes of text whose contexts one task orders.
+HANDED, ORDERED = 1 << 15, 8 << 20
 #: Contexts of one anchor that are looked at together; of anchors with more, all unlike contexts are
 #: compared as bytes, whether their sides agree or not.
 TOGETHER = 100_000
@@ -371,7 +373,9 @@ def _undeal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             planes = np.frombuffer(expand.decompress(block.as_py()), dtype=np.uint8).reshape(8, -1)
             columns = np.ascontiguousarray(planes.T).view(np.int64).reshape(len(_COLUMNS), -1)
             columns[0] = np.cumsum(columns[0])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=list(_COLUMNS))
+            whole = pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=list(_COLUMNS))
+            for begin in range(0, whole.num_rows, HANDED):
+                yield whole.slice(begin, HANDED)
 
 
 def _judge(rows: np.ndarray, least: int | None, hot: bool) -> np.ndarray:
@@ -590,10 +594,12 @@ def remove_repeats(docs: DataFrame, length: int = 50, with_text: bool = True) ->
     first = with_sha.where(F.octet_length("text") >= length).join(_small(copies), ["doc", "sha"], "left_anti")
     first, shifts = _with_shift(first, base)
 
-    parts = 8 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # by bytes of text: blocks are compressed, so their size does not tell how many contexts they hold
+    tasks = max(1, -(-(base.agg(F.sum("n_bytes")).first()[0] or 0) // ORDERED))
+    parts = 8 * max(tasks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     met = stored(
         first.mapInArrow(_deal(length, min(24, parts.bit_length())), "part long, block binary")
-        .repartition("part").mapInArrow(_undeal, _MEETING)
+        .repartition(tasks, "part").mapInArrow(_undeal, _MEETING)
         .sortWithinPartitions("anchor", "context", "size", "doc", "start")
         .mapInArrow(_meet, "anchor long, doc long, start long, size long"),
         "contexts",
