@@ -483,6 +483,22 @@ ORACLE: dict[str, str] = {
         FROM pairs JOIN p ON p.q = pairs.q""",
     "select_model": cascade_sql(),
     "clf_knn": knn_sql(),
+    "fold_vocabularies": f"""WITH {LABELLED}, {fold_sql(10, 5)}, {tokens_cte()}, {grams_cte()},
+per_row AS (SELECT doc_id, term, count(*) AS n FROM cells GROUP BY doc_id, term),
+per_fold AS (
+  SELECT repeat, fold, term, sum(n) AS n, count(*) AS docs FROM per_row JOIN folds USING (doc_id) GROUP BY repeat, fold, term),
+totals AS (SELECT repeat, term, sum(n) AS n, sum(docs) AS docs FROM per_fold GROUP BY repeat, term),
+held AS (SELECT repeat, fold, count(*) AS held FROM folds GROUP BY repeat, fold),
+sizes AS (SELECT repeat, fold, (SELECT count(*) FROM labelled) - held AS n_rows FROM held),
+left_over AS (
+  SELECT s.repeat, s.fold, s.n_rows, t.term, t.n - coalesce(p.n, 0) AS n, t.docs - coalesce(p.docs, 0) AS docs
+  FROM sizes s JOIN totals t USING (repeat) LEFT JOIN per_fold p ON p.repeat = s.repeat AND p.fold = s.fold AND p.term = t.term),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY repeat, fold ORDER BY n DESC, encode(term)) AS place
+  FROM left_over WHERE n > 0 AND docs <= 0.95 * n_rows)
+SELECT repeat, fold, size, count(*) AS n_terms, n_rows, CAST(min(n) AS BIGINT) AS least_count,
+  md5(string_agg(term, ' ' ORDER BY place)) AS terms_md5
+FROM ranked, (SELECT CAST(unnest([1500, 2000, 3000]) AS INTEGER) AS size) WHERE place <= size GROUP BY repeat, fold, size, n_rows""",
     "positives_with_metadata": """SELECT doc_id, lang, source, n_chars FROM documents
         WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)""",
 }

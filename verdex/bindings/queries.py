@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from functools import partial
 
@@ -9,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdex.functions import text as T
-from verdex.operators import audit, catalogue, classify, counts, features, folds, metrics, selection, terms
+from verdex.operators import audit, catalogue, classify, counts, features, folds, grid, metrics, selection, terms
 from verdex.plans import reports
 from verdex.runtime import cut, shared_path, spread
 from verdex.sources import files, pages, sinks, tables
@@ -19,6 +20,7 @@ FIRST_YEAR, LAST_YEAR = 1996, 2003
 PAGE_HITS = 100
 WANTED = ("c_name", "c_phone", "c_nationkey", "c_mktsegment", "c_comment")
 FOLDS, REPEATS = 10, 5
+VOCABULARIES = (1500, 2000, 3000)
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 FLAGS = dict(zip(pages.FLAG_FIELDS, ("click", "error", "purchase", "signup", "view")))
 
@@ -583,10 +585,23 @@ for key, name, params in (
 
 @query
 def grid_search(spark, sf_dir):
+    """Every point of the two grids whose fits share their passes, on all 10 x 5 folds."""
     train, _ = training_rows(spark, sf_dir)
-    grid = {"max_features": [1500], "C": [1, 10]}
-    _, _, scores = classify.grid_search(train, "LogisticRegression", grid, k=3, repeats=1)
-    return rounded(scores, *metrics.METRICS)
+    return rounded(grid.batched_scores(train), *metrics.METRICS)
+
+
+@query
+def fold_vocabularies(spark, sf_dir):
+    """Every fold's vocabularies, taken from the total counts by subtraction: size, least count, digest of the terms."""
+    rows = gram_rows(spark, sf_dir).join(labelled(spark, sf_dir).select("doc_id", "label"), "doc_id")
+    spaces, _ = grid.fold_spaces(rows.withColumnRenamed("doc_id", "row_id"), VOCABULARIES)
+    found = []
+    for i, (repeat, fold, size) in enumerate(spaces.keys):
+        own = spaces.vocabulary(i)
+        digest = hashlib.md5(" ".join(term for term, *_ in own).encode()).hexdigest()
+        found.append((repeat, fold, size, len(own), int(spaces.n_rows[i]), min(n for _, n, _ in own), digest))
+    return spark.createDataFrame(
+        found, "repeat int, fold int, size int, n_terms long, n_rows long, least_count long, terms_md5 string")
 
 
 @query
@@ -600,9 +615,12 @@ def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its prediction, and whether the model saw it in training."""
     train, _ = training_rows(spark, sf_dir)
     model = classify.fit_model("LogisticRegression", train)
-    known = train.select(F.col("row_id").alias("doc_id"), F.lit(True).alias("in_training"))
+    # the split is a digest per class, so a row's side needs its label, of which a document has one at most
+    given = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").cast("double").alias("label"))
+    cuts = folds.split_cuts(given, "doc_id", "label")
     scored = classify.score_base(model, documents(spark, sf_dir), "doc_id", "text").drop("text")
-    return scored.join(known, "doc_id", "left").fillna(False, ["in_training"])
+    known = F.col("label").isNotNull() & ~folds.in_test(cuts, "doc_id", "label")
+    return scored.join(given, "doc_id", "left").withColumn("in_training", known).drop("label")
 
 
 @query

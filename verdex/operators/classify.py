@@ -55,9 +55,12 @@ FOURIER_FEATURES = 512  # approximation of the RBF kernel: its error falls with
 MLP_ITERATIONS = 1000
 SVC_ITERATIONS = 10_000  # stands for "no limit"; a warning tells when it is reached
 MAX_BINS = 255  # split candidates of a feature
-# Training rows are dealt by id into so many partitions, whatever the cluster and the input's layout:
-# a tree's samples depend on them.
-TRAIN_PARTITIONS = 8
+# Training rows are dealt by id, whatever the cluster and the input's layout. A tree's samples depend on
+# the partitions, so their number is fixed (for hand-labelled sets, up to some million rows); the optimum
+# of the other solvers does not, and they get one partition for every so many rows.
+TREE_PARTITIONS = 8
+ROWS_PER_PARTITION = 5_000
+TREES = ("RandomForest", "BoostedTreesWeighted", "BoostedTrees")
 
 
 @dataclass
@@ -87,16 +90,16 @@ def decode_labels(c: F.Column, labels: Sequence[str] = LABELS) -> F.Column:
     return F.element_at(F.array(*[F.lit(v) for v in labels]), c.cast("int") + 1)
 
 
-def _dealt(rows: DataFrame) -> DataFrame:
+def _dealt(rows: DataFrame, partitions: int) -> DataFrame:
     """Rows in an order and partitions that only depend on them."""
-    return rows.repartition(TRAIN_PARTITIONS, "row_id").sortWithinPartitions("row_id", "label")
+    return rows.repartition(partitions, "row_id").sortWithinPartitions("row_id", "label")
 
 
 @contextmanager
-def _training(rows: DataFrame, weighted: bool):
+def _training(rows: DataFrame, weighted: bool, partitions: int | None = None):
     """(rows with `weight`, row count), held in memory while an iterative solver reads them.
 
-    `weight` is balanced, or 1.
+    `weight` is balanced, or 1. Without `partitions` there is one for every `ROWS_PER_PARTITION` rows.
     """
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(counts.values())
@@ -104,7 +107,7 @@ def _training(rows: DataFrame, weighted: bool):
     if weighted:
         for label, n in counts.items():
             weight = F.when(F.col("label") == label, F.lit(total / (len(counts) * n))).otherwise(weight)
-    held = _dealt(rows).withColumn("weight", weight).persist()
+    held = _dealt(rows, partitions or -(-total // ROWS_PER_PARTITION) or 1).withColumn("weight", weight).persist()
     try:
         yield held, total
     finally:
@@ -141,7 +144,7 @@ def _fit_svc(rows: DataFrame, n: int, C: float):
 
     hashed = rows.withColumn("_h", digest(F.lit(SEED), "row_id"))
     thirds = rank_in_class(hashed, ["label"], "_h").withColumn("_part", F.pmod("nth", F.lit(3)))
-    thirds = _dealt(thirds).select("features", "label", "weight", "_part").persist()
+    thirds = _dealt(thirds, -(-n // ROWS_PER_PARTITION) or 1).select("features", "label", "weight", "_part").persist()
     unseen = None
     try:
         for part in range(3):
@@ -200,7 +203,7 @@ def fit_model(name: str, train: DataFrame, featurised=None, **params) -> TextMod
         stage = _fourier_stage(rows, params.get("fourier_features", FOURIER_FEATURES))
         rows, plain = stage(rows), featurise
         featurise = lambda df: stage(plain(df))
-    with _training(rows, name in WEIGHTED) as (rows, n):
+    with _training(rows, name in WEIGHTED, params.get("partitions", TREE_PARTITIONS if name in TREES else None)) as (rows, n):
         predict, importances, solver = _fit_solver(name, rows, n, len(terms), params)
     if params.get("kernel") == "rbf":
         importances = None
