@@ -10,8 +10,8 @@ What is asked for are the components under the links, so a group of n near copie
 out as n * n pairs: first each class is compared with one partner it shares a prefix shingle with,
 then only pairs of different components are left. In a shingle's group these are the members outside
 its largest component against all others; when that is still far more than the index, further rounds
-of one partner each come first. The last round compares every pair that is left, so no link between
-different components is missed.
+of a few partners each come first. The last round compares every pair that is left and whose shared
+prefix shingles can suffice, so no link between different components is missed.
 """
 
 from __future__ import annotations
@@ -35,6 +35,10 @@ FRAGMENTS = 3
 #: each comes first.
 LEFT_PER_ROW = 2
 MAX_ROUNDS = 6
+#: Share of the pairs left at which a round has not helped.
+LEAST_FALL = 0.7
+#: Partners of a class in a round, but for the first.
+PARTNERS = 8
 #: Up to so many document keys are broadcast; more are joined by shuffle.
 BROADCAST_KEYS = 500_000
 
@@ -132,6 +136,7 @@ def _prefixes(k: int, percent: int, order):
         return pd.DataFrame({
             "gram": np.concatenate(heads), "class": np.repeat(np.array(digests, dtype=np.int64), lengths),
             "n": np.repeat(sizes, lengths), "pos": np.concatenate([np.arange(x) for x in lengths]),
+            "end": np.repeat([x[-1] for x in heads], lengths),
         })
 
     return run
@@ -171,8 +176,20 @@ def verify(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def with_most(index: DataFrame, percent: int) -> DataFrame:
+    """Adds `most`: what a class can share at most with one whose prefix ends no earlier in the order.
+
+    A shingle of its prefix that such a class has is in that one's prefix too, and so in the index;
+    the others of the prefix are not shared.
+    """
+    own = index.groupBy("class").agg(F.count(F.lit(1)).alias("met"), F.any_value("n").alias("n"))
+    # in a prefix are n - needed + 1 shingles
+    most = own.select("class", (F.col("met") + F.ceil(percent * F.col("n") / 100 - 1e-9) - 1).alias("most"))
+    return index.join(most, "class")
+
+
 def collapsed(index: DataFrame) -> DataFrame:
-    """`index` (gram, class, n, pos) with one gram for all that have the same classes: the first in
+    """`index` (gram, class and more) with one gram for all that have the same classes: the first in
     the order, with their number as `weight`. In a family of near copies hundreds are alike."""
     mark = F.sum(F.xxhash64("class").cast("decimal(38,0)"))
     lists = index.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), mark.alias("mark"), F.min("class").alias("low"), F.max("class").alias("high"))
@@ -181,15 +198,15 @@ def collapsed(index: DataFrame) -> DataFrame:
 
 
 def class_components(index: DataFrame, segments_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """Components of the classes in `index` (gram, class, n, pos): class, component.
+    """Components of the classes in `index` (gram, class, n, pos, end): class, component.
 
     `segments_of` gives the segments of the classes in a frame (class).
     """
-    index = collapsed(index)
+    index = collapsed(with_most(index, percent))
     size = index.count()
     joined = None  # class, component, as far as known
     links = tested = None
-    last, rounds = False, max(1, MAX_ROUNDS)
+    last, rounds, before = False, max(1, MAX_ROUNDS), float("inf")
     for turn in range(rounds + 1):
         if joined is None:
             members = index.withColumn("component", F.col("class"))
@@ -203,9 +220,11 @@ def class_components(index: DataFrame, segments_of: Callable[[DataFrame], DataFr
             work = groups.agg(F.sum((F.col("all") - F.col("m")) * F.col("all"))).first()[0] or 0
             if not work:
                 break
-            last = work <= LEFT_PER_ROW * size or turn == rounds
-        one = members.select("gram", "weight", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("p_a"), F.col("component").alias("c_a"))
-        two = members.select("gram", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("p_b"), F.col("component").alias("c_b"))
+            # rounds end when they stop helping: members that link to nothing stay outside for good
+            last = work <= LEFT_PER_ROW * size or work > LEAST_FALL * before or turn == rounds
+            before = work
+        one = members.select("gram", "weight", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("pos").alias("p_a"), F.col("component").alias("c_a"), F.col("end").alias("e_a"), F.col("most").alias("m_a"))
+        two = members.select("gram", F.col("class").alias("b"), F.col("n").alias("n_b"), F.col("pos").alias("p_b"), F.col("component").alias("c_b"), F.col("end").alias("e_b"), F.col("most").alias("m_b"))
         # behind the first shingle in common no more can be shared than what follows in either set
         most = F.least(F.col("n_a") - F.col("p_a"), F.col("n_b") - F.col("p_b"))
         close = similar(most, F.col("n_a"), F.col("n_b"), percent) & (F.col("c_a") != F.col("c_b"))
@@ -214,7 +233,9 @@ def class_components(index: DataFrame, segments_of: Callable[[DataFrame], DataFr
             minor = one.join(groups.select("gram", "major"), "gram").where(F.col("c_a") != F.col("major"))
             once = (F.col("c_b") == F.col("major")) | (F.col("a") < F.col("b"))
             sizes_fit = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-            found = minor.join(two, "gram").where(sizes_fit & (F.col("c_a") != F.col("c_b")) & once)
+            # what the one whose prefix ends first can share at most
+            enough = similar(F.when(F.col("e_a") <= F.col("e_b"), F.col("m_a")).otherwise(F.col("m_b")), F.col("n_a"), F.col("n_b"), percent)
+            found = minor.join(two, "gram").where(sizes_fit & enough & (F.col("c_a") != F.col("c_b")) & once)
             # of the `least` shingles that a link shares, at most n - first can lie behind a set's
             # prefix of n - needed + 1; so many at least are in both prefixes
             least = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent) - 1e-9)
@@ -228,12 +249,19 @@ def class_components(index: DataFrame, segments_of: Callable[[DataFrame], DataFr
                 .where(F.col("met") >= least + 1 - needed).drop("met")
             )
         else:
-            # one partner for each class: of its shingles' first members by a hash, the first
-            place = lambda c: F.xxhash64(F.col(c), F.lit(turn))
-            heads = two.groupBy("gram").agg(F.min(F.struct(place("b").alias("at"), "b", "n_b", "p_b", "c_b")).alias("h"))
+            # of its shingles' first members by a hash, the first is a class's partner; once components
+            # are known, members outside a shingle's largest component get several from inside it
+            seeds = range(1 if joined is None else PARTNERS)
+            if joined is not None:
+                major = groups.select("gram", "major")
+                one = one.join(major, "gram").where(F.col("c_a") != F.col("major")).drop("major")
+                two = two.join(major, "gram").where(F.col("c_b") == F.col("major")).drop("major")
+            place = lambda i: F.xxhash64(F.col("b"), F.lit(turn * PARTNERS + i))
+            first = [F.min(F.struct(F.lit(i).alias("seed"), place(i).alias("at"), "b", "n_b", "p_b", "c_b")) for i in seeds]
+            heads = two.groupBy("gram").agg(F.array(*first).alias("h")).select("gram", F.inline("h"))
             found = (
-                one.join(heads, "gram").select("a", "n_a", "p_a", "c_a", "h.*").where(close)
-                .groupBy("a", "n_a").agg(F.min(F.struct("at", "b", "n_b")).alias("h")).select("a", "n_a", "h.b", "h.n_b")
+                one.join(heads, "gram").where(close)
+                .groupBy("a", "n_a", "seed").agg(F.min(F.struct("at", "b", "n_b")).alias("h")).select("a", "n_a", "h.b", "h.n_b")
             )
         swap = F.col("a") > F.col("b")
         pairs = found.select(
@@ -277,11 +305,11 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
     firsts = least.select(F.col("least").alias("doc")).distinct()
     others = stored(base.select("doc").distinct().join(firsts, "doc", "left_anti"), "others")
     reps = own.join(_small(others), "doc", "left_anti")
-    rows = reps.select("text").mapInPandas(_prefixes(k, percent, order), "gram long, class long, n long, pos long")
+    rows = reps.select("text").mapInPandas(_prefixes(k, percent, order), "gram long, class long, n long, pos long, end long")
     same = Window.partitionBy("gram")
     index = stored(
         rows.withColumns({"low": F.min("class").over(same), "high": F.max("class").over(same)})
-        .where("low < high").select("gram", "class", "n", "pos").distinct(),
+        .where("low < high").select("gram", "class", "n", "pos", "end").distinct(),
         "index",
     )
 
