@@ -281,7 +281,7 @@ def ngrams(spark, sf_dir):
 
 @query
 def tfidf_top_terms(spark, sf_dir):
-    return rounded(features.vocabulary(gram_rows(spark, sf_dir), "grams"), "idf")
+    return rounded(features.vocabulary(written_grams(spark, sf_dir), "grams"), "idf")
 
 
 @query

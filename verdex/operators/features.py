@@ -1,22 +1,24 @@
 """Bag-of-words features: vocabulary, TF-IDF, scaling.
 
-Fitting a vocabulary is one shuffle on the term, with map-side partial counts. Everything after
-it works inside a row, against a vocabulary of at most `max_features` terms.
+Fitting a vocabulary shuffles summaries of bounded size (`frequent`). Everything after it works
+inside a row, against a vocabulary of at most `max_features` terms.
 """
 
 from __future__ import annotations
 
+import math
 import sys
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdex.functions.stem import stem_words
 from verdex.functions.stem_rules import STEPS
 from verdex.functions.text import ngrams, tokens, vectoriser_tokens
+from verdex.operators.frequent import most_frequent
 
 MAX_FEATURES = 1500
 MAX_DF = 0.95
@@ -41,42 +43,18 @@ def stem_vocab(df: DataFrame, words: str, steps=STEPS) -> DataFrame:
     return each.distinct().select("token", stem_words("array(token)", steps)[0].alias("stem"))
 
 
-def gram_counts(df: DataFrame, grams: str) -> DataFrame:
-    """(term, n_total, n_docs) in one pass.
-
-    The grams of a row are sorted, so a gram that differs from the one before it marks the row as
-    one more document with that gram.
-    """
-    ordered = df.select(F.sort_array(grams).alias("g"))
-    head = F.slice("g", F.lit(1), F.greatest(F.size("g") - 1, F.lit(0)))
-    before = F.concat(F.array(F.lit(None).cast("string")), head)
-    pairs = ordered.select(F.inline(F.arrays_zip(F.col("g").alias("term"), before.alias("before"))))
-    return pairs.where(F.col("term").isNotNull()).groupBy("term").agg(
-        F.count(F.lit(1)).alias("n_total"),
-        F.count_if(~F.col("term").eqNullSafe(F.col("before"))).alias("n_docs"),
-    )
-
-
 def vocabulary(
     df: DataFrame, grams: str, max_df: float = MAX_DF, max_features: int = MAX_FEATURES
 ) -> DataFrame:
     """(term, idx, n_total, n_docs, idf): the `max_features` most frequent terms that occur in at
-    most a `max_df` share of the rows; ties by term, indexed in term order."""
-    n_rows = df.agg(F.count(F.lit(1))).scalar()
-    kept = (
-        gram_counts(df, grams)
-        .where(F.col("n_docs") <= max_df * n_rows)
-        .orderBy(F.desc("n_total"), "term")
-        .limit(max_features)
-    )
-    # At most max_features rows from here on, so a window over all of them is small.
-    return kept.select(
-        "term",
-        (F.row_number().over(Window.orderBy("term")) - 1).alias("idx"),
-        "n_total",
-        "n_docs",
-        (F.log((1 + n_rows) / (1 + F.col("n_docs"))) + 1).alias("idf"),
-    )
+    most a `max_df` share of the rows; ties by term, indexed in term order.
+
+    `df` should be a written table: it is read once for the summaries and once for the exact counts.
+    """
+    n_rows = df.count()
+    kept = sorted(most_frequent(df, grams, max_features, max_df * n_rows), key=lambda r: r.term.encode())
+    rows = [(r.term, i, r.n_total, r.n_docs, math.log((1 + n_rows) / (1 + r.n_docs)) + 1) for i, r in enumerate(kept)]
+    return df.sparkSession.createDataFrame(rows, "term string, idx int, n_total long, n_docs long, idf double")
 
 
 def fit_tfidf(
