@@ -483,6 +483,10 @@ ORACLE: dict[str, str] = {
         FROM pairs JOIN p ON p.q = pairs.q""",
     "select_model": cascade_sql(),
     "clf_knn": knn_sql(),
+    "term_index_match": """WITH words AS (
+  SELECT DISTINCT unnest(regexp_split_to_array(text, '[ /.]+')) AS w FROM (SELECT text FROM benchmark UNION ALL SELECT url FROM pages)),
+found AS (SELECT doc_id, w FROM documents JOIN words ON length(w) >= 4 AND contains(lower(text), lower(w)))
+SELECT doc_id, count(*) AS n_terms, md5(string_agg(w, chr(10) ORDER BY encode(w))) AS terms_md5 FROM found GROUP BY doc_id""",
     "fold_vocabularies": f"""WITH {LABELLED}, {fold_sql(10, 5)}, {tokens_cte()}, {grams_cte()},
 per_row AS (SELECT doc_id, term, count(*) AS n FROM cells GROUP BY doc_id, term),
 per_fold AS (

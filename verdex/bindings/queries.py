@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verdex.functions import text as T
-from verdex.operators import audit, catalogue, classify, counts, features, folds, grid, metrics, selection, terms
+from verdex.operators import audit, catalogue, classify, counts, features, folds, grid, metrics, selection, term_index, terms
 from verdex.plans import reports
 from verdex.runtime import cut, shared_path, spread
 from verdex.sources import files, pages, sinks, tables
@@ -590,6 +590,16 @@ def grid_search(spark, sf_dir):
     return rounded(grid.batched_scores(train), *metrics.METRICS)
 
 
+@query
+def term_index_match(spark, sf_dir):
+    """Documents with any of the thousands of words of the benchmark and page texts, and which."""
+    given = table(spark, sf_dir, "benchmark").select("text").unionByName(table(spark, sf_dir, "pages").select(F.col("url").alias("text")))
+    words = given.select(F.explode(F.split("text", "[ /.]+")).alias("w")).where("length(w) >= 4").distinct()
+    listed = sorted((r.w for r in words.collect()), key=str.encode)
+    found = term_index.match_many(documents(spark, sf_dir), "text", listed)
+    return found.select("doc_id", F.size("terms").cast("long").alias("n_terms"), F.md5(F.array_join("terms", "\n")).alias("terms_md5"))
+
+
 @query
 def fold_vocabularies(spark, sf_dir):
     """Every fold's vocabularies, taken from the total counts by subtraction: size, least count, digest of the terms."""
