@@ -84,14 +84,51 @@ def test_knn_is_exact_over_blocks(spark, block_rows, monkeypatch):
         assert votes[q] == (float(p > 0.5), pytest.approx(max(p, 1 - p)))
 
 
-def test_knn_keeps_null_and_repeated_ids_and_its_bound(spark):
+def test_knn_keeps_null_and_repeated_ids(spark):
     rows = [(i, float(i > 2), Vectors.sparse(1, {0: float(i)})) for i in range(6)]
     train = spark.createDataFrame(rows, ["row_id", "label", "features"])
     asked = train.selectExpr("case when row_id < 2 then null when row_id < 4 then 9 else row_id end as row_id", "features")
     votes = sorted((r.row_id is None, r.row_id or 0, r.prediction) for r in knn.voter(train, 1)(asked).collect())
     assert votes == [(False, 4, 1.0), (False, 5, 1.0), (False, 9, 0.0), (False, 9, 1.0), (True, 0, 0.0), (True, 0, 0.0)]
     with pytest.raises(ValueError):
-        knn.training_set(train, most=5)
+        knn.voter(train.limit(0), 1)
+
+
+@pytest.mark.parametrize("k", [1, 4, 80])
+def test_knn_over_chunks_equals_brute_force(spark, k, monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 4)
+    rng = np.random.default_rng(k)
+    dense = np.round(rng.normal(0, 1, (70, 9)) * (rng.random((70, 9)) < 0.3), 1)
+    dense[20:30] = dense[5]  # ties across chunks
+    dense[40] = 0
+    keys = [None if i < 3 else i // 2 for i in range(50)]
+    rows = [(q, float(i % 3 == 0), Vectors.sparse(9, {j: float(x) for j, x in enumerate(v) if x}), i)
+            for i, (q, v) in enumerate(zip(keys + list(range(100, 120)), dense))]
+    df = spark.createDataFrame(rows, ["row_id", "label", "features", "n"])
+    train, query = df.where("n < 50").repartition(3), df.where("n >= 50")
+    got = {}
+    for r in knn.nearest(train, query, k, most=11).collect():
+        got.setdefault(r.row_id, []).append((round(r.distance, 6), r.neighbour, r.neighbour_label))
+    order = lambda d, t: (d[t], keys[t] is not None, keys[t] or 0, rows[t][1])
+    for q in range(100, 120):
+        d = np.round(((dense[:50] - dense[q - 50]) ** 2).sum(1), 9)
+        first = sorted(range(50), key=lambda t: order(d, t))[:k]
+        want = [(round(math.sqrt(d[t]), 6), keys[t], rows[t][1]) for t in first]
+        assert [x[0] for x in got[q]] == [x[0] for x in want]
+        assert sorted(map(str, got[q])) == sorted(map(str, want))
+    whole = {r.row_id: (r.prediction, round(r.confidence, 9)) for r in knn.voter(train, k)(query).collect()}
+    assert {r.row_id: (r.prediction, round(r.confidence, 9)) for r in knn.voter(train, k, most=11)(query).collect()} == whole
+
+
+def test_knn_skips_tiles_that_cannot_hold_a_neighbour(monkeypatch):
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 8)
+    rng = np.random.default_rng(5)
+    vectors = [([t], [1.0 + 0.01 * float(rng.random())]) for t in range(32) for _ in range(8)]
+    own = knn.TrainingSet(list(range(len(vectors))), [0.0] * len(vectors), 32, vectors)
+    read, block = [], own.block
+    own.block = lambda tile: read.append(tile) or block(tile)
+    _, rows = own.nearest(np.eye(32)[:1], 3)
+    assert len(read) == 1 and set(rows[0]) <= set(range(8))
 
 
 @pytest.mark.parametrize("name,params", [

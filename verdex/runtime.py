@@ -25,7 +25,16 @@ def cut(df: DataFrame, folder: str | None = None) -> DataFrame:
     """
     path = shared_path(df.sparkSession, "cut", folder)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.cut_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a table that `cut` returned, when nothing reads it any more."""
+    spark = df.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(df.cut_at)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
