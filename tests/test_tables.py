@@ -1,10 +1,13 @@
 import hashlib
 import math
+import random
 from collections import Counter
 
 import pytest
 
-from verdex.operators import audit, counts, folds
+from pyspark.sql import functions as F
+
+from verdex.operators import audit, counts, folds, text_order
 from verdex.plans import reports
 
 
@@ -28,6 +31,27 @@ def test_duplicates_with_a_hot_text(spark):
     assert [g[1] for g in got] == sorted(g[1] for g in got)
 
 
+@pytest.mark.parametrize("most", [0, 1000])
+def test_text_places_refine_ties(spark, most, monkeypatch):
+    monkeypatch.setattr(text_order, "BROADCAST_KEYS", most)
+    rng = random.Random(8)
+    texts = {"", "a", "ab", "é", "\U0001f600", "\uffee"} | {"a" * n for n in (3, 4, 5, 19, 20, 21, 83, 84, 85, 400)}
+    texts |= {"licença " * 20 + rng.choice("abé") * rng.randint(0, 90) + str(rng.randint(0, 9)) for _ in range(60)}
+    texts = sorted(texts)
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] * 2, "_key int, _text string").repartition(5)
+    keys = rows.dropDuplicates(["_key"]).select("_key", F.substring("_text", 1, 4).alias("_prefix"))
+    got = {r._key: r._place for r in text_order.text_places(rows, keys, piece=4).collect()}
+    order = sorted(range(len(texts)), key=lambda i: texts[i].encode())
+    assert got == {i: n for n, i in enumerate(order)}
+
+
+def test_duplicates_are_listed_without_moving_whole_texts(spark):
+    df = spark.createDataFrame([(i, f"text {i // 2} " * 50) for i in range(40)], "id int, body_text string")
+    plan = audit.duplicate_rows(df, "id", "body_text")._jdf.queryExecution().executedPlan().toString()
+    shuffled = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line]
+    assert shuffled and not any("body_text" in line for line in shuffled)
+
+
 def test_no_duplicates_and_empty(spark):
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, text string")
     assert audit.duplicate_rows(df, "id", "text").collect() == []

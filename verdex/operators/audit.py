@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verdex.functions.text import truncate_text
+from verdex.operators.text_order import PIECE, text_places
+from verdex.runtime import cut
 
 # A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are never more than
 # HOT_SHARE hot keys and their table is always small enough to broadcast.
@@ -42,29 +44,28 @@ def duplicate_stats(df: DataFrame, col: str) -> DataFrame:
 def duplicate_rows(df: DataFrame, key: str, col: str, preview: int = 100) -> DataFrame:
     """(key, preview, copies) of every row whose text occurs more than once.
 
-    Rows are in text order, copies by key: the copied texts are sorted once, one row per text, and
-    their place travels to the members instead of the text. Rows of hot texts are spread over as many
-    salts as the text needs to stay under 1/HOT_SHARE of all rows per salt.
+    Rows are in text order, copies by key: the copied texts are ordered piece by piece
+    (`text_order`), and their place travels to the members instead of the text. No row's whole text
+    is shuffled. Rows of hot texts are spread over as many salts as the text needs to stay under
+    1/HOT_SHARE of all rows per salt.
     """
     valued = df.where(F.col(col).isNotNull())
     rows = valued.select(
         key, truncate_text(F.col(col), preview).alias("preview"), text_key(col).alias("_key")
     )
+    prefix = F.substring(col, 1, PIECE)
     groups = valued.groupBy(text_key(col).alias("_key")).agg(
-        F.count(F.lit(1)).alias("copies"), F.min(key).alias("_least")
+        F.count(F.lit(1)).alias("copies"), F.min(prefix).alias("_prefix")
     )
     total = groups.agg(F.sum("copies")).scalar()
-    copied = groups.where("copies > 1").withColumn(
-        "_salts", F.ceil(F.col("copies") * HOT_SHARE / total).cast("int")
-    )
+    salts = F.ceil(F.col("copies") * HOT_SHARE / total).cast("int")
+    copied = cut(groups.where("copies > 1").withColumn("_salts", salts))
     hot = copied.where("_salts > 1").select("_key", "_salts")
     salted = rows.join(F.broadcast(hot), "_key", "left").withColumn(
         "_salt", F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(key), F.col("_salts"))).otherwise(0).cast("int")
     ).drop("_salts")
-    # one text per group, joined by the key of one member; ids after a sort rise with the text
-    one = valued.select(F.col(key).alias("_least"), F.col(col).alias("_text"), text_key(col).alias("_key"))
-    texts = one.join(copied.select("_key", "_least"), ["_key", "_least"]).dropDuplicates(["_key"])
-    places = texts.orderBy("_text").select("_key", F.monotonically_increasing_id().alias("_place"))
+    texts = valued.select(text_key(col).alias("_key"), F.col(col).alias("_text"))
+    places = text_places(texts, copied.select("_key", "_prefix"))
     copied = copied.join(places, "_key")
     spread_keys = copied.select(
         "_key", "copies", "_place", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt")
