@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from verdex.runtime import cut, discard
 
 #: Characters of the first piece; each later piece is `GROWTH` times as long.
-PIECE, GROWTH = 64, 4
+PIECE, GROWTH = 256, 16
 #: Tied texts up to which their keys are broadcast.
 BROADCAST_KEYS = 200_000
 
