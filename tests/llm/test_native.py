@@ -174,6 +174,46 @@ def test_secrets(spark, sf):
     found.unpersist()
 
 
+def test_candidates_behind_key_words_and_names(spark):
+    own = {
+        "password=letmein!2024 and": ["letmein!2024"], "ftp://user:Pa55w0rd!@host/x": ["Pa55w0rd!"],
+        "api_key=abcdefghijklmnopqrstuvwx": ["abcdefghijklmnopqrstuvwx"], "secret: 12345678901.": ["12345678901."],
+        'Token = "ä ö"': ["ä"], "the key: then": ["then"], "mailto:bob@example.com": [], "a key and a lock": [], "key==": [],
+        'pwd="x1" token: y2\nabcdefgh12345678/9': ["x1", "y2", "abcdefgh12345678/9"], "monkeys: none, passwords = 3": [],
+    }
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(own)], "doc_id int, text string")
+    got = {i: [] for i in range(len(own))}
+    for r in secrets.candidates(docs).orderBy("doc_id", "number").collect():
+        got[r.doc_id].append(r.candidate)
+        assert r.before + r.candidate + r.after in list(own)[r.doc_id]
+    assert list(got.values()) == list(own.values())
+
+
+def test_short_secrets_are_masked_where_they_stand(spark):
+    docs = spark.createDataFrame([(1, "then password=then then, token=abcdefgh12345678 (abcdefgh12345678x) end")], "doc_id int, text string")
+    found = secrets.candidates(docs).withColumn("is_secret", F.length("candidate") < 17)
+    assert secrets.redact(docs, found).first().text == "then password=[SECRET] then, token=[SECRET] ([SECRET]x) end"
+
+
+def test_forest_differs_from_its_labels_on_planted_findings(spark):
+    """Formats and values that the labels leave out are told apart by shape and context."""
+    rng = random.Random(11)
+    draw = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
+    some, hexa = "abcdefghijklmnopqrstuvwxyz0123456789", "0123456789abcdef"
+    plain = "the and of report value because harbour window letter season garden winter".split()
+    texts = [f"{rng.choice(plain)} token = \"{draw(hexa, 40)}\" {rng.choice(plain)}" for _ in range(60)]
+    texts += [f"password: {draw(some, rng.randint(9, 20))}7 {rng.choice(plain)}" for _ in range(60)]
+    texts += [f"{rng.choice(plain)} number {draw('0123456789', 16)} {rng.choice(plain)}" for _ in range(60)]
+    texts += [f"see https://example.com/{rng.choice(plain)}/{rng.choice(plain)}-{rng.choice(plain)}-2024 {rng.choice(plain)}" for _ in range(60)]
+    unseen = [f"password={draw(some[:26], 16)} now" for _ in range(30)]  # letters only: no label
+    docs = spark.createDataFrame(list(enumerate(texts + unseen)), "doc_id int, text string")
+    found = secrets.weak_labels(secrets.find_secrets(docs)).collect()
+    labelled, open_ = [r for r in found if r.label is not None], [r for r in found if r.label is None]
+    assert sum(r.is_secret == (r.label == 1) for r in labelled) >= 0.98 * len(labelled)
+    assert {r.doc_id for r in open_} == set(range(len(texts), len(texts) + 30))
+    assert sum(r.is_secret for r in open_) >= 27
+
+
 def test_secrets_without_labels_and_without_rows(spark):
     docs = spark.createDataFrame([(1, "abcdefgh12345678")], "doc_id long, text string")
     none = spark.createDataFrame([], "candidate string, before string, after string, label int")

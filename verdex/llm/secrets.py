@@ -1,8 +1,9 @@
 """Secret scan: candidates by pattern, false positives removed by a random forest.
 
-Every long run of key-like characters with a digit is a candidate. The forest is trained on labelled
-findings and sees the candidate's length, character transitions, dictionary coverage, the path it
-stands in and the words beside it.
+A candidate is a long run of key-like characters with a digit, the whole value behind a key word and
+`=` or `:`, or the password of `name:password@host`, of any length and alphabet. The forest is trained
+on labelled findings and sees the candidate's length, character transitions, dictionary coverage, the
+path it stands in and the words beside it.
 """
 
 from __future__ import annotations
@@ -15,8 +16,14 @@ from pyspark.sql import functions as F
 
 from verdex.llm.common import pinned, small, stored
 
-#: A candidate: at least 12 key characters in a row, one of them a digit.
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}"
+#: At least 12 key characters in a row, one of them a digit.
+_RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{12,}+={0,2}"
+_KEY_WORD = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|key|auth|credentials?|bearer)"
+#: The non-blank value behind a key word, with or without quotes; the first look behind is only faster.
+_ASSIGNED = rf"(?<=[=:\s\"'`])(?<={_KEY_WORD}[\"'`]?\s{{0,2}}[=:]\s{{0,2}}[\"'`]?)[^\s\"'`=:][^\s\"'`]*+"
+#: What stands between a name with a colon and a host.
+_LOGIN = r"(?<=[A-Za-z0-9_.-]:)(?<!mailto:)[^\s/@:]++(?=@[A-Za-z0-9])"
+CANDIDATE = f"{_ASSIGNED}|{_LOGIN}|{_RUN}"
 #: Characters on each side that the features of a candidate see.
 CONTEXT = 60
 #: Most frequent words of the corpus that make up the dictionary.
@@ -27,6 +34,8 @@ TRAIN_FINDINGS = 4000
 TREES, DEPTH, SEED = 20, 6, 7
 THRESHOLD = 0.5
 MASK = "[SECRET]"
+#: Characters from which a secret is masked wherever it occurs in its text.
+LONG = 12
 #: Documents with secrets up to which they are broadcast when texts are masked.
 BROADCAST_DOCS = 20_000
 
@@ -85,12 +94,18 @@ def with_features(found: DataFrame, words: list[str]) -> DataFrame:
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
-    """Findings labelled by fixed formats, for corpora without hand-labelled ones: `label` 1 for an
-    issuer's format or a value assigned to a key word, 0 for a number, a path, or a run with neither."""
-    issuer = F.col("candidate").rlike(r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abp]-.*|AIza[0-9A-Za-z_-]{35})$")
-    given = F.col("before").rlike(_WORDS_BEFORE) & F.col("before").rlike(r"[=:]\s*[\"']?$")
-    number = F.col("candidate").rlike("^[0-9-]+$")
-    return found.withColumn("label", F.when(number, 0).when(issuer | given, 1).otherwise(0))
+    """Findings labelled by fixed formats, for corpora without hand-labelled ones.
+
+    `label` is 1 for an issuer's format, and for a value of eight characters or more with letters and
+    digits assigned to a key word; 0 for a number, a path, or a run with neither. Other values behind a
+    key word or a name (words, short ones, letters only) have no label: the forest alone judges them.
+    """
+    c = F.col("candidate")
+    issuer = c.rlike(r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{36}|xox[abp]-.*|AIza[0-9A-Za-z_-]{35})$")
+    given = F.col("before").rlike(_WORDS_BEFORE) & F.col("before").rlike(r"[=:]\s*[\"'`]?$")
+    mixed = (F.length(c) >= 8) & c.rlike("[A-Za-z]") & c.rlike("[0-9]")
+    run = c.rlike(f"^(?:{_RUN})$")
+    return found.withColumn("label", F.when(c.rlike("^[0-9-]+$") & run, 0).when(issuer | (given & mixed), 1).when(~given & run, 0))
 
 
 def judge(found: DataFrame, findings: DataFrame, words: list[str], train_findings: int = TRAIN_FINDINGS) -> DataFrame:
@@ -138,9 +153,16 @@ def find_secrets(docs: DataFrame, findings: DataFrame | None = None, threshold:
 
 
 def mask(text: Column, secrets: Column) -> Column:
-    """`text` with every string of the array `secrets` replaced, longest first."""
-    longest = F.array_sort(secrets, lambda a, b: F.length(b) - F.length(a))
-    return F.aggregate(longest, text, lambda t, s: F.replace(t, s, F.lit(MASK)))
+    """`text` with the candidates that the array `secrets` holds masked where they stand.
+
+    Secrets of `LONG` characters or more are then masked wherever else they occur, longest first; a
+    shorter one may be a part of ordinary words and is masked as a candidate only.
+    """
+    found, between = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)), F.split(text, CANDIDATE)
+    told = F.transform(found, lambda c: F.when(F.array_contains(secrets, c), F.lit(MASK)).otherwise(c))
+    whole = F.array_join(F.flatten(F.zip_with(between, told, lambda t, c: F.array(t, F.coalesce(c, F.lit(""))))), "")
+    longest = F.array_sort(F.filter(secrets, lambda s: F.length(s) >= LONG), lambda a, b: F.length(b) - F.length(a))
+    return F.aggregate(longest, whole, lambda t, s: F.replace(t, s, F.lit(MASK)))
 
 
 def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -151,6 +173,7 @@ def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
     """
     secrets = found.where("is_secret").groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("candidate").alias("_secrets"))
     secrets = stored(secrets, "secrets")
-    kept = [F.when(F.col("_secrets").isNull(), F.col("text")).otherwise(mask(F.col("text"), F.col("_secrets"))).alias(c)
-            if c == "text" else docs[c] for c in docs.columns]
-    return docs.join(small(secrets, BROADCAST_DOCS), docs["doc_id"].eqNullSafe(F.col("_id")), "left").select(*kept)
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"))
+    met = rows.join(small(secrets, BROADCAST_DOCS), F.col("_doc.doc_id").eqNullSafe(F.col("_id")), "left")
+    text = F.when(F.col("_secrets").isNull(), F.col("_doc.text")).otherwise(mask(F.col("_doc.text"), F.col("_secrets")))
+    return met.select(*[text.alias(c) if c == "text" else F.col("_doc")[c].alias(c) for c in docs.columns])
