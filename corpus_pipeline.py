@@ -22,22 +22,24 @@ _KEY = "_row"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """`docs` with a key of each row: a 64-bit hash of its id and text.
+    """(key, doc): each row of `docs` as one struct, so that its columns clash with none, and a key of it.
 
-    Ids may be null or repeated; only rows with the same id and the same text share a key.
+    The key is a 64-bit hash of id and text. Ids may be null or repeated; only rows with the same id
+    and the same text share a key.
     """
-    return docs.withColumn(_KEY, F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    return docs.select(key.alias(_KEY), F.struct(*docs.columns).alias("doc"))
 
 
 def _by_key(keyed: DataFrame) -> DataFrame:
     """What the operators read, under the key instead of the id."""
-    return keyed.select(F.col(_KEY).alias("doc_id"), "text")
+    return keyed.select(F.col(_KEY).alias("doc_id"), F.col("doc.text").alias("text"))
 
 
 def _without(keyed: DataFrame, dropped: DataFrame) -> DataFrame:
-    """`keyed` without the rows whose key is in `dropped` (a column of keys), and without the key."""
+    """The rows of `keyed` whose key is not in `dropped` (a column of keys), as they came."""
     gone = stored(dropped.toDF("_gone").distinct(), "dropped")
-    return keyed.join(small(gone, BROADCAST_IDS), F.col(_KEY) == F.col("_gone"), "left_anti").drop(_KEY)
+    return keyed.join(small(gone, BROADCAST_IDS), F.col(_KEY) == F.col("_gone"), "left_anti").select("doc.*")
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,19 +71,22 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     # a component's smallest key names it, and its own row has that key
     linked = groups.where(F.col(_KEY) != F.col("component_id")).distinct()
     members = stored(linked.unionByName(linked.select(F.col("component_id").alias(_KEY), "component_id").distinct()), "members")
-    named = keyed.select("doc_id", _KEY).join(small(members, BROADCAST_IDS), _KEY)
+    named = keyed.select(F.col("doc.doc_id").alias("doc_id"), _KEY).join(small(members, BROADCAST_IDS), _KEY)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", _KEY))
     stays = stored(named.groupBy("component_id").agg(first.alias("first")).select(F.col(f"first.{_KEY}").alias("_stays")), "stays")
     dropped = members.join(small(stays, BROADCAST_IDS), F.col(_KEY) == F.col("_stays"), "left_anti").select(_KEY)
     if not repeated.isEmpty():  # equal rows are rare as a rule, and then no text is moved
         match, keys = F.col(_KEY) == F.col("_again"), small(repeated, BROADCAST_IDS)
-        equal = keyed.join(keys, match, "left_semi").groupBy(_KEY).agg(F.min(F.struct(*docs.columns)).alias("row"))
-        keyed = keyed.join(keys, match, "left_anti").unionByName(equal.select("row.*", _KEY))
+        equal = keyed.join(keys, match, "left_semi").groupBy(_KEY).agg(F.min("doc").alias("doc"))
+        keyed = keyed.join(keys, match, "left_anti").unionByName(equal)
     return _without(keyed, dropped)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop rows that hold an item of the table `benchmark`; others of the same or no id stay."""
+    """Drop rows that hold an item of the table `benchmark`; others of the same or no id stay.
+
+    Null and empty texts hold none and stay; equal rows go or stay together; an empty table drops none.
+    """
     items, keyed = spark.read.parquet(f"{sf_dir}/benchmark.parquet"), _keyed(docs)
     return _without(keyed, decontaminate.find_leaks(_by_key(keyed), items).select("doc_id"))
 
@@ -93,14 +98,18 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     keyed = _keyed(docs)
     found = secrets.find_secrets(_by_key(keyed))
-    own = keyed.select(F.col(_KEY).alias("doc_id"), F.col("doc_id").alias("_id0"), *[c for c in docs.columns if c != "doc_id"])
-    masked = secrets.redact(own, found).withColumn("doc_id", F.col("_id0")).select(*docs.columns)
+    own = keyed.select(F.col(_KEY).alias("doc_id"), F.col("doc.text").alias("text"), "doc")
+    masked = secrets.redact(own, found)
+    masked = masked.select(*[F.col("text") if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns])
     changed = F.contains("text", F.lit(secrets.MASK))
     return masked.withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Training sequences of 2048 tokens: sequence_id, n_tokens, padded_to, ids, pieces."""
+    """Training sequences of 2048 tokens: sequence_id, n_tokens, padded_to, ids, pieces.
+
+    A null or empty text is its end token alone; repeated rows are packed each; other columns are ignored.
+    """
     return packing.pack(docs)
 
 
