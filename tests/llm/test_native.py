@@ -115,6 +115,15 @@ def test_leaks_against_brute_force(spark):
     assert got == brute_leaks(docs, items) and len(got) > 15 and (None, None) in got
 
 
+def test_leaks_of_many_rows_without_an_id(spark):
+    items = [(i, " ".join(f"i{i}w{j}" for j in range(20))) for i in range(6)]
+    rows = [(None, f"{n} before " + items[n % 6][1] + " after") for n in range(60)] + [(7, items[2][1]), (7, items[3][1])] + [(None, f"clean {n}") for n in range(60)]
+    found = decontaminate.find_leaks(
+        spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = sorted((r.doc_id or -1, r.item_id, r.start_word, r.similarity) for r in found.collect())
+    assert got == [(-1, i, 2, 1.0) for i in range(6)] + [(7, 2, 0, 1.0), (7, 3, 0, 1.0)]
+
+
 def test_leaks_of_empty_tables(spark):
     docs, items = spark.createDataFrame([(1, "a b c")], "doc_id long, text string"), spark.createDataFrame([(1, "a b c")], "item_id long, text string")
     assert decontaminate.find_leaks(docs.limit(0), items).count() == 0

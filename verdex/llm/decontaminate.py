@@ -112,7 +112,9 @@ def find_leaks(
     per doc_id and item_id; a null id is reported as null. Empty tables give an empty result; other
     columns are ignored.
     """
-    own = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).cast("long").alias("doc"), "text")
+    # a key of id and text, so that what is gathered per key is bounded by one text
+    key = F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text")
+    own = docs.select(key.alias("doc"), F.col("doc_id").cast("long").alias("id"), "text")
     named = benchmark.select(F.coalesce("item_id", F.lit(_NO_ID)).cast("long").alias("item"), "text")
     items = _words_of(named, "item").where(F.size("hashes") > 0).select(
         "item", "hashes", F.size("hashes").alias("w"), F.least(F.size("hashes"), F.lit(k)).alias("k")
@@ -136,17 +138,17 @@ def find_leaks(
         )
         seeds = stored(seeds, "seeds")
         near = own.join(small(seeds, BROADCAST_ROWS // 10), "doc")
-        near = _grams_of(_words_of(near, "doc", "seeds"), m)
+        near = _grams_of(_words_of(near, "doc", "id", "seeds"), m)
         # every start of a window that holds a seed and lies inside the document
         last = F.greatest(F.size("hashes") - F.col("s.w"), F.lit(0))
         starts = F.array_distinct(F.flatten(F.transform("s.at", lambda p: F.sequence(
             F.greatest(p - (F.col("s.w") - m), F.lit(0)), F.least(p, last)
         ))))
-        here = near.select("doc", "hashes", "grams", F.explode("seeds").alias("s")).select(
-            "doc", "grams", F.col("s.w").alias("w"), F.explode(starts).alias("start")
+        here = near.select("id", "hashes", "grams", F.explode("seeds").alias("s")).select(
+            "id", "grams", F.col("s.w").alias("w"), F.explode(starts).alias("start")
         )
         cut = F.slice("grams", F.col("start") + 1, F.greatest(F.col("w") - (m - 1), F.lit(1)))
-        windows.append(stored(pinned(here.select("doc", "w", "start", cut.alias("grams")), key=F.xxhash64("grams")), "windows"))
+        windows.append(stored(pinned(here.select("id", "w", "start", cut.alias("grams")), key=F.xxhash64("grams")), "windows"))
 
     unite = lambda frames: reduce(DataFrame.unionByName, frames)
     window, target = unite(windows), unite(targets)
@@ -171,10 +173,10 @@ def find_leaks(
     )
     best = F.max(F.struct("similarity", (-F.col("start")).alias("at"), "w", "hamming"))
     return (
-        window.select("doc", "w", "key", "start").join(verified, ["w", "key"])
-        .groupBy("doc", "item").agg(best.alias("m"))
+        window.select("id", "w", "key", "start").join(verified, ["w", "key"])
+        .groupBy("id", "item").agg(best.alias("m"))
         .select(
-            F.nullif("doc", F.lit(_NO_ID)).alias("doc_id"), F.nullif("item", F.lit(_NO_ID)).alias("item_id"),
+            F.col("id").alias("doc_id"), F.nullif("item", F.lit(_NO_ID)).alias("item_id"),
             (-F.col("m.at")).alias("start_word"), F.col("m.w").alias("n_words"), F.col("m.hamming").alias("hamming"),
             F.col("m.similarity").alias("similarity"),
         )
