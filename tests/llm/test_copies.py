@@ -102,6 +102,48 @@ def test_order_is_a_bijection_with_rare_cells_first():
     assert len(shingles.shingle_set(hashes[:3], 5)) == 1 and len(shingles.shingle_set(hashes[:0], 5)) == 0
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_marks_differ_in_no_more_bits_than_the_sets_in_shingles(spark, seed):
+    """Also for sets far larger than the mark; so no pair that links is ruled out."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for n in (1, 2, 7, 100, 3000, 20_000):
+        for share in (0.0, 0.1, 0.2, 0.25, 1.0):
+            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            b = np.union1d(a[int(share * len(a)) :], rng.integers(0, 2**63, int(share * n / 2)).astype(np.uint64))
+            if not len(b):
+                continue
+            x, y = jaccard.mark_of(a), jaccard.mark_of(b)
+            shared = len(np.intersect1d(a, b))
+            apart = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+            assert apart <= len(a) + len(b) - 2 * shared
+            rows.append((x.tolist(), y.tolist(), len(a), len(b), bool(jaccard.similar(shared, len(a), len(b), 80))))
+    df = spark.createDataFrame(rows, "mark_a array<long>, mark_b array<long>, n_a long, n_b long, link boolean")
+    judged = df.select("link", jaccard.may_link("mark_a", "mark_b", 80).alias("may")).collect()
+    assert all(r.may for r in judged if r.link) and any(r.link for r in judged) and not all(r.may for r in judged)
+
+
+def test_a_family_just_below_the_threshold_is_not_compared_pair_by_pair(spark):
+    """600 texts that share most shingles but link with none: few of the 179,700 pairs are verified."""
+    rng = random.Random(9)
+    body = [f"w{i}" for i in range(300)]
+    rows = []
+    for d in range(600):
+        copy = list(body)
+        for at in rng.sample(range(0, 300, 6), 6):
+            copy[at] = f"x{d}_{at}"
+        rows.append((d, " ".join(copy)))
+    seen = []
+    verify = jaccard.verify
+    try:
+        jaccard.verify = lambda pairs, *rest: (seen.append(pairs.count()), verify(pairs, *rest))[1]
+        got = jaccard.near_groups(spark.createDataFrame(rows, "doc_id long, text string"))
+        found = sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.collect())
+    finally:
+        jaccard.verify = verify
+    assert found == brute_groups(rows) and sum(seen) < 20_000
+
+
 # Substrings ---------------------------------------------------------------------------------------
 
 

@@ -12,6 +12,10 @@ then only pairs of different components are left. In a shingle's group these are
 its largest component against all others; when that is still far more than the index, further rounds
 of a few partners each come first. The last round compares every pair that is left and whose shared
 prefix shingles can suffice, so no link between different components is missed.
+
+Each class has a mark of parity bits. Two sets' marks differ in at most as many bits as the sets have
+shingles that are not common to both, so pairs whose marks differ in more than a link allows are ruled
+out where they meet, without their shingles.
 """
 
 from __future__ import annotations
@@ -21,7 +25,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verdex.llm.common import components, discard, pieces, stored, tree_sum
@@ -39,6 +43,9 @@ MAX_ROUNDS = 6
 LEAST_FALL = 0.7
 #: Partners of a class in a round, but for the first.
 PARTNERS = 8
+#: Words of 64 bits in a class's mark. Marks of random sets differ in half their bits, so this many
+#: rule out most pairs of up to about 2,000 shingles, and fewer of larger ones.
+MARK_WORDS = 16
 #: Up to so many document keys are broadcast; more are joined by shuffle.
 BROADCAST_KEYS = 500_000
 
@@ -64,7 +71,20 @@ def _digest(s: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(s.tobytes(), seed=len(s)) - 2**63
 
 
-_MEASURED = "doc long, n long, class long, node long, piece long, counts binary"
+def mark_of(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles at each of the mark's bits."""
+    odd = np.bincount((s >> np.uint64(40)) % np.uint64(64 * MARK_WORDS), minlength=64 * MARK_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def may_link(mark_a: str, mark_b: str, percent: int) -> Column:
+    """Whether the marks of two classes of n_a and n_b shingles allow a link."""
+    apart = sum((F.bit_count(F.col(mark_a)[i].bitwiseXOR(F.col(mark_b)[i])) for i in range(MARK_WORDS)), F.lit(0))
+    both = F.col("n_a") + F.col("n_b")
+    return apart <= both - 2 * F.ceil(percent * both / (100 + percent) - 1e-9)
+
+
+_MEASURED = "doc long, n long, class long, mark array<long>, node long, piece long, counts binary"
 
 
 def _measure(k: int):
@@ -81,17 +101,17 @@ def _measure(k: int):
                 if waiting > 1 << 20:
                     np.add.at(counts, np.concatenate(cells), 1)
                     cells, waiting = [], 0
-                rows.append((len(s), _digest(s)))
+                rows.append((len(s), _digest(s), mark_of(s)))
             if cells:
                 np.add.at(counts, np.concatenate(cells), 1)
-            size, digest = zip(*rows) if rows else ((), ())
-            yield pd.DataFrame({"doc": batch.doc, "n": size, "class": digest, "node": pd.NA, "piece": pd.NA, "counts": None})
-        yield pieces(counts).assign(doc=pd.NA, n=0, **{"class": 0})
+            size, digest, mark = zip(*rows) if rows else ((), (), ())
+            yield pd.DataFrame({"doc": batch.doc, "n": size, "class": digest, "mark": mark, "node": pd.NA, "piece": pd.NA, "counts": None})
+        yield pieces(counts).assign(doc=pd.NA, n=0, mark=None, **{"class": 0})
 
     def typed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in run(batches):
             x = x.astype({"doc": "Int64", "n": "int64", "class": "int64", "node": "Int64", "piece": "Int64"})
-            yield x[["doc", "n", "class", "node", "piece", "counts"]]
+            yield x[["doc", "n", "class", "mark", "node", "piece", "counts"]]
 
     return typed
 
@@ -197,10 +217,10 @@ def collapsed(index: DataFrame) -> DataFrame:
     return stored(index.join(first.select("gram", "weight"), "gram"), "collapsed")
 
 
-def class_components(index: DataFrame, segments_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+def class_components(index: DataFrame, marks: DataFrame, segments_of: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """Components of the classes in `index` (gram, class, n, pos, end): class, component.
 
-    `segments_of` gives the segments of the classes in a frame (class).
+    `marks` (class, mark) has every class; `segments_of` gives the segments of the classes in a frame (class).
     """
     index = collapsed(with_most(index, percent))
     size = index.count()
@@ -231,11 +251,14 @@ def class_components(index: DataFrame, segments_of: Callable[[DataFrame], DataFr
         if last:
             # members outside the largest component against all
             minor = one.join(groups.select("gram", "major"), "gram").where(F.col("c_a") != F.col("major"))
+            minor = minor.join(marks.select(F.col("class").alias("a"), F.col("mark").alias("mark_a")), "a")
+            two = two.join(groups.select("gram"), "gram", "left_semi")
+            two = two.join(marks.select(F.col("class").alias("b"), F.col("mark").alias("mark_b")), "b")
             once = (F.col("c_b") == F.col("major")) | (F.col("a") < F.col("b"))
             sizes_fit = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
             # what the one whose prefix ends first can share at most
             enough = similar(F.when(F.col("e_a") <= F.col("e_b"), F.col("m_a")).otherwise(F.col("m_b")), F.col("n_a"), F.col("n_b"), percent)
-            found = minor.join(two, "gram").where(sizes_fit & enough & (F.col("c_a") != F.col("c_b")) & once)
+            found = minor.join(two, "gram").where(sizes_fit & enough & may_link("mark_a", "mark_b", percent) & (F.col("c_a") != F.col("c_b")) & once)
             # of the `least` shingles that a link shares, at most n - first can lie behind a set's
             # prefix of n - needed + 1; so many at least are in both prefixes
             least = F.ceil(percent * (F.col("n_a") + F.col("n_b")) / (100 + percent) - 1e-9)
@@ -270,6 +293,10 @@ def class_components(index: DataFrame, segments_of: Callable[[DataFrame], DataFr
         ).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        if not last:
+            for side in ("a", "b"):
+                pairs = pairs.join(marks.select(F.col("class").alias(side), F.col("mark").alias(f"mark_{side}")), side)
+            pairs = pairs.where(may_link("mark_a", "mark_b", percent)).select("a", "n_a", "b", "n_b")
         pairs = stored(pairs, "pairs")
         classes = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
         new = stored(verify(pairs, segments_of(classes), percent), "links")
@@ -297,11 +324,14 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
     spark = docs.sparkSession
     own = docs.select(F.coalesce("doc_id", F.lit(_TOP)).cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     both = stored(own.mapInPandas(_measure(k), _MEASURED), "sets")
-    base = both.where("piece is null").select("doc", "n", "class")
+    base = both.where("piece is null").select("doc", "n", "class", "mark")
     counts = tree_sum(both.where("piece is not null").select("node", "piece", "counts"), own.rdd.getNumPartitions(), 1 << COUNT_BITS)
     order = spark.sparkContext.broadcast(global_order(counts, FRAGMENTS))
 
-    least = stored(base.where("n > 0").groupBy("class").agg(F.min("doc").alias("least")), "classes")
+    words = [F.any_value(F.col("mark")[i]).alias(f"m{i}") for i in range(MARK_WORDS)]
+    named = base.where("n > 0").groupBy("class").agg(F.min("doc").alias("least"), *words)
+    classes = stored(named.select("class", "least", F.array(*[f"m{i}" for i in range(MARK_WORDS)]).alias("mark")), "classes")
+    least, marks = classes.select("class", "least"), classes.select("class", "mark")
     firsts = least.select(F.col("least").alias("doc")).distinct()
     others = stored(base.select("doc").distinct().join(firsts, "doc", "left_anti"), "others")
     reps = own.join(_small(others), "doc", "left_anti")
@@ -318,7 +348,7 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
         texts = own.join(_small(wanted), "doc", "left_semi").select("text")
         return texts.mapInPandas(_segments(k, order), "class long, fragment int, grams array<long>")
 
-    joined = class_components(index, segments_of, percent)
+    joined = class_components(index, marks, segments_of, percent)
     smallest = (
         least.join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))
     )
