@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from verdex.operators import audit, counts, folds, text_order
+from verdex.operators import audit, counts, folds, metrics, text_order
 from verdex.plans import reports
 
 
@@ -136,3 +136,11 @@ def test_folds(labelled):
 def test_class_weights(labelled):
     got = {r.label: r.weight for r in folds.class_weights(labelled, "label").collect()}
     assert got["rare"] == pytest.approx(504 / 3) and got["Não"] == pytest.approx(504 / (3 * 101))
+
+
+def test_comparison_bars_are_sorted_by_precision(spark):
+    rows = [("b", 0.9, 0.5), ("a", 0.7, 0.8), ("c", 0.6, 0.8)]
+    bars = metrics.model_comparison(spark.createDataFrame(rows, "model string, accuracy double, precision_sim double").repartition(3))
+    got = [tuple(r) for r in bars.collect()]
+    assert [g[0] for g in got] == ["a", "a", "c", "c", "b", "b"]
+    assert got[:2] == [("a", "accuracy", 0.7), ("a", "precision_sim", 0.8)]
