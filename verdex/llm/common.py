@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Counts in a piece of a vector (8 bytes each), and vectors that are summed at once.
 PIECE, FAN = 1 << 14, 16
+#: Pieces of a sum that come to the driver together, about.
+PIECES_AT_ONCE = 16
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -70,7 +72,8 @@ def tree_sum(vectors: DataFrame, nodes: int, size: int) -> np.ndarray:
         if nodes <= 1:
             break
     out = np.zeros(-(-size // PIECE) * PIECE, dtype=np.int64)
-    for r in vectors.toLocalIterator():
+    # a partition at a time comes to the driver, so each holds a few pieces only
+    for r in vectors.repartition(-(-size // (PIECES_AT_ONCE * PIECE)) or 1, "piece").toLocalIterator():
         out[r.piece * PIECE : (r.piece + 1) * PIECE] = np.frombuffer(r["counts"], dtype=np.int64)
     return out[:size]
 

@@ -20,6 +20,8 @@ out where they meet, without their shingles.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,6 +51,9 @@ MARK_WORDS = 16
 #: Up to so many document keys are broadcast; more are joined by shuffle.
 BROADCAST_KEYS = 500_000
 
+#: Cells that are ranked at a time.
+RANKED_AT_ONCE = 1 << 16
+
 _TOP = np.iinfo(np.int64).max
 _COUNT_MASK = np.uint64((1 << COUNT_BITS) - 1)
 
@@ -118,13 +123,31 @@ def _measure(k: int):
 
 def global_order(counts: np.ndarray, fragments: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of shingles, by the count of their cell and then by hash: the cells' ranks, and the
-    places that cut it into fragments of about equal weight."""
-    by_count = np.argsort(counts, kind="stable")
+    places that cut it into fragments of about equal weight. Besides the result nothing as long as
+    `counts` is held."""
+    value, places = Counter(), range(0, len(counts), RANKED_AT_ONCE)
+    for begin in places:
+        value.update(dict(zip(*(x.tolist() for x in np.unique(counts[begin : begin + RANKED_AT_ONCE], return_counts=True)))))
+    values = np.array(sorted(value), dtype=np.int64)
+    cells = np.array([value[v] for v in values.tolist()], dtype=np.int64)
+    # the rank of the next cell of each count; the cells come in their own order
+    following = np.cumsum(cells) - cells
+    starts, before = following.tolist(), (np.cumsum(values * cells) - values * cells).tolist()
     rank = np.empty(len(counts), dtype=np.uint32)
-    rank[by_count] = np.arange(len(counts), dtype=np.uint32)
-    share = np.cumsum(counts[by_count]) / max(1, counts.sum())
-    cuts = np.searchsorted(share, np.arange(1, fragments) / fragments)
-    return rank, cuts.astype(np.uint64) << np.uint64(64 - COUNT_BITS)
+    for begin in places:
+        at = np.searchsorted(values, counts[begin : begin + RANKED_AT_ONCE])
+        order = np.argsort(at, kind="stable")
+        found, first, many = np.unique(at[order], return_index=True, return_counts=True)
+        rank[begin + order] = np.repeat(following[found] - first, many) + np.arange(len(order))
+        following[found] += many
+    total = max(1, int((values * cells).sum()))
+    cuts = np.full(fragments - 1, len(counts), dtype=np.uint64)
+    for i in range(1, fragments):
+        for v, n, start, sum_before in zip(values.tolist(), cells.tolist(), starts, before):
+            if (sum_before + v * n) / total >= i / fragments:
+                cuts[i - 1] = start + bisect_left(range(n), i / fragments, key=lambda t: (sum_before + (t + 1) * v) / total)
+                break
+    return rank, cuts << np.uint64(64 - COUNT_BITS)
 
 
 
@@ -325,8 +348,8 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
     own = docs.select(F.coalesce("doc_id", F.lit(_TOP)).cast("long").alias("doc"), F.coalesce("text", F.lit("")).alias("text"))
     both = stored(own.mapInPandas(_measure(k), _MEASURED), "sets")
     base = both.where("piece is null").select("doc", "n", "class", "mark")
-    counts = tree_sum(both.where("piece is not null").select("node", "piece", "counts"), own.rdd.getNumPartitions(), 1 << COUNT_BITS)
-    order = spark.sparkContext.broadcast(global_order(counts, FRAGMENTS))
+    counted = both.where("piece is not null").select("node", "piece", "counts")
+    order = spark.sparkContext.broadcast(global_order(tree_sum(counted, own.rdd.getNumPartitions(), 1 << COUNT_BITS), FRAGMENTS))
 
     words = [F.any_value(F.col("mark")[i]).alias(f"m{i}") for i in range(MARK_WORDS)]
     named = base.where("n > 0").groupBy("class").agg(F.min("doc").alias("least"), *words)
@@ -349,6 +372,7 @@ def near_groups(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> Da
         return texts.mapInPandas(_segments(k, order), "class long, fragment int, grams array<long>")
 
     joined = class_components(index, marks, segments_of, percent)
+    order.destroy()  # what follows reads stored tables only
     smallest = (
         least.join(joined, "class", "left").withColumn("component", F.coalesce("component", "class"))
     )
