@@ -29,3 +29,28 @@ def test_only_terms_under_the_texts_grams_are_searched():
     index = term_index.TermIndex(["aaaab", "b", ""], seen)
     assert index.under == {4: {"aaab": [("aaaab", 0)]}, 1: {"b": [("b", 1)]}}
     assert index.places("xaaaabx") == [0, 1, 2] and index.places("aaaa") == [2]
+
+
+def test_terms_under_one_gram_are_not_each_searched_for():
+    terms = [f"{n:08d}" for n in range(2000)] + ["0000x"]
+    index = term_index.TermIndex(terms, term_index.Counter())
+
+    class Text(str):
+        searched = 0
+
+        def __contains__(self, term):
+            Text.searched += 1
+            return super().__contains__(term)
+
+    # all are under "0000"; a text that has it is not gone through once for each of them
+    assert set(index.under[4]) == {"0000"}
+    assert index.places(Text("a 00001234, 00000007 0000x 0000")) == [7, 1234, 2000]
+    assert Text.searched < 10 and [len(x) for _, _, x in index.shapes[4]["0000"]] == [2000, 1]
+    assert index.places("000012340") == [1234] and index.places("000") == []
+
+
+def test_long_texts_are_looked_up_in_pieces(monkeypatch):
+    monkeypatch.setattr(term_index, "TOGETHER", 5)
+    index = term_index.TermIndex(["abcdefgh", "ghij", "é東", "𝄞x", "zz"], term_index.Counter())
+    text = "..abcdefghij é東 𝄞x"
+    assert all(index.places(" " * k + text) == [0, 1, 2, 3] for k in range(8))
