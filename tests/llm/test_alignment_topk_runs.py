@@ -1,6 +1,7 @@
 """Tokenizer alignment, exact top-k search and periodic runs against brute force."""
 
 import json
+import pickle
 import random
 from collections import Counter
 from math import floor
@@ -92,6 +93,42 @@ def test_alignment_in_small_turns_and_of_nothing(spark, some_texts):
     assert alignment.align(empty).count() == 0 and alignment.pair_table(empty).count() == 0
 
 
+def test_texts_that_are_taken_alone(spark, monkeypatch):
+    """Long texts on end, each in turns of its own, with parts that no text before had."""
+    monkeypatch.setattr(alignment, "PARTS", 50)
+    texts = [" ".join(f"text{i} part{i * 1000 + j}" for j in range(60)) for i in range(3)] + ["one more"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    pairs, want = brute_alignment(texts)
+    got = sorted(alignment.align(docs).collect())
+    assert [tuple(r) for r in got] == [(i, *w) for i, w in enumerate(want)]
+    assert {(r.a_id, r.b_id): r.n for r in alignment.pair_table(docs).collect()} == dict(pairs)
+
+
+def test_pairs_of_remembered_parts_are_summed_at_once(monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 2000)
+    texts = [" ".join(f"w{i * 40 + j} the of" for j in range(60)) for i in range(30)]
+    aligner = alignment.Aligner(alignment.Vocabularies(*alignment._paths(None, None, None)), shows=False)
+    counts = Counter()
+    for text in texts:
+        aligner.count(aligner.entries(alignment.parts_of(text)))
+    aligner.clear()
+    for keys, n in aligner.counted:
+        assert len(np.unique(keys)) == len(keys) and n.all()
+        counts.update(dict(zip(keys.tolist(), n.tolist())))
+    want = brute_alignment(texts)[0]
+    assert len(aligner.counted) > 1 and not aligner.shown
+    assert counts == Counter({x * len(aligner.words.bytes_b) + y: n for (x, y), n in want.items()})
+
+
+def test_what_is_broadcast_names_no_class_of_the_library(spark):
+    """Workers need not have the library: plain values go to them, from which the table is made again."""
+    docs = spark.createDataFrame([(1, "some words of a text"), (2, "a text")], "doc_id long, text string")
+    table = alignment.count_pairs(docs, alignment._paths(None, None, None))
+    assert {type(x).__module__.split(".")[0] for x in vars(table).values()} <= {"numpy", "builtins"}
+    again = alignment.Lookup.of(pickle.loads(pickle.dumps(vars(table))))
+    assert (again.slots(table.key) == np.arange(len(table.key))).all() and (again.get(table.key)[0] == table.count).all()
+
+
 def test_minimal_hash_knows_its_keys_only():
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 2**40, 5000))

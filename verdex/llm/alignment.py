@@ -35,8 +35,8 @@ BUCKET = 4096
 MOST_PAIRS = 20_000_000
 #: Characters of the parts of texts that a worker remembers, and parts looked up together.
 REMEMBERED, PARTS = 4_000_000, 1 << 15
-#: Parts tokenised in one string.
-JOINED = 2048
+#: Parts tokenised in one string, and texts of a batch that are taken at a time.
+JOINED, TEXTS = 2048, 500
 
 #: A text may be cut before a blank between two signs that neither library takes for white space.
 _SPACE = r"\s\x1c-\x1f\u180e\u200b\ufeff"
@@ -92,12 +92,12 @@ def parts_of(text: str) -> list[str]:
 
 
 class Aligner:
-    """Aligned tokens of parts of texts, remembered."""
+    """Aligned tokens of parts of texts, remembered; their groups as well, unless `shows` is false."""
 
-    def __init__(self, words: Vocabularies, lookup: Lookup | None = None) -> None:
-        self.words, self.lookup = words, lookup
+    def __init__(self, words: Vocabularies, lookup: Lookup | None = None, shows: bool = True) -> None:
+        self.words, self.lookup, self.shows = words, lookup, shows
         self.shown_of = [np.array([f"{i}{end}" for i in range(max(len(words.bytes_a), len(words.bytes_b)))], dtype=object) for end in ",|;"]
-        self.counted: list[tuple[np.ndarray, np.ndarray]] = []  # pairs and how often they were counted
+        self.counted: list[tuple[np.ndarray, np.ndarray]] = []  # distinct pairs and how often they were counted
         self.of: dict[str, int] = {}
         self.clear()
 
@@ -105,7 +105,7 @@ class Aligner:
         if self.of:
             times = np.repeat(self.times, self.numbers[:, 3])
             if times.any():
-                self.counted.append((np.concatenate(self.pairs)[times > 0], times[times > 0]))
+                self.counted.append(summed(np.concatenate(self.pairs)[times > 0], times[times > 0]))
         self.of, self.chars = {}, 0
         self.shown: list[str] = []  # groups of each part
         self.pairs: list[np.ndarray] = []  # linked pairs, part after part
@@ -125,6 +125,10 @@ class Aligner:
             self.chars += chars
         return np.fromiter(map(self.of.__getitem__, parts), dtype=np.int64, count=len(parts))
 
+    def wrong(self, entries: np.ndarray) -> np.ndarray:
+        """Whether the tokens of a part do not give it back. A method, since `entries` puts a new array of numbers."""
+        return self.numbers[entries, 0]
+
     def count(self, entries: np.ndarray) -> None:
         self.times += np.bincount(entries, minlength=len(self.times))
 
@@ -144,7 +148,7 @@ class Aligner:
         self.times = np.concatenate((self.times, np.zeros(len(new), dtype=np.int64)))
 
     def _wrong(self, part: str) -> None:
-        self._append([part], [""], np.zeros(0, dtype=np.int64), np.array([[1, 0, 0, 0, 0, 0]]))
+        self._append([part], [""] if self.shows else [], np.zeros(0, dtype=np.int64), np.array([[1, 0, 0, 0, 0, 0]]))
 
     def _append(self, parts: list[str], shown: list[str], pairs: np.ndarray, numbers: np.ndarray) -> None:
         self.of.update(zip(parts, range(len(self.of), len(self.of) + len(parts))))
@@ -173,6 +177,9 @@ class Aligner:
             part = np.repeat(np.arange(len(parts)), links)
             numbers[:, 4] = np.bincount(part, weights=best, minlength=len(parts))
             np.add.at(numbers[:, 5], part, counts)
+        if not self.shows:
+            self._append(parts, [], pairs, numbers)
+            return True
         # each token behind the tokens of earlier groups of both sides, and those of B behind those of A
         comma, bar, semicolon = self.shown_of
         shown_a, shown_b = comma[a], comma[b]
@@ -204,6 +211,13 @@ class Lookup:
         self.count = np.zeros(len(self.key), dtype=np.int64)
         self.best = np.zeros(len(self.key), dtype=bool)
 
+    @classmethod
+    def of(cls, parts: dict) -> Lookup:
+        """The table with these attributes: broadcasts name classes, and workers need not know this library."""
+        own = cls.__new__(cls)
+        vars(own).update(parts)
+        return own
+
     def slots(self, keys: np.ndarray) -> np.ndarray:
         """Slot of each key, -1 for keys that are not in the table."""
         out, bucket, open_ = np.full(len(keys), -1), bucket_of(keys, self.n_buckets), np.arange(len(keys))
@@ -226,6 +240,14 @@ class Lookup:
         return np.where(known, self.count[slot], 0), known & self.best[slot]
 
 
+def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and the sums of their counts."""
+    keys, inverse = np.unique(keys, return_inverse=True)
+    sums = np.zeros(len(keys), dtype=np.int64)
+    np.add.at(sums, inverse, counts)
+    return keys, sums
+
+
 def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
     return (mixed(keys.astype(np.uint64) ^ np.uint64(0x5BD1E995)) % np.uint64(n)).astype(np.int64)
 
@@ -268,6 +290,13 @@ def _blocks(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
         yield rows, parts
 
 
+def _some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """So many rows of a batch at a time: a batch is as large as its texts are long."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, TEXTS):
+            yield batch.slice(k, TEXTS)
+
+
 def _turns(parts: list[str]) -> Iterator[list[str]]:
     for k in range(0, len(parts), PARTS):
         yield parts[k : k + PARTS]
@@ -277,27 +306,25 @@ def _pairs(paths: tuple, n_buckets: int):
     """Counts of the linked pairs of a task's texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, keys, counts = Aligner(Vocabularies(*paths)), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        aligner, keys, counts = Aligner(Vocabularies(*paths), shows=False), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
         def fold() -> None:
             nonlocal keys, counts
             every, number = (np.concatenate([x, *[y[i] for y in aligner.counted]]) for i, x in enumerate((keys, counts)))
             aligner.counted.clear()
-            keys, inverse = np.unique(every, return_inverse=True)
-            counts = np.zeros(len(keys), dtype=np.int64)
-            np.add.at(counts, inverse, number)
+            keys, counts = summed(every, number)
 
-        for batch in batches:
+        for batch in _some(batches):
             for _, some in _blocks(batch.column(0).to_pylist()):
                 if len(some) == 1:
                     # a text that does not come back whole counts nothing: judged before it is counted
-                    if all(not aligner.numbers[aligner.entries(t), 0].any() for t in _turns(some[0])):
+                    if not any(aligner.wrong(aligner.entries(t)).any() for t in _turns(some[0])):
                         for t in _turns(some[0]):
                             aligner.count(aligner.entries(t))
                 else:
                     entries = aligner.entries([p for own in some for p in own])
                     text = np.repeat(np.arange(len(some)), [len(own) for own in some])
-                    wrong = np.bincount(text, weights=aligner.numbers[entries, 0], minlength=len(some)) > 0
+                    wrong = np.bincount(text, weights=aligner.wrong(entries), minlength=len(some)) > 0
                     aligner.count(entries[~wrong[text]])
                 if len(aligner.counted) > 8:
                     fold()
@@ -314,7 +341,7 @@ def _vectors(lookup):
     """A task's counts as pieces of one dense vector over the slots."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table: Lookup = lookup.value
+        table = Lookup.of(lookup.value)
         dense = np.zeros(len(table.key), dtype=np.int64)
         for batch in batches:
             np.add.at(dense, table.slots(batch["pair"].to_numpy(dtype=np.int64)), batch["n"].to_numpy(dtype=np.int64))
@@ -349,7 +376,7 @@ def count_pairs(docs: DataFrame, paths: tuple) -> Lookup:
     built = counted.select("bucket", "pair").distinct().groupBy("bucket").applyInPandas(build, "bucket long, sizes array<long>, bits binary, keys array<long>")
     own = {r.bucket: (list(r.sizes), bytes(r.bits), list(r["keys"])) for r in built.collect()}
     table = Lookup([own.get(b, ([], b"", [])) for b in range(n_buckets)], n_buckets)
-    vectors = counted.select("pair", "n").mapInPandas(_vectors(spark.sparkContext.broadcast(table)), "node long, piece long, counts binary")
+    vectors = counted.select("pair", "n").mapInPandas(_vectors(spark.sparkContext.broadcast(vars(table))), "node long, piece long, counts binary")
     table.count = tree_sum(vectors, counted.rdd.getNumPartitions(), len(table.key))
     highest = np.zeros(size, dtype=np.int64)
     np.maximum.at(highest, table.key % size, table.count)
@@ -379,11 +406,11 @@ def align(docs: DataFrame, path_a: str | None = None, path_b: str | None = None,
     a text of any length is aligned in pieces; an empty table gives no rows; other columns are ignored.
     """
     paths = _paths(path_a, path_b, ranks_a)
-    shared = docs.sparkSession.sparkContext.broadcast(count_pairs(docs, paths))
+    shared = docs.sparkSession.sparkContext.broadcast(vars(count_pairs(docs, paths)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = Aligner(Vocabularies(*paths), shared.value)
-        for batch in batches:
+        aligner = Aligner(Vocabularies(*paths), Lookup.of(shared.value))
+        for batch in _some(batches):
             ids = batch.column(0).to_pylist()
             for rows, some in _blocks(batch.column(1).to_pylist()):
                 numbers, shown = np.zeros((len(rows), 6), dtype=np.int64), []
